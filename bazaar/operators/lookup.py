@@ -1,0 +1,22 @@
+"""Lookup joins: a large frame against a table with one row per key."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a few short columns that any executor can hold; larger tables take the shuffle join,
+# where adaptive execution splits hot keys.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a lookup side for broadcast after counting that it stays within the bound."""
+    if df.limit(rows + 1).count() <= rows:
+        return F.broadcast(df)
+    return df
+
+
+def lookup(df: DataFrame, table: DataFrame, on: str, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Left join on one column; rows without a match get NULLs."""
+    return df.join(broadcast_if_small(table, rows), on, "left")
