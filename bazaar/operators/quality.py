@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +31,9 @@ def contract_report(raw: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def require_rows(raw: Mapping[str, DataFrame]) -> None:
-    """Refuse to load when a table is empty."""
-    empty = [name for name, df in raw.items() if df.isEmpty()]
-    if empty:
-        raise ValueError(f"no rows in {', '.join(empty)}")
+def empty_tables(raw: Mapping[str, DataFrame]) -> list[str]:
+    """The tables without a row."""
+    return [name for name, df in raw.items() if df.isEmpty()]
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -100,27 +99,28 @@ def length_report(df: DataFrame, name: str, limits: Sequence[tuple[str, int]]) -
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
-def with_issues(df: DataFrame, rules: Sequence[tuple[str, Column, str]]) -> DataFrame:
-    """Add the broken rules of each row, as (column, raw value, reason).
+class Rule(NamedTuple):
+    """A condition that makes a row bad, with the column and raw value to report."""
 
-    A rule is (column, condition that makes the row bad, reason); a NULL condition is no breach.
-    """
+    column: str
+    raw: Column
+    bad: Column
+    reason: str
+
+
+def with_issues(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Add the rules each row breaks; a NULL condition is no breach."""
     found = [
         F.when(
-            bad,
+            rule.bad,
             F.struct(
-                F.lit(column).alias("column_name"),
-                F.col(column).cast("string").alias("raw_value"),
-                F.lit(reason).alias("reason"),
+                F.lit(rule.column).alias("column_name"),
+                rule.raw.cast("string").alias("raw_value"),
+                F.lit(rule.reason).alias("reason"),
             ),
         )
-        for column, bad, reason in rules
+        for rule in rules
     ]
-    if not found:
-        return df.withColumn(
-            _ISSUES,
-            F.expr("cast(array() as array<struct<column_name:string,raw_value:string,reason:string>>)"),
-        )
     return df.withColumn(_ISSUES, F.array_compact(F.array(*found)))
 
 
@@ -146,8 +146,9 @@ def unparsable(raw: Column, parsed: Column) -> Column:
     return raw.isNotNull() & parsed.isNull()
 
 
-def rules_for(table: Table, key: Sequence[str]) -> list[tuple[str, Column, str]]:
+def rules_for(table: Table) -> list[Rule]:
     """Every load's rules: no NULL in the key, no text over its limit."""
-    return [(k, F.col(k).isNull(), "missing key") for k in key] + [
-        (column, F.length(column) > limit, f"longer than {limit}") for column, limit in table.limits
+    keys = [Rule(k, F.col(k), F.col(k).isNull(), "missing key") for k in table.key]
+    return keys + [
+        Rule(c, F.col(c), F.length(c) > limit, f"longer than {limit}") for c, limit in table.limits
     ]

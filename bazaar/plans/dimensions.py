@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.functions.calendar import calendar_attributes
@@ -19,7 +17,7 @@ from bazaar.functions.cleaning import (
 )
 from bazaar.operators.dedup import keep_first
 from bazaar.operators.lookup import broadcast_if_small
-from bazaar.operators.quality import unparsable
+from bazaar.operators.quality import Rule, unparsable
 from bazaar.schemas import COORDINATE, ORDER_DATES, PRODUCT_MEASURES, ROW_ORDER
 
 # The dates that make up the calendar.
@@ -59,10 +57,10 @@ def geography_batch(geography: DataFrame) -> DataFrame:
     return standard_places(first_place_per_zip(geography))
 
 
-def geography_rules() -> list[tuple[str, Column, str]]:
+def geography_rules() -> list[Rule]:
     """Coordinates that do not fit the column."""
     return [
-        (c, unparsable(F.col(c), F.col(c).try_cast(COORDINATE)), "out of range")
+        Rule(c, F.col(c), unparsable(F.col(c), F.col(c).try_cast(COORDINATE)), "out of range")
         for c in ("latitude", "longitude")
     ]
 
@@ -137,9 +135,10 @@ def products_batch(
     )
 
 
-def products_rules() -> list[tuple[str, Column, str]]:
+def products_rules() -> list[Rule]:
+    """Measures that are text but no number."""
     return [
-        (f"_raw_{c}", unparsable(F.col(f"_raw_{c}"), F.col(c)), "not a number")
+        Rule(c, F.col(f"_raw_{c}"), unparsable(F.col(f"_raw_{c}"), F.col(c)), "not a number")
         for c in PRODUCT_MEASURES
     ]
 

@@ -6,11 +6,18 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bazaar.operators.positions import assign_keys
-from bazaar.operators.quality import bad_rows, good_rows, require_rows, rules_for, with_issues
+from bazaar.operators.quality import (
+    Rule,
+    bad_rows,
+    empty_tables,
+    good_rows,
+    rules_for,
+    with_issues,
+)
 from bazaar.operators.upsert import reduce_batch, upsert
 from bazaar.plans import dimensions as dims
 from bazaar.plans import facts
@@ -100,29 +107,38 @@ class Warehouse:
     def load(
         self, raw: Raw, tables: Sequence[str] | None = None, require_non_empty: bool = True
     ) -> Warehouse:
-        """Load the named tables, by default all, with what they need and lack."""
+        """Load the named tables, by default all, with the tables they look keys up in."""
         wanted = list(TABLES) if tables is None else with_needs(tables)
-        if require_non_empty:
-            require_rows({name: raw[name] for name in _sources(wanted)})
-        for name in wanted:
-            _LOADERS[name](self, raw)
+        return self.load_only(raw, wanted, require_non_empty)
+
+    def load_only(
+        self, raw: Raw, tables: Sequence[str], require_non_empty: bool = True
+    ) -> Warehouse:
+        """Load just the named tables, in the given order, into what is there already."""
+        empty = empty_tables({_SOURCES[name]: raw[_SOURCES[name]] for name in tables})
+        if empty and require_non_empty:
+            raise ValueError(f"no rows in {', '.join(empty)}")
+        for name in tables:
+            if _SOURCES[name] in empty:
+                log.info("%s: nothing to load", name)
+            else:
+                _LOADERS[name](self, raw)
         return self
 
     def _load(
         self,
         name: str,
         rows: DataFrame,
-        rules: Sequence[tuple[str, Column, str]],
+        rules: Sequence[Rule],
         finish: Callable[[DataFrame], DataFrame],
-        key: Sequence[str] | None = None,
     ) -> None:
         """Check the rows, set bad ones apart, finish the good ones and write the table.
 
         Bad rows are counted while the table is written; only if there are any does a second pass
         over the source store them.
         """
-        key = key or TABLES[name].key
-        checked = with_issues(rows, [*rules_for(TABLES[name], key), *rules])
+        table = TABLES[name]
+        checked = with_issues(rows, [*rules_for(table), *rules])
         seen = Observation()
         counted = checked.observe(
             seen,
@@ -132,16 +148,16 @@ class Warehouse:
         batch = finish(good_rows(counted)).withColumn(
             "created_at", F.lit(self.run_ts).cast("timestamp_ntz")
         )
-        if TABLES[name].partition is None:
-            self._write_dimension(TABLES[name], batch)
+        if table.partition is None:
+            self._write_dimension(table, batch)
         else:
-            self._write_fact(TABLES[name], batch)
+            self._write_fact(table, batch)
         counts = seen.get
         self.loaded_rows[name] = counts.get("rows", 0)
         if counts.get("bad", 0):
             log.warning("%s: %d bad rows set apart", name, counts["bad"])
             store = VersionedTable(self.spark, f"{self.root}/quarantine/{name}")
-            store.write(bad_rows(checked, name, key))
+            store.write(bad_rows(checked, name, table.key))
         log.info("%s: %d rows read", name, self.loaded_rows[name])
 
     def _write_dimension(self, table: Table, batch: DataFrame) -> None:
@@ -196,21 +212,18 @@ def _conform(batch: DataFrame, table: Table) -> DataFrame:
     return batch.select([F.col(f.name).cast(f.dataType) for f in table.schema.fields])
 
 
-_SOURCES: dict[str, tuple[str, ...]] = {
-    "dim_geography": ("geography",),
-    "dim_customers": ("customers",),
-    "dim_products": ("products",),
-    "dim_sellers": ("sellers",),
-    "dim_time": ("orders",),
-    "fact_orders": ("orders",),
-    "fact_order_items": ("order_items",),
+# The raw table whose rows each table is made of.
+_SOURCES: dict[str, str] = {
+    "dim_geography": "geography",
+    "dim_customers": "customers",
+    "dim_products": "products",
+    "dim_sellers": "sellers",
+    "dim_time": "orders",
+    "fact_orders": "orders",
+    "fact_order_items": "order_items",
 }
 
 
-def _sources(tables: Sequence[str]) -> list[str]:
-    return sorted({source for table in tables for source in _SOURCES[table]})
-
-
 def _load_geography(warehouse: Warehouse, raw: Raw) -> None:
     table = TABLES["dim_geography"]
 
