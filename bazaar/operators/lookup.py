@@ -11,10 +11,11 @@ BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a lookup side for broadcast after counting that it stays within the bound."""
-    if df.limit(rows + 1).count() <= rows:
-        return F.broadcast(df)
-    return df
+    """Mark a lookup side for broadcast if a count of its rows stays within the bound.
+
+    For stored tables the count comes from the files' footers.
+    """
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def lookup(df: DataFrame, table: DataFrame, on: str, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from bazaar.schemas import Table
 from bazaar.sources.contracts import missing_columns
 
-_ISSUES = "_issues"
-
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -108,36 +106,35 @@ class Rule(NamedTuple):
     reason: str
 
 
-def with_issues(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add the rules each row breaks; a NULL condition is no breach."""
-    found = [
-        F.when(
-            rule.bad,
-            F.struct(
-                F.lit(rule.column).alias("column_name"),
-                rule.raw.cast("string").alias("raw_value"),
-                F.lit(rule.reason).alias("reason"),
-            ),
-        )
-        for rule in rules
-    ]
-    return df.withColumn(_ISSUES, F.array_compact(F.array(*found)))
-
+def any_breach(rules: Sequence[Rule]) -> Column:
+    """Whether a row breaks a rule; a NULL condition is no breach."""
+    return reduce(Column.__or__, [F.coalesce(rule.bad, F.lit(False)) for rule in rules])
 
-def good_rows(checked: DataFrame) -> DataFrame:
-    return checked.where(F.size(_ISSUES) == 0).drop(_ISSUES)
 
-
-def bad_rows(checked: DataFrame, name: str, key: Sequence[str]) -> DataFrame:
-    """The quarantine: one row per broken rule."""
+def bad_rows(df: DataFrame, rules: Sequence[Rule], name: str, key: Sequence[str]) -> DataFrame:
+    """The quarantine: table, row key, column, raw value and reason of every breach."""
+    breaches = F.array(
+        *[
+            F.when(
+                rule.bad,
+                F.struct(
+                    F.lit(rule.column).alias("column_name"),
+                    rule.raw.cast("string").alias("raw_value"),
+                    F.lit(rule.reason).alias("reason"),
+                ),
+            )
+            for rule in rules
+        ]
+    )
     return (
-        checked.where(F.size(_ISSUES) > 0)
+        df.where(any_breach(rules))
         .select(
             F.lit(name).alias("table_name"),
             F.concat_ws("|", *key).alias("row_key"),
-            F.explode(_ISSUES).alias("issue"),
+            F.explode(breaches).alias("breach"),
         )
-        .select("table_name", "row_key", "issue.*")
+        .where(F.col("breach").isNotNull())
+        .select("table_name", "row_key", "breach.*")
     )
 
 

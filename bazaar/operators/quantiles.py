@@ -1,79 +1,184 @@
-"""Exact quantiles of whole columns, without holding a column in one task."""
+"""Exact quantiles of whole columns, without sorting them or holding one in a task."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.operators.positions import running_totals
 
+# Columns up to this size are ordered as they are; larger ones are narrowed by a sketch first.
+SKETCH_ABOVE = 100_000
+SKETCH_ACCURACY = 10_000
+
+
+def number(name: str) -> Column:
+    """A column as a double, with NaN as NULL."""
+    value = F.col(name).cast("double")
+    return F.when(~F.isnan(value), value)
+
 
 def melt(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, value): one row per non-NULL, non-NaN value of the named columns."""
+    """(column_name, value): one row per value of the named columns that is not missing."""
     pairs = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
-        for c in columns
+        F.struct(F.lit(c).alias("column_name"), number(c).alias("value")) for c in columns
     ]
-    return (
-        df.select(F.inline(F.array(*pairs)))
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-    )
+    return df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
 
 
-def _at(value: Column, probability: Column, wanted: float) -> Column:
-    return F.max(F.when(probability == wanted, value))
+class _Wanted(NamedTuple):
+    """A quantile to find: its column's size, and bounds that its neighbours lie in."""
 
+    column: str
+    probability: float
+    n: int
+    low: float = -math.inf
+    high: float = math.inf
 
-def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """One row per column: n and, for each probability, the linearly interpolated quantile.
+    @property
+    def place(self) -> float:
+        return (self.n - 1) * self.probability
+
+    def of_column(self) -> Column:
+        return F.col("column_name") == self.column
+
+    def inside(self) -> Column:
+        return self.of_column() & F.col("value").between(self.low, self.high)
 
-    Equal values are counted first, so a value that fills a third of the column is one row; the
-    counts are put in order by a range partitioning, and each wanted rank is found by its
-    position. The built-in exact percentile would gather all distinct values in one task.
+
+def _bracketed(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    sketch_above: int,
+    accuracy: int,
+) -> list[_Wanted]:
+    """Bounds from a sketch whose ranks are off by at most 1/accuracy of the rows.
+
+    Two such errors to either side leave one to spare, far more than the one row by which a
+    quantile's neighbours may differ from its own rank.
     """
-    counted = melt(df, columns).groupBy("column_name", "value").agg(F.count("*").alias("n_value"))
-    ordered = running_totals(counted, ["column_name", "value"], "n_value")
-    # A row per column: its size, and where it starts in the common order.
-    sizes = ordered.groupBy("column_name").agg(
-        F.sum("n_value").alias("n"), F.min("before").alias("first")
-    )
-    wanted = (
-        sizes.select("*", F.explode(F.array(*map(F.lit, probabilities))).alias("probability"))
-        .withColumn("place", (F.col("n") - 1) * F.col("probability"))
-        .withColumn("below", F.floor("place"))
-        .withColumn("above", F.ceil("place"))
-    )
-    hit = ordered.join(F.broadcast(wanted), "column_name").withColumns(
-        {
-            "start": F.col("before") - F.col("first"),
-            "end": F.col("before") - F.col("first") + F.col("n_value"),
-        }
+    margin = 2 / accuracy
+    asked = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-margin, margin)]
+    sketch = df.agg(
+        *[F.percentile_approx(number(c), asked, accuracy).alias(c) for c in columns],
+        *[F.count(number(c)).alias(f"n_{c}") for c in columns],
+    ).first()
+    wanted = []
+    for c in columns:
+        n = sketch[f"n_{c}"]
+        for i, p in enumerate(probabilities):
+            found = _Wanted(c, p, n)
+            if n > sketch_above:
+                low, high = sketch[c][2 * i : 2 * i + 2]
+                found = found._replace(
+                    low=low if asked[2 * i] > 0 else found.low,
+                    high=high if asked[2 * i + 1] < 1 else found.high,
+                )
+            wanted.append(found)
+    return wanted
+
+
+def _skipped(values: DataFrame, wanted: Sequence[_Wanted]) -> list[int | None]:
+    """How many values lie below each quantile's bounds; None if the bounds miss it."""
+    counts = values.agg(
+        *[
+            part
+            for w in wanted
+            for part in (
+                F.count_if(w.of_column() & (F.col("value") < w.low)),
+                F.count_if(w.of_column() & (F.col("value") <= w.high)),
+            )
+        ]
+    ).first()
+    below = []
+    for i, w in enumerate(wanted):
+        start, end = counts[2 * i : 2 * i + 2]
+        held = start <= math.floor(w.place) and math.ceil(w.place) < end
+        below.append(start if held else None)
+    return below
+
+
+def _inside(values: DataFrame, wanted: Sequence[_Wanted], skipped: Sequence[int]) -> DataFrame:
+    """(column_name, probability, n, value) from the values inside each quantile's bounds."""
+    rows = [
+        F.struct(
+            F.lit(w.probability).alias("probability"),
+            F.lit(w.n).alias("n"),
+            F.lit(below).alias("skipped"),
+            w.inside().alias("inside"),
+        )
+        for w, below in zip(wanted, skipped, strict=True)
+    ]
+    group = ["column_name", "probability", "n", "skipped"]
+    # Equal values are counted, so a value that fills a third of the column is one row.
+    counted = (
+        values.where(reduce(Column.__or__, [w.inside() for w in wanted]))
+        .select("column_name", "value", F.inline(F.array(*rows)))
+        .where("inside")
+        .groupBy(*group, "value")
+        .agg(F.count("*").alias("n_value"))
     )
+    ordered = running_totals(counted, ["column_name", "probability", "value"], "n_value")
+    # A row per quantile: where its values start in the common order.
+    starts = ordered.groupBy("column_name", "probability").agg(F.min("before").alias("start"))
+    place = (F.col("n") - 1) * F.col("probability")
 
-    def covers(rank: str) -> Column:
-        return (F.col(rank) >= F.col("start")) & (F.col(rank) < F.col("end"))
+    def at(rank: Column) -> Column:
+        held = (rank >= F.col("first")) & (rank < F.col("first") + F.col("n_value"))
+        return F.max(F.when(held, F.col("value")))
 
-    at_rank = (
-        hit.where(covers("below") | covers("above"))
-        .groupBy("column_name", "n", "probability", "place")
-        .agg(
-            F.max(F.when(covers("below"), F.col("value"))).alias("lower"),
-            F.max(F.when(covers("above"), F.col("value"))).alias("upper"),
-        )
+    return (
+        ordered.join(F.broadcast(starts), ["column_name", "probability"])
+        .withColumn("first", F.col("before") - F.col("start") + F.col("skipped"))
+        .groupBy("column_name", "probability", "n")
+        .agg(at(F.floor(place)).alias("lower"), at(F.ceil(place)).alias("upper"))
         .withColumn(
             "value",
-            F.col("lower")
-            + (F.col("upper") - F.col("lower")) * (F.col("place") - F.floor("place")),
+            F.col("lower") + (F.col("upper") - F.col("lower")) * (place - F.floor(place)),
         )
     )
-    return at_rank.groupBy("column_name").agg(
-        F.max("n").alias("n"),
-        *[
-            _at(F.col("value"), F.col("probability"), p).alias(f"p{round(p * 100)}")
-            for p in probabilities
-        ],
+
+
+def quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    sketch_above: int = SKETCH_ABOVE,
+    accuracy: int = SKETCH_ACCURACY,
+) -> DataFrame:
+    """One row per column: n and, for each probability, the linearly interpolated quantile.
+
+    A large column is read three times but never shuffled: a sketch gives each quantile narrow
+    bounds, the values below them are counted, and only the values inside are put in order, by
+    range partitioning. Should bounds miss their quantile, all values are put in order. The
+    built-in exact percentile would gather all distinct values in one task.
+    """
+    wanted = _bracketed(df, columns, probabilities, sketch_above, accuracy)
+    values = melt(df, columns)
+    skipped = [0] * len(wanted)
+    if any(w.n > sketch_above for w in wanted):
+        for i, below in enumerate(_skipped(values, wanted)):
+            if below is None:
+                wanted[i] = wanted[i]._replace(low=-math.inf, high=math.inf)
+            else:
+                skipped[i] = below
+    names = {p: f"p{p * 100:g}" for p in probabilities}
+    return (
+        _inside(values, wanted, skipped)
+        .groupBy("column_name")
+        .agg(
+            F.max("n").alias("n"),
+            *[
+                F.max(F.when(F.col("probability") == p, F.col("value"))).alias(name)
+                for p, name in names.items()
+            ],
+        )
     )
 
 

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bazaar.operators.lookup import broadcast_if_small
 from bazaar.schemas import ROW_ORDER
+from bazaar.sources.storage import stage
 
 
 def reduce_batch(
@@ -31,6 +33,32 @@ def reduce_batch(
     return batch.groupBy(*keys).agg(*picks).select(*keys, *parts).select(*columns)
 
 
+def one_per_key(
+    batch: DataFrame, keys: Sequence[str], update: Sequence[str], order: str = ROW_ORDER
+) -> DataFrame:
+    """``reduce_batch`` for large batches whose keys hardly ever repeat.
+
+    A first pass over the keys alone finds the hashes that occur more than once; only rows under
+    those are sorted and combined, all others go through untouched and unshuffled. A key whose
+    hash it shares with another is combined too, by its real value, so the result is the same.
+    """
+    key_hash = F.xxhash64(*keys)
+    repeated = stage(
+        batch.groupBy(key_hash.alias("_hash"))
+        .agg(F.count("*").alias("_rows"))
+        .where("_rows > 1")
+        .select("_hash"),
+        "repeated",
+    )
+    if repeated.isEmpty():
+        return batch.drop(order)
+    hashed = batch.withColumn("_hash", key_hash)
+    few = broadcast_if_small(repeated)
+    once = hashed.join(few, "_hash", "left_anti").drop("_hash", order)
+    many = hashed.join(few, "_hash", "left_semi").drop("_hash")
+    return once.unionByName(reduce_batch(many, keys, update, order))
+
+
 def upsert(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], update: Sequence[str]
 ) -> DataFrame:

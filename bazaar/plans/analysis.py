@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.functions.measures import mean
+from bazaar.operators.profile import group_sizes
 from bazaar.operators.quantiles import describe, quantiles
 from bazaar.plans.facts import clean_payments, items_rows
+from bazaar.sources.storage import stage
 
 
 def seller_sales(items: DataFrame) -> DataFrame:
@@ -78,11 +80,18 @@ def approximate_price_stats(items: DataFrame, accuracy: int = 10_000) -> DataFra
 
 
 def order_totals_describe(payments: DataFrame) -> DataFrame:
-    """The totals paid per order, described."""
+    """The totals paid per order, described; they are written once and read by every pass."""
     totals = (
         clean_payments(payments)
         .where(F.col("order_id").isNotNull())
         .groupBy("order_id")
         .agg(F.coalesce(F.sum("payment_value"), F.lit(0)).cast("decimal(28,2)").alias("order_total"))
     )
-    return describe(totals, ["order_total"])
+    return describe(stage(totals, "order-totals"), ["order_total"])
+
+
+def items_describe(items: DataFrame) -> DataFrame:
+    """Price, freight and the number of items per order, described."""
+    sizes = group_sizes(items, "order_id").select(F.col("n").alias("items_per_order"))
+    prices = describe(items_rows(items), ["price", "freight_value"])
+    return prices.unionByName(describe(stage(sizes, "order-sizes"), ["items_per_order"]))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bazaar.functions.calendar import month_number
 from bazaar.functions.cleaning import clean_dates, clean_money, clean_numbers, delay_days
 from bazaar.operators.lookup import lookup
-from bazaar.operators.upsert import reduce_batch
+from bazaar.operators.upsert import one_per_key, reduce_batch
 from bazaar.schemas import MONEY, ORDER_DATES, ROW_ORDER
 
 
@@ -35,9 +35,17 @@ def payments_rollup(payments: DataFrame) -> DataFrame:
 
 
 def orders_payments_detail(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Every order with each of its payments; an order without one is kept."""
+    """Every order with each of its payments; an order without one is kept.
+
+    A left join could not split an order with very many payments over tasks; an inner join can,
+    and the orders without payments are added to it.
+    """
     paid = clean_payments(payments).drop(ROW_ORDER)
-    return orders.drop(ROW_ORDER).join(paid, "order_id", "left")
+    all_orders = orders.drop(ROW_ORDER)
+    with_payment = paid.select("order_id").distinct()
+    return all_orders.join(paid, "order_id").unionByName(
+        all_orders.join(with_payment, "order_id", "left_anti"), allowMissingColumns=True
+    )
 
 
 def orders_with_delay(orders: DataFrame) -> DataFrame:
@@ -90,7 +98,7 @@ def items_batch(rows: DataFrame, orders: DataFrame) -> DataFrame:
 
     The month is that of the stored order, which no update changes; 0 if the order is unknown.
     """
-    one = reduce_batch(rows, ["order_id", "order_item_id"], ["price", "freight_value"])
+    one = one_per_key(rows, ["order_id", "order_item_id"], ["price", "freight_value"])
     months = orders.select("order_id", "purchase_month")
     return one.join(months, "order_id", "left").withColumn(
         "purchase_month", F.coalesce("purchase_month", F.lit(0))

@@ -131,7 +131,7 @@ def dirty_products(products: DataFrame) -> DataFrame:
 def quarantine_split(products: DataFrame, translation: DataFrame) -> DataFrame:
     rows = dimensions.products_batch(dirty_products(products), translation)
     rules = quality.rules_for(TABLES["dim_products"]) + dimensions.products_rules()
-    return quality.bad_rows(quality.with_issues(rows, rules), "dim_products", ["product_id"])
+    return quality.bad_rows(rows, rules, "dim_products", ["product_id"])
 
 
 def geography_keys(star: dict[str, DataFrame]) -> DataFrame:
@@ -206,15 +206,6 @@ def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PROFILED = ["orders", "order_items", "products", "order_payments"]
 
 
-def describe_items(items: DataFrame) -> DataFrame:
-    sizes = profile.group_sizes(items, "order_id").withColumnRenamed("n", "items_per_order")
-    rows = facts.items_rows(items)
-    return _rounded(
-        describe(rows, ["price", "freight_value"]).unionByName(describe(sizes, ["items_per_order"])),
-        **_MOMENTS,
-    )
-
-
 def describe_delivery(orders: DataFrame) -> DataFrame:
     delays = describe(facts.orders_with_delay(orders), ["delivery_delay"])
     return _rounded(delays, mean=6, **_MOMENTS)
@@ -366,7 +357,9 @@ def queries() -> dict[str, Query]:
             lambda items: profile.size_distribution(items, "order_id"), "order_items"
         ),
         "describe_delivery": _raw(describe_delivery, "orders"),
-        "describe_items": _raw(describe_items, "order_items"),
+        "describe_items": _raw(
+            lambda items: _rounded(analysis.items_describe(items), **_MOMENTS), "order_items"
+        ),
         "describe_products": _raw(describe_products, "products"),
         "describe_payments": _raw(
             lambda payments: _rounded(describe(payments, ["payment_value"]), **_MOMENTS),

@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 from bazaar.operators.positions import assign_keys
 from bazaar.operators.quality import (
     Rule,
+    any_breach,
     bad_rows,
     empty_tables,
-    good_rows,
     rules_for,
-    with_issues,
 )
 from bazaar.operators.upsert import reduce_batch, upsert
 from bazaar.plans import dimensions as dims
@@ -138,14 +137,12 @@ class Warehouse:
         over the source store them.
         """
         table = TABLES[name]
-        checked = with_issues(rows, [*rules_for(table), *rules])
+        rules = [*rules_for(table), *rules]
         seen = Observation()
-        counted = checked.observe(
-            seen,
-            F.count("*").alias("rows"),
-            F.count_if(F.size("_issues") > 0).alias("bad"),
+        checked = rows.withColumn("_bad", any_breach(rules)).observe(
+            seen, F.count("*").alias("rows"), F.count_if("_bad").alias("bad")
         )
-        batch = finish(good_rows(counted)).withColumn(
+        batch = finish(checked.where(~F.col("_bad")).drop("_bad")).withColumn(
             "created_at", F.lit(self.run_ts).cast("timestamp_ntz")
         )
         if table.partition is None:
@@ -157,7 +154,7 @@ class Warehouse:
         if counts.get("bad", 0):
             log.warning("%s: %d bad rows set apart", name, counts["bad"])
             store = VersionedTable(self.spark, f"{self.root}/quarantine/{name}")
-            store.write(bad_rows(checked, name, table.key))
+            store.write(bad_rows(rows, rules, name, table.key))
         log.info("%s: %d rows read", name, self.loaded_rows[name])
 
     def _write_dimension(self, table: Table, batch: DataFrame) -> None:

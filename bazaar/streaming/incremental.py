@@ -2,34 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bazaar.functions.cleaning import null_missing_tokens
 from bazaar.operators.upsert import reduce_batch, upsert
-from bazaar.schemas import ROW_ORDER
+from bazaar.plans.warehouse import Warehouse
+from bazaar.schemas import CONTRACTS, ROW_ORDER
+from bazaar.sources.files import file_order
 from bazaar.sources.storage import VersionedTable
 
 
-def ingest_new_files(
-    spark: SparkSession,
-    landing: str,
-    schema: T.StructType,
-    apply: Callable[[DataFrame, int], None],
-    checkpoint: str,
-    file_format: str = "parquet",
-    **options: str,
+def read_stream(
+    spark: SparkSession, landing: str, schema: T.StructType, file_format: str, **options: str
+) -> DataFrame:
+    return spark.readStream.schema(schema).format(file_format).options(**options).load(landing)
+
+
+def run_to_end(
+    stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str
 ) -> None:
-    """Hand the files that are new since the last run to ``apply(batch, batch_id)`` and return.
+    """Hand what is new since the last run to ``apply(batch, batch_id)`` and return.
 
     The checkpoint remembers the files taken. A run that failed is repeated with the same files
     under the same batch id, so ``apply`` must give the same result when called again.
     """
-    files = spark.readStream.schema(schema).format(file_format).options(**options).load(landing)
     query = (
-        files.writeStream.foreachBatch(apply)
+        stream.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -67,5 +69,30 @@ def upsert_new_files(
         current = table.read(below=version)
         table.write(rows if current is None else upsert(current, rows, keys, update), version)
 
-    ingest_new_files(spark, landing, schema, apply, checkpoint, **options)
+    run_to_end(read_stream(spark, landing, schema, "parquet", **options), apply, checkpoint)
     return target.read()
+
+
+def ingest_raw_files(
+    warehouse: Warehouse,
+    source: str,
+    landing: str,
+    checkpoint: str,
+    tables: Sequence[str],
+    others: Mapping[str, DataFrame] | None = None,
+    **options: str,
+) -> None:
+    """Load new CSV files of one raw table into the warehouse tables made of it.
+
+    ``others`` are the raw tables that those loads join with. The loads are upserts, so a batch
+    that is repeated after a failure leaves the tables as the first time would have.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in CONTRACTS[source]])
+    csv = {"header": "true", "enforceSchema": "false", "escape": '"', **options}
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        raw = {**(others or {}), source: null_missing_tokens(file_order(batch))}
+        warehouse.load_only(raw, tables, require_non_empty=False)
+
+    stream = read_stream(warehouse.spark, landing, schema, "csv", **csv)
+    run_to_end(stream.select("*", "_metadata"), apply, checkpoint)
