@@ -123,28 +123,28 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """(bin, lower, upper, n) for every bin, empty ones too; NULLs are dropped."""
     bounds = _range(df, column, "x")
     low, high = bounds.select("x_low").scalar(), bounds.select("x_high").scalar()
-    value = F.col(column).cast("double")
     counts = (
         df.where(F.col(column).isNotNull())
-        .select(_axis(value, low, high, bins).alias("bin"))
+        .select(_axis(F.col(column).cast("double"), low, high, bins).alias("bin"))
         .groupBy("bin")
         .agg(F.count("*").alias("n"))
     )
-    width = (F.col("x_high") - F.col("x_low")) / bins
     spine = (
-        bounds.where(F.col("x_low").isNotNull())
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+        df.sparkSession.range(bins)
+        .select(F.col("id").cast("int").alias("bin"), low.alias("low"), high.alias("high"))
+        .where(F.col("low").isNotNull())
+    )
+    width = (F.col("high") - F.col("low")) / bins
+    return (
+        spine.join(counts, "bin", "left")
         .select(
             "bin",
-            (F.col("x_low") + F.col("bin") * width).alias("lower"),
-            F.when(F.col("bin") == bins - 1, F.col("x_high"))
-            .otherwise(F.col("x_low") + (F.col("bin") + 1) * width)
+            (F.col("low") + F.col("bin") * width).alias("lower"),
+            F.when(F.col("bin") == bins - 1, F.col("high"))
+            .otherwise(F.col("low") + (F.col("bin") + 1) * width)
             .alias("upper"),
+            F.coalesce("n", F.lit(0)).alias("n"),
         )
-    )
-    return (
-        spine.join(counts, "bin", "left")
-        .select("bin", "lower", "upper", F.coalesce("n", F.lit(0)).alias("n"))
         .orderBy("bin")
     )
 

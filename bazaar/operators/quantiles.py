@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 from bazaar.operators.positions import running_totals
 
-# Columns up to this size are ordered as they are; larger ones are narrowed by a sketch first.
-SKETCH_ABOVE = 100_000
-SKETCH_ACCURACY = 10_000
+# Columns up to this size are put in order as they are; larger ones are narrowed first.
+NARROW_ABOVE = 100_000
 
 
 def number(name: str) -> Column:
@@ -51,37 +50,38 @@ class _Wanted(NamedTuple):
         return self.of_column() & F.col("value").between(self.low, self.high)
 
 
-def _bracketed(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    sketch_above: int,
-    accuracy: int,
-) -> list[_Wanted]:
-    """Bounds from a sketch whose ranks are off by at most 1/accuracy of the rows.
+def _bounded(df: DataFrame, wanted: Sequence[_Wanted]) -> list[_Wanted]:
+    """Bounds for each quantile, from some hundred thousand to a million of the rows.
 
-    Two such errors to either side leave one to spare, far more than the one row by which a
-    quantile's neighbours may differ from its own rank.
+    The bounds lie six standard errors to either side of the quantile's rank. They only save
+    work: what they hold is counted on all rows, and bounds that miss their quantile are dropped.
     """
-    margin = 2 / accuracy
-    asked = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-margin, margin)]
-    sketch = df.agg(
-        *[F.percentile_approx(number(c), asked, accuracy).alias(c) for c in columns],
-        *[F.count(number(c)).alias(f"n_{c}") for c in columns],
+    largest = max(w.n for w in wanted)
+    fraction = min(1.0, min(1e6, max(1e5, largest / 100)) / largest)
+    some = df.sample(fraction, seed=1) if fraction < 1 else df
+
+    def sides(w: _Wanted) -> tuple[float, float]:
+        margin = 3 / math.sqrt(max(w.n * fraction, 1))
+        return w.probability - margin, w.probability + margin
+
+    found = some.agg(
+        *[
+            F.percentile_approx(number(w.column), [min(max(p, 0.0), 1.0) for p in sides(w)]).alias(
+                str(i)
+            )
+            for i, w in enumerate(wanted)
+        ]
     ).first()
-    wanted = []
-    for c in columns:
-        n = sketch[f"n_{c}"]
-        for i, p in enumerate(probabilities):
-            found = _Wanted(c, p, n)
-            if n > sketch_above:
-                low, high = sketch[c][2 * i : 2 * i + 2]
-                found = found._replace(
-                    low=low if asked[2 * i] > 0 else found.low,
-                    high=high if asked[2 * i + 1] < 1 else found.high,
-                )
-            wanted.append(found)
-    return wanted
+    bounded = []
+    for w, values in zip(wanted, found, strict=True):
+        low, high = sides(w)
+        bounded.append(
+            w._replace(
+                low=values[0] if values and low > 0 else w.low,
+                high=values[1] if values and high < 1 else w.high,
+            )
+        )
+    return bounded
 
 
 def _skipped(values: DataFrame, wanted: Sequence[_Wanted]) -> list[int | None]:
@@ -149,25 +149,26 @@ def quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    sketch_above: int = SKETCH_ABOVE,
-    accuracy: int = SKETCH_ACCURACY,
+    narrow_above: int = NARROW_ABOVE,
 ) -> DataFrame:
     """One row per column: n and, for each probability, the linearly interpolated quantile.
 
-    A large column is read three times but never shuffled: a sketch gives each quantile narrow
-    bounds, the values below them are counted, and only the values inside are put in order, by
-    range partitioning. Should bounds miss their quantile, all values are put in order. The
-    built-in exact percentile would gather all distinct values in one task.
+    A large column is read a few times but hardly shuffled: each quantile gets narrow bounds,
+    the values below them are counted, and only the values inside are put in order, by range
+    partitioning. The result is that of ordering all values; should bounds miss their quantile,
+    that is what happens. The built-in exact percentile would gather all distinct values in one
+    task.
     """
-    wanted = _bracketed(df, columns, probabilities, sketch_above, accuracy)
-    values = melt(df, columns)
+    sizes = df.agg(*[F.count(number(c)).alias(c) for c in columns]).first()
+    wanted = [_Wanted(c, p, sizes[c]) for c in columns for p in probabilities]
     skipped = [0] * len(wanted)
-    if any(w.n > sketch_above for w in wanted):
-        for i, below in enumerate(_skipped(values, wanted)):
-            if below is None:
-                wanted[i] = wanted[i]._replace(low=-math.inf, high=math.inf)
-            else:
-                skipped[i] = below
+    values = melt(df, columns)
+    large = [i for i, w in enumerate(wanted) if w.n > narrow_above]
+    if large:
+        bounded = _bounded(df, [wanted[i] for i in large])
+        for i, w, below in zip(large, bounded, _skipped(values, bounded), strict=True):
+            if below is not None:
+                wanted[i], skipped[i] = w, below
     names = {p: f"p{p * 100:g}" for p in probabilities}
     return (
         _inside(values, wanted, skipped)

@@ -136,11 +136,15 @@ def products_batch(
 
 
 def products_rules() -> list[Rule]:
-    """Measures that are text but no number."""
-    return [
+    """Measures that are text but no number, or too large for a whole-number column."""
+    words = [
         Rule(c, F.col(f"_raw_{c}"), unparsable(F.col(f"_raw_{c}"), F.col(c)), "not a number")
         for c in PRODUCT_MEASURES
     ]
+    return words + [
+        Rule(c, F.col(f"_raw_{c}"), unparsable(F.col(c), F.col(c).try_cast("int")), "out of range")
+        for c in ("product_weight_g", "product_photos_qty")
+    ]
 
 
 def calendar_batch(orders: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from bazaar.plans import dimensions as dims
 from bazaar.plans import facts
 from bazaar.plans.marts import MARTS
 from bazaar.schemas import ROW_ORDER, TABLES, Table
-from bazaar.sources.storage import VersionedTable, has_match, stage
+from bazaar.sources.storage import VersionedTable, has_match, stage, staging
 
 log = logging.getLogger(__name__)
 
@@ -121,9 +121,23 @@ class Warehouse:
             if _SOURCES[name] in empty:
                 log.info("%s: nothing to load", name)
             else:
-                _LOADERS[name](self, raw)
+                with staging(self.spark):
+                    _LOADERS[name](self, raw)
         return self
 
+    def land(self, raw: Raw) -> dict[str, DataFrame]:
+        """Write the raw tables as snapshots and return them as stored.
+
+        Text files are then parsed once, however many tables are made of them, and every row
+        keeps its place in its source.
+        """
+        landed = {}
+        for name, df in raw.items():
+            table = VersionedTable(self.spark, f"{self.root}/raw/{name}", df.schema)
+            table.write(df)
+            landed[name] = table.read()
+        return landed
+
     def _load(
         self,
         name: str,

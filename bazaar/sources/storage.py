@@ -5,6 +5,9 @@ from __future__ import annotations
 import logging
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -12,6 +15,7 @@ from pyspark.sql import types as T
 log = logging.getLogger(__name__)
 
 _local_folders: dict[str, str] = {}
+_scope: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,6 +35,10 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def _stage_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/bazaar-stage/{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the frame to the shared folder and read it back.
 
@@ -38,11 +46,33 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     an executor, and the planner knows the table's real size.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/bazaar-stage/{label}-{uuid.uuid4().hex}"
+    path = f"{_stage_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block when it ends, also by an error."""
+    staged: list[str] = []
+    token = _scope.set(staged)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in staged:
+            _file_system(spark, path).delete(_path(spark, path), True)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete all that this application has staged; frames that read it are void afterwards."""
+    path = _stage_folder(spark)
+    _file_system(spark, path).delete(_path(spark, path), True)
+
+
 def _path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 

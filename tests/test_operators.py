@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import bazaar.operators.quantiles as module
 from bazaar.operators.dedup import keep_first
 from bazaar.operators.lookup import broadcast_if_small
 from bazaar.operators.positions import assign_keys, positions, running_totals
@@ -147,14 +148,14 @@ def _mixed(spark, n: int):
     )
 
 
-@pytest.mark.parametrize("sketch", [{}, {"sketch_above": 100, "accuracy": 50}])
-def test_quantiles_equal_numpy(spark, sketch, tmp_path):
+@pytest.mark.parametrize("narrow_above", [10**6, 100])
+def test_quantiles_equal_numpy(spark, narrow_above, tmp_path):
     _mixed(spark, 5000).write.parquet(str(tmp_path / "q"))
     df = spark.read.parquet(str(tmp_path / "q"))
     probabilities = [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]
     got = {
         r.column_name: list(r)[1:]
-        for r in quantiles(df, ["spread", "hot"], probabilities, **sketch).collect()
+        for r in quantiles(df, ["spread", "hot"], probabilities, narrow_above).collect()
     }
     frame = df.toPandas()
     for column in ("spread", "hot"):
@@ -163,6 +164,17 @@ def test_quantiles_equal_numpy(spark, sketch, tmp_path):
         np.testing.assert_allclose(got[column][1:], values.quantile(probabilities), rtol=1e-12)
 
 
+def test_quantiles_outside_their_bounds_are_found_all_the_same(spark, monkeypatch):
+    df = _mixed(spark, 3000)
+    df = spark.createDataFrame(df.toPandas())
+    monkeypatch.setattr(
+        module, "_bounded", lambda df, wanted: [w._replace(low=1.0, high=2.0) for w in wanted]
+    )
+    row = quantiles(df, ["spread"], [0.5, 0.9], narrow_above=10).first()
+    expected = df.toPandas().spread.quantile([0.5, 0.9])
+    np.testing.assert_allclose([row.p50, row.p90], expected, rtol=1e-12)
+
+
 def test_quantiles_of_tiny_columns(spark):
     df = spark.createDataFrame([(1.0, None), (4.0, None)], "a double, b double")
     got = {r.column_name: tuple(r) for r in quantiles(df, ["a", "b"], [0.25, 0.5]).collect()}

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from bazaar.operators import profile
 from bazaar.operators.dedup import keep_first
-from bazaar.plans import explorations, marts
+from bazaar.plans import catalog, explorations, marts
 from bazaar.plans.facts import orders_payments_detail, payments_rollup
 from bazaar.plans.registry import warehouse
 from bazaar.schemas import ROW_ORDER
@@ -157,3 +158,24 @@ def test_hot_products_are_split_in_the_seller_mart(spark, no_broadcast, skew_fro
     assert "skew=true" in final_plan(mart)
     row = mart.first()
     assert (row.total_orders, row.unique_products_sold, int(row.total_revenue)) == (40_000, 501, 40_000)
+
+
+def test_bucketed_facts_join_without_a_shuffle(spark, no_broadcast, rows):
+    house = warehouse(spark, TESTDATA)
+    catalog.create_tables(spark, "buckets", house)
+    catalog.bucket_facts(spark, "buckets", house, 4)
+    star = house.star()
+    expected = rows(explorations.delivery_by_seller(star))
+    assert "hashpartitioning(order_id" in plan(explorations.delivery_by_seller(star))
+    for name in ("fact_orders", "fact_order_items"):
+        star[name] = spark.table(f"buckets.{name}_by_order")
+    bucketed = explorations.delivery_by_seller(star)
+    assert "hashpartitioning(order_id" not in plan(bucketed)
+    assert rows(bucketed) == expected
+
+
+def test_histogram_reads_the_bounds_once(spark):
+    items = raw_table(spark, TESTDATA, "order_items")
+    text = final_plan(profile.histogram(items, "price"))
+    scans = text.split("== Initial Plan ==")[0].count("FileScan")
+    assert scans <= 2

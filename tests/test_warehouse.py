@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from bazaar.plans import catalog, explorations, marts
 from bazaar.plans.warehouse import Warehouse, with_needs
 from bazaar.schemas import CONTRACTS, ROW_ORDER, TABLES
+from bazaar.sources.storage import shared_folder
 from bazaar.sources.tables import raw_tables
 from conftest import TESTDATA
 
@@ -311,6 +313,30 @@ def test_failed_load_raises_and_keeps_the_table(spark, tmp_path, rows):
     assert rows(Warehouse(spark, str(tmp_path)).table("dim_sellers")) == before
 
 
+def test_landed_tables_load_alike(spark, small, tmp_path, rows):
+    house = Warehouse(spark, str(tmp_path), FIRST)
+    house.load(house.land(small_raw(spark)))
+    for name, df in house.star().items():
+        assert rows(df) == rows(small.table(name))
+
+
+def test_measures_that_do_not_fit_are_set_apart(spark, tmp_path):
+    raw = small_raw(spark, products=[("p1", "beleza", "5", "5", "1", "1e12", "2", "3", "inf")])
+    house = Warehouse(spark, str(tmp_path), FIRST).load(raw, ["dim_products"])
+    assert [tuple(r)[2:] for r in house.quarantine("dim_products").collect()] == [
+        ("product_weight_g", "1e12", "out of range")
+    ]
+    assert house.table("dim_products").isEmpty()
+
+
+def test_nothing_stays_staged_after_a_load(spark, loaded):
+    folder = Path(f"{shared_folder(spark)}/bazaar-stage/{spark.sparkContext.applicationId}")
+    before = set(folder.iterdir()) if folder.exists() else set()
+    house = Warehouse(spark, loaded.root + "-again", FIRST).load(small_raw(spark))
+    house.load(small_raw(spark))
+    assert (set(folder.iterdir()) if folder.exists() else set()) == before
+
+
 def test_needs():
     assert with_needs(["fact_order_items"]) == ["dim_time", "fact_orders", "fact_order_items"]
 
