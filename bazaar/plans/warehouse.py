@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -49,6 +50,15 @@ def with_needs(tables: Sequence[str]) -> list[str]:
     return [table for table in NEEDS if table in wanted]
 
 
+def independent_groups(tables: Sequence[str]) -> list[list[str]]:
+    """The tables in load order, grouped so that each needs only tables of earlier groups."""
+    depth: dict[str, int] = {}
+    for table in NEEDS:
+        depth[table] = max((depth[need] + 1 for need in NEEDS[table]), default=0)
+    groups = [[t for t in NEEDS if t in tables and depth[t] == level] for level in range(3)]
+    return [group for group in groups if group]
+
+
 class Warehouse:
     """The star schema under one folder.
 
@@ -113,16 +123,23 @@ class Warehouse:
     def load_only(
         self, raw: Raw, tables: Sequence[str], require_non_empty: bool = True
     ) -> Warehouse:
-        """Load just the named tables, in the given order, into what is there already."""
+        """Load just the named tables into what is there already."""
         empty = empty_tables({_SOURCES[name]: raw[_SOURCES[name]] for name in tables})
         if empty and require_non_empty:
             raise ValueError(f"no rows in {', '.join(empty)}")
-        for name in tables:
+
+        def load(name: str) -> None:
             if _SOURCES[name] in empty:
                 log.info("%s: nothing to load", name)
-            else:
-                with staging(self.spark):
-                    _LOADERS[name](self, raw)
+                return
+            with staging(self.spark):
+                _LOADERS[name](self, raw)
+
+        # Tables that do not need each other load side by side: a small one does not keep the
+        # cluster waiting.
+        for group in independent_groups(tables):
+            with ThreadPoolExecutor(len(group)) as threads:
+                list(threads.map(load, group))
         return self
 
     def land(self, raw: Raw) -> dict[str, DataFrame]:

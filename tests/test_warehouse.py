@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bazaar.plans import catalog, explorations, marts
-from bazaar.plans.warehouse import Warehouse, with_needs
+from bazaar.plans.warehouse import Warehouse, independent_groups, with_needs
 from bazaar.schemas import CONTRACTS, ROW_ORDER, TABLES
 from bazaar.sources.storage import shared_folder
 from bazaar.sources.tables import raw_tables
@@ -338,6 +338,11 @@ def test_nothing_stays_staged_after_a_load(spark, loaded):
 
 
 def test_needs():
+    assert independent_groups(list(TABLES)) == [
+        ["dim_geography", "dim_products", "dim_time"],
+        ["dim_customers", "dim_sellers", "fact_orders"],
+        ["fact_order_items"],
+    ]
     assert with_needs(["fact_order_items"]) == ["dim_time", "fact_orders", "fact_order_items"]
 
 
