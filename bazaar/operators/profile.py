@@ -47,13 +47,17 @@ def null_counts(df: DataFrame, name: str, only_missing: bool = False) -> DataFra
 
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value and their share, in percent, of all rows; NULL counts in the whole only."""
+    """Rows per value, most frequent first, and their share of all rows in percent.
+
+    NULL counts in the whole only.
+    """
     total = df.agg(F.count("*")).scalar()
     return (
         df.where(F.col(column).isNotNull())
         .groupBy(column)
         .agg(F.count("*").alias("n"))
         .withColumn("percent", F.col("n") / total * 100)
+        .orderBy(F.desc("n"), column)
     )
 
 

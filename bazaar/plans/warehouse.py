@@ -22,7 +22,7 @@ from bazaar.operators.upsert import reduce_batch, upsert
 from bazaar.plans import dimensions as dims
 from bazaar.plans import facts
 from bazaar.plans.marts import MARTS
-from bazaar.schemas import ROW_ORDER, TABLES, Table
+from bazaar.schemas import CONTRACTS, ROW_ORDER, TABLES, Table
 from bazaar.sources.storage import VersionedTable, has_match, stage, staging
 
 log = logging.getLogger(__name__)
@@ -235,6 +235,13 @@ class Warehouse:
             raise LookupError(f"mart {name} has not been refreshed")
         return frame
 
+    def expire(self, keep: int = 2) -> None:
+        """Delete all but the newest snapshots of raw tables, dimensions and marts."""
+        names = [t.name for t in TABLES.values() if t.partition is None]
+        names += [f"raw/{source}" for source in CONTRACTS] + [f"marts/{mart}" for mart in MARTS]
+        for name in names:
+            VersionedTable(self.spark, self.path(name)).expire(keep)
+
 
 def _conform(batch: DataFrame, table: Table) -> DataFrame:
     return batch.select([F.col(f.name).cast(f.dataType) for f in table.schema.fields])

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bazaar.plans import catalog, explorations, marts
+from bazaar.plans.daily import run_daily
 from bazaar.plans.warehouse import Warehouse, independent_groups, with_needs
 from bazaar.schemas import CONTRACTS, ROW_ORDER, TABLES
 from bazaar.sources.storage import shared_folder
@@ -396,3 +397,26 @@ def test_catalog_tables_and_statistics(spark, loaded):
         assert spark.table(f"shop.{name}").count() == df.count()
     stats = spark.sql("DESCRIBE EXTENDED shop.fact_orders").where("col_name = 'Statistics'").first()
     assert "1500 rows" in stats.data_type
+
+
+def test_daily_run_from_csv_files(spark, small, tmp_path, rows):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    names = {
+        "geography": "geolocation_dataset.csv",
+        "category_translation": "product_category_name_translation.csv",
+    }
+    for table, df in small_raw(spark).items():
+        file = folder / names.get(table, f"{table}_dataset.csv")
+        df.drop(ROW_ORDER).toPandas().to_csv(file, index=False, encoding="utf-8-sig")
+    counts = [
+        run_daily(spark, str(folder), str(tmp_path / "shop"), "daily", run_ts)
+        for run_ts in (FIRST, SECOND, SECOND)
+    ]
+    assert counts[0] == counts[1] == counts[2] == {n: df.count() for n, df in small.star().items()}
+    house = Warehouse(spark, str(tmp_path / "shop"))
+    for name, df in house.star().items():
+        assert rows(df) == rows(small.table(name))
+        assert spark.table(f"daily.{name}").count() == df.count()
+    assert len(list((tmp_path / "shop" / "dim_sellers").glob("version=*"))) == 2
+    assert rows(house.mart("daily_revenue")) == rows(marts.daily_revenue(small.star()))
