@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -150,6 +150,7 @@ def quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     narrow_above: int = NARROW_ABOVE,
+    sizes: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """One row per column: n and, for each probability, the linearly interpolated quantile.
 
@@ -157,9 +158,9 @@ def quantiles(
     the values below them are counted, and only the values inside are put in order, by range
     partitioning. The result is that of ordering all values; should bounds miss their quantile,
     that is what happens. The built-in exact percentile would gather all distinct values in one
-    task.
+    task. ``sizes`` spares a pass if the numbers of values are known.
     """
-    sizes = df.agg(*[F.count(number(c)).alias(c) for c in columns]).first()
+    sizes = sizes or df.agg(*[F.count(number(c)).alias(c) for c in columns]).first().asDict()
     wanted = [_Wanted(c, p, sizes[c]) for c in columns for p in probabilities]
     skipped = [0] * len(wanted)
     values = melt(df, columns)
@@ -186,28 +187,28 @@ def quantiles(
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """n, mean, sample deviation, min, quartiles and max of each column; NULLs are ignored."""
     exact = {c for c, kind in df.dtypes if kind.startswith(("decimal", "int", "bigint"))}
-    rows = []
-    aggregates = []
-    for c in columns:
-        value = F.col(c) if c in exact else F.when(~F.isnan(c), F.col(c))
-        aggregates += [
-            F.count(value).alias(f"{c}__n"),
-            (F.sum(value).cast("double") / F.count(value) if c in exact else F.avg(value)).alias(
-                f"{c}__mean"
-            ),
-            F.stddev_samp(value.cast("double")).alias(f"{c}__std"),
-            F.min(value).cast("double").alias(f"{c}__min"),
-            F.max(value).cast("double").alias(f"{c}__max"),
+
+    def moments(c: str) -> list[Column]:
+        mean = F.sum(c).cast("double") / F.count(c) if c in exact else F.avg(number(c))
+        return [
+            F.count(number(c)),
+            mean,
+            F.stddev_samp(number(c)),
+            F.min(number(c)),
+            F.max(number(c)),
         ]
-        rows.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                *[F.col(f"{c}__{part}").alias(part) for part in ("n", "mean", "std", "min", "max")],
-            )
-        )
-    moments = df.agg(*aggregates).select(F.inline(F.array(*rows)))
-    quartiles = quantiles(df, columns, [0.25, 0.5, 0.75]).drop("n")
-    return moments.join(quartiles, "column_name", "left").select(
+
+    row = df.agg(*[part for c in columns for part in moments(c)]).first()
+    found = {c: tuple(row[5 * i : 5 * i + 5]) for i, c in enumerate(columns)}
+    # A row per column, as its five moments are.
+    table = df.sparkSession.createDataFrame(
+        [(c, *values) for c, values in found.items()],
+        "column_name string, n bigint, mean double, std double, min double, max double",
+    )
+    quartiles = quantiles(
+        df, columns, [0.25, 0.5, 0.75], sizes={c: values[0] for c, values in found.items()}
+    )
+    return table.join(F.broadcast(quartiles.drop("n")), "column_name", "left").select(
         "column_name", "n", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 

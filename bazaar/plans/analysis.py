@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.functions.measures import mean
 from bazaar.operators.profile import group_sizes
-from bazaar.operators.quantiles import describe, quantiles
+from bazaar.operators.quantiles import describe
 from bazaar.plans.facts import clean_payments, items_rows
 from bazaar.sources.storage import stage
 
@@ -49,24 +48,9 @@ def payments_by(payments: DataFrame, column: str) -> DataFrame:
 
 def price_stats(items: DataFrame) -> DataFrame:
     """Least, greatest, mean and median of price and freight."""
-    names = ["price", "freight_value"]
-    rows = items_rows(items)
-    aggregates, parts = [], []
-    for c in names:
-        aggregates += [
-            F.min(c).cast("double").alias(f"{c}__min"),
-            F.max(c).cast("double").alias(f"{c}__max"),
-            mean(F.sum(c), F.count(c)).alias(f"{c}__mean"),
-        ]
-        parts.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                *[F.col(f"{c}__{part}").alias(part) for part in ("min", "max", "mean")],
-            )
-        )
-    moments = rows.agg(*aggregates).select(F.inline(F.array(*parts)))
-    medians = quantiles(rows, names, [0.5]).select("column_name", F.col("p50").alias("median"))
-    return moments.join(medians, "column_name", "left")
+    return describe(items_rows(items), ["price", "freight_value"]).select(
+        "column_name", "min", "max", "mean", F.col("p50").alias("median")
+    )
 
 
 def approximate_price_stats(items: DataFrame, accuracy: int = 10_000) -> DataFrame:
