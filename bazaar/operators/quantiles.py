@@ -106,38 +106,57 @@ def _skipped(values: DataFrame, wanted: Sequence[_Wanted]) -> list[int | None]:
 
 def _inside(values: DataFrame, wanted: Sequence[_Wanted], skipped: Sequence[int]) -> DataFrame:
     """(column_name, probability, n, value) from the values inside each quantile's bounds."""
-    rows = [
-        F.struct(
-            F.lit(w.probability).alias("probability"),
-            F.lit(w.n).alias("n"),
-            F.lit(below).alias("skipped"),
-            w.inside().alias("inside"),
-        )
-        for w, below in zip(wanted, skipped, strict=True)
-    ]
-    group = ["column_name", "probability", "n", "skipped"]
+    # Quantiles with the same bounds share the values inside.
+    spans = list({(w.column, w.low, w.high): w.inside() for w in wanted}.items())
+    span_of = {span: i for i, (span, _) in enumerate(spans)}
     # Equal values are counted, so a value that fills a third of the column is one row.
     counted = (
-        values.where(reduce(Column.__or__, [w.inside() for w in wanted]))
-        .select("column_name", "value", F.inline(F.array(*rows)))
-        .where("inside")
-        .groupBy(*group, "value")
+        values.where(reduce(Column.__or__, [inside for _, inside in spans]))
+        .select(
+            "value",
+            F.explode(F.array(*[F.when(inside, i) for i, (_, inside) in enumerate(spans)])).alias(
+                "span"
+            ),
+        )
+        .where(F.col("span").isNotNull())
+        .groupBy("span", "value")
         .agg(F.count("*").alias("n_value"))
     )
-    ordered = running_totals(counted, ["column_name", "probability", "value"], "n_value")
-    # A row per quantile: where its values start in the common order.
-    starts = ordered.groupBy("column_name", "probability").agg(F.min("before").alias("start"))
+    ordered = running_totals(counted, ["span", "value"], "n_value")
+    # A row per span: where its values start in the common order.
+    starts = ordered.groupBy("span").agg(F.min("before").alias("start"))
+    # A row per quantile, in the plan itself.
+    asked = values.sparkSession.range(1).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(span_of[(w.column, w.low, w.high)]).alias("span"),
+                        F.lit(w.column).alias("column_name"),
+                        F.lit(w.probability).alias("probability"),
+                        F.lit(w.n).cast("bigint").alias("n"),
+                        F.lit(below).cast("bigint").alias("skipped"),
+                    )
+                    for w, below in zip(wanted, skipped, strict=True)
+                ]
+            )
+        )
+    )
     place = (F.col("n") - 1) * F.col("probability")
 
-    def at(rank: Column) -> Column:
-        held = (rank >= F.col("first")) & (rank < F.col("first") + F.col("n_value"))
-        return F.max(F.when(held, F.col("value")))
+    def covers(rank: Column) -> Column:
+        return (rank >= F.col("first")) & (rank < F.col("first") + F.col("n_value"))
 
+    lower, upper = covers(F.floor(place)), covers(F.ceil(place))
     return (
-        ordered.join(F.broadcast(starts), ["column_name", "probability"])
+        ordered.join(F.broadcast(asked.join(F.broadcast(starts), "span")), "span")
         .withColumn("first", F.col("before") - F.col("start") + F.col("skipped"))
+        .where(lower | upper)
         .groupBy("column_name", "probability", "n")
-        .agg(at(F.floor(place)).alias("lower"), at(F.ceil(place)).alias("upper"))
+        .agg(
+            F.max(F.when(lower, F.col("value"))).alias("lower"),
+            F.max(F.when(upper, F.col("value"))).alias("upper"),
+        )
         .withColumn(
             "value",
             F.col("lower") + (F.col("upper") - F.col("lower")) * (place - F.floor(place)),
@@ -200,11 +219,19 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     row = df.agg(*[part for c in columns for part in moments(c)]).first()
     found = {c: tuple(row[5 * i : 5 * i + 5]) for i, c in enumerate(columns)}
-    # A row per column, as its five moments are.
-    table = df.sparkSession.createDataFrame(
-        [(c, *values) for c, values in found.items()],
-        "column_name string, n bigint, mean double, std double, min double, max double",
-    )
+    names = ("n", "mean", "std", "min", "max")
+    rows = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            *[
+                F.lit(value).cast("bigint" if name == "n" else "double").alias(name)
+                for name, value in zip(names, values, strict=True)
+            ],
+        )
+        for c, values in found.items()
+    ]
+    # A row per column, in the plan itself.
+    table = df.sparkSession.range(1).select(F.inline(F.array(*rows)))
     quartiles = quantiles(
         df, columns, [0.25, 0.5, 0.75], sizes={c: values[0] for c, values in found.items()}
     )
