@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import byte_bpe, chat, line_dedup
+from bazaar.llm import byte_bpe, chat, decontamination, line_dedup
 from bazaar.llm.oracles import ORACLES
 
 # Vocabulary of the byte-level encoding.
@@ -60,6 +60,20 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontamination.find_contamination(docs, benchmark, keep=["doc_id"])
+    n_hit = decontamination.hit_words()
+    return found.select(
+        "doc_id",
+        F.col(decontamination.WORDS).alias("n_words"),
+        n_hit.alias("n_hit"),
+        F.size(decontamination.ITEMS).cast("long").alias("n_items"),
+        F.sha2(F.array_join(decontamination.ITEMS, ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_dedup.drop_boilerplate(docs, dropped="n_dropped").select(
@@ -71,7 +85,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_byte_bpe, op5_chat_format, op8_line_dedup)}
+    return {f.__name__: f for f in (op4_byte_bpe, op5_chat_format, op6_decontamination, op8_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
