@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,16 +45,18 @@ def text_bytes(column: str | Column = "text") -> Column:
     return F.coalesce(column.cast("binary"), F.lit(b""))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: int = -1) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that the texts in column ``text`` take about PIECE_BYTES at most;
-    a longer text is a piece of its own."""
+def pieces(
+    batches: Iterator[pa.RecordBatch], text: int = -1, size: int = PIECE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that the texts in column ``text`` take ``size`` bytes at most; a
+    longer text is a piece of its own."""
     for batch in batches:
         if not batch.num_rows:
             continue
         offsets = byte_offsets(batch.column(text))
         start = 0
         while start < batch.num_rows:
-            end = int(np.searchsorted(offsets, offsets[start] + PIECE_BYTES, "right")) - 1
+            end = int(np.searchsorted(offsets, offsets[start] + size, "right")) - 1
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
@@ -77,12 +79,6 @@ def byte_data(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def map_arrow(
-    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    return df.mapInArrow(work, schema)
-
-
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """Spread 64-bit values evenly (the finalizer of SplitMix64)."""
     x = x.astype(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x9E3779B97F4A7C15) % 2**64)

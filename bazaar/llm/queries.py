@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import byte_bpe, chat, decontamination, line_dedup
+from bazaar.llm import byte_bpe, chat, decontamination, line_dedup, ngram_join
 from bazaar.llm.oracles import ORACLES
 
 # Vocabulary of the byte-level encoding.
@@ -84,8 +84,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_byte_bpe, op5_chat_format, op6_decontamination, op8_line_dedup)}
+    return {f.__name__: f for f in (op4_byte_bpe, op5_chat_format, op6_decontamination, op8_line_dedup, op9_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
