@@ -64,7 +64,8 @@ def pieces(
 
 def byte_offsets(texts: pa.Array) -> np.ndarray:
     """Start of each text in the array's data, and the end of the last one."""
-    kind = np.int64 if pa.types.is_large_binary(texts.type) else np.int32
+    large = pa.types.is_large_binary(texts.type) or pa.types.is_large_string(texts.type)
+    kind = np.int64 if large else np.int32
     offsets = np.frombuffer(texts.buffers()[1], kind, len(texts) + 1 + texts.offset)
     return offsets[texts.offset :].astype(np.int64)
 

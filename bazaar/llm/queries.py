@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import byte_bpe, chat, decontamination, line_dedup, ngram_join
+from bazaar.llm import byte_bpe, chat, decontamination, line_dedup, ngram_join, toxicity
 from bazaar.llm.oracles import ORACLES
 
 # Vocabulary of the byte-level encoding.
@@ -21,7 +21,7 @@ def token_digests(docs: DataFrame) -> DataFrame:
     """Ids of each text and the text that they give back, as digests."""
     vocabulary = public_tokenizers.path(BYTE_RANKS)
     encoded = byte_bpe.encode_texts(
-        docs.select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN
+        docs, vocabulary, public_tokenizers.PATTERN, keep=["doc_id"]
     )
     return byte_bpe.decode_ids(encoded, vocabulary).select(
         "doc_id",
@@ -74,6 +74,21 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def toxicity_classifier(spark: SparkSession, sf_dir: str) -> toxicity.Classifier:
+    return toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_texts(docs, toxicity_classifier(spark, sf_dir), keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        toxicity.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_dedup.drop_boilerplate(docs, dropped="n_dropped").select(
@@ -89,7 +104,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_byte_bpe, op5_chat_format, op6_decontamination, op8_line_dedup, op9_ngram_join)}
+    return {f.__name__: f for f in (op4_byte_bpe, op5_chat_format, op6_decontamination, op7_toxicity, op8_line_dedup, op9_ngram_join)}
 
 
 def oracle_sql() -> dict[str, str]:
