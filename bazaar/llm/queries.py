@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import byte_bpe, chat, decontamination, line_dedup, ngram_join, toxicity
+from bazaar.llm import byte_bpe, chat, decontamination, line_dedup, ngram_join, token_files, toxicity
 from bazaar.llm.oracles import ORACLES
 
 # Vocabulary of the byte-level encoding.
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
+# Tokenizer of the files of ids.
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,8 +105,15 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write_token_files(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), end=1
+    )
+    return token_files.read_token_files(files)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_byte_bpe, op5_chat_format, op6_decontamination, op7_toxicity, op8_line_dedup, op9_ngram_join)}
+    return {f.__name__: f for f in (op4_byte_bpe, op5_chat_format, op6_decontamination, op7_toxicity, op8_line_dedup, op9_ngram_join, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
