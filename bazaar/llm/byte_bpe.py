@@ -2,16 +2,17 @@
 
 import base64
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from bazaar.llm.common import text_bytes
+from bazaar.llm.common import pieces, text_bytes
 
 # Pre-tokens kept with their ids in a worker; the store is emptied when it is full.
-CACHE_ENTRIES = 1 << 20
+CACHE_ENTRIES = 1 << 18
 # Each byte is one character of the model: a block of letters without spaces or controls.
 FIRST_CHARACTER = 0x100
 CHARACTERS = [chr(FIRST_CHARACTER + byte) for byte in range(256)]
@@ -106,56 +107,62 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, self.split(text.decode("utf-8", "replace"))))
 
 
-def _encode(texts: Iterator[pd.Series], vocabulary: str, pattern: str) -> Iterator[pd.Series]:
-    encoder = Encoder(read_ranks(vocabulary), pattern)
-    for batch in texts:
-        yield batch.map(encoder.encode)
-
-
-def _decode(payloads: Iterator[pd.Series], vocabulary: str) -> Iterator[pd.Series]:
-    token = read_ranks(vocabulary).__getitem__
-    for batch in payloads:
-        yield batch.map(lambda ids: b"".join(map(token, memoryview(ids).cast("I"))))
-
-
-def token_ids(text: str | Column, vocabulary: str, pattern: str) -> Column:
-    """The ids of a text as binary, little-endian unsigned 32-bit; without special tokens.
+def _mapped(
+    docs: DataFrame,
+    column: str,
+    out: str,
+    keep: list[str] | None,
+    worker: Callable[[], Callable[[bytes], bytes]],
+) -> DataFrame:
+    """The kept columns, and ``out``: what ``worker()`` makes of each row's bytes.
 
-    ``vocabulary`` is the path of a rank file, ``pattern`` splits a text into pre-tokens, which
-    are merged separately. Null and empty texts have no ids. Texts of any length are encoded
-    whole; bytes that are not UTF-8 count as U+FFFD.
+    Arrow batches are cut into pieces of some megabytes, so a task's memory is that of a piece,
+    the worker's own store, and the batch that Spark hands over.
     """
+    keep = [c for c in (docs.columns if keep is None else keep) if c != out]
+    given = docs.select(*(F.col(f"`{c}`") for c in keep), text_bytes(F.col(f"`{column}`")).alias(out))
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(out, T.BinaryType())])
 
-    @F.pandas_udf("binary")
-    def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        return _encode(texts, vocabulary, pattern)
-
-    return encode(text_bytes(text))
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = worker()
+        for batch in pieces(batches):
+            made = pa.array([make(value.as_py()) for value in batch.column(-1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=batch.schema.names)
 
-
-def token_bytes(ids: str | Column, vocabulary: str) -> Column:
-    """The bytes that ids stand for, by the inverse mapping; null ids as none."""
-
-    @F.pandas_udf("binary")
-    def decode(payloads: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        return _decode(payloads, vocabulary)
-
-    return decode(text_bytes(ids))
+    return given.mapInArrow(work, schema)
 
 
 def encode_texts(
-    docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", out: str = "token_ids"
+    docs: DataFrame,
+    vocabulary: str,
+    pattern: str,
+    text: str = "text",
+    out: str = "token_ids",
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """All rows and columns of ``docs``, and the ids of each text in ``out``.
+    """All rows and columns of ``docs`` (or those in ``keep``), and the ids of each text in
+    ``out``, as binary: little-endian unsigned 32-bit integers, without special tokens.
 
-    One pass without a shuffle. A column already named ``out`` is replaced. Repeated rows are
-    encoded each; an empty table gives an empty one.
+    ``vocabulary`` is the path of a rank file, ``pattern`` splits a text into pre-tokens, which
+    are merged separately. Null and empty texts have no ids. Texts of any length are encoded
+    whole; bytes that are not UTF-8 count as U+FFFD. A column already named ``out`` is replaced.
+    Repeated rows are encoded each; an empty table gives an empty one. One pass, no shuffle.
     """
-    return docs.withColumn(out, token_ids(text, vocabulary, pattern))
+    return _mapped(docs, text, out, keep, lambda: Encoder(read_ranks(vocabulary), pattern).encode)
 
 
 def decode_ids(
-    docs: DataFrame, vocabulary: str, ids: str = "token_ids", out: str = "decoded"
+    docs: DataFrame,
+    vocabulary: str,
+    ids: str = "token_ids",
+    out: str = "decoded",
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """All rows and columns of ``docs``, and the bytes of each row's ids in ``out``."""
-    return docs.withColumn(out, token_bytes(ids, vocabulary))
+    """All rows and columns of ``docs`` (or those in ``keep``), and the bytes that each row's ids
+    stand for in ``out``, by the inverse mapping; none for null ids."""
+
+    def worker() -> Callable[[bytes], bytes]:
+        token = read_ranks(vocabulary).__getitem__
+        return lambda payload: b"".join(map(token, memoryview(payload).cast("I")))
+
+    return _mapped(docs, ids, out, keep, worker)
