@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import byte_bpe, chat, decontamination, line_dedup, ngram_join, token_files, toxicity
+from bazaar.llm import byte_bpe, chat, decontamination, line_dedup, ngram_join, pii, token_files, toxicity
 from bazaar.llm.oracles import ORACLES
 
 # Vocabulary of the byte-level encoding.
@@ -33,6 +33,26 @@ def token_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+    def written(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.KINDS))
+    return found.select(
+        "doc_id",
+        *(number(kind) for kind in pii.KINDS),
+        F.sha2(written(base), 256).alias("base_sha256"),
+        written("spans").alias("spans"),
+    )
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
@@ -113,7 +133,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_byte_bpe, op5_chat_format, op6_decontamination, op7_toxicity, op8_line_dedup, op9_ngram_join, op10_token_files)}
+    return {f.__name__: f for f in (op3_personal_data, op4_byte_bpe, op5_chat_format, op6_decontamination, op7_toxicity, op8_line_dedup, op9_ngram_join, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
