@@ -1,6 +1,6 @@
 """SQL for DuckDB that gives the rows of those queries that SQL can express."""
 
-from bazaar.llm import line_dedup
+from bazaar.llm import line_dedup, search
 
 # The control strings of the default chat template, in two patterns: a first character, and what
 # follows it after any backslashes.
@@ -62,4 +62,45 @@ SELECT doc_id, CAST(len(new) AS BIGINT) AS n_kept, CAST(len(old) - len(new) AS B
 FROM kept
 """
 
-ORACLES = {"op5_chat_format": CHAT, "op8_line_dedup": LINES}
+# Words in the order of the Python code's arithmetic, so that scores round alike.
+SEARCH = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS terms
+    FROM documents
+), items AS (
+    SELECT row_number() OVER () AS item, item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS terms
+    FROM benchmark
+), wanted AS (
+    SELECT item, item_id, term, count(*) AS weight
+    FROM (SELECT item, item_id, unnest(terms) AS term FROM items) GROUP BY ALL
+), postings AS (
+    SELECT row, doc_id, size, term, CAST(count(*) AS DOUBLE) AS tf
+    FROM (SELECT row, doc_id, len(terms) AS size, unnest(terms) AS term FROM docs)
+    WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+), corpus AS (
+    SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(len(terms)) AS DOUBLE) / count(*) AS mean
+    FROM docs
+), frequency AS (
+    SELECT term, ln(1 + (n - df + CAST(0.5 AS DOUBLE)) / (df + CAST(0.5 AS DOUBLE))) AS idf
+    FROM (SELECT term, CAST(count(*) AS DOUBLE) AS df FROM postings GROUP BY term), corpus
+), scored AS (
+    SELECT row, doc_id, term, CAST(round(CAST({search.STEPS} AS DOUBLE) * idf * tf
+        * CAST({search.K1 + 1} AS DOUBLE) / (tf + CAST({search.K1} AS DOUBLE) * (
+            CAST({1 - search.B} AS DOUBLE) + CAST({search.B} AS DOUBLE) * size / mean))) AS BIGINT)
+        AS score
+    FROM postings JOIN frequency USING (term), corpus
+), results AS (
+    SELECT item, item_id, row, doc_id, CAST(sum(weight * score) AS BIGINT) AS score
+    FROM wanted JOIN scored USING (term) GROUP BY ALL
+)
+SELECT item_id, rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+    FROM results WHERE score > 0
+) WHERE rank <= {search.TOP}
+"""
+
+ORACLES = {"op1_search": SEARCH, "op5_chat_format": CHAT, "op8_line_dedup": LINES}

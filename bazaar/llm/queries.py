@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import byte_bpe, chat, decontamination, line_dedup, ngram_join, pii, token_files, toxicity
+from bazaar.llm import byte_bpe, chat, decontamination, line_dedup, ngram_join, pii, search, token_files, toxicity
 from bazaar.llm.oracles import ORACLES
 
 # Vocabulary of the byte-level encoding.
@@ -33,6 +33,13 @@ def token_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op1_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents nearest to each benchmark item: all items against all documents."""
+    return search.search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), query="item_id"
+    )
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -133,7 +140,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_personal_data, op4_byte_bpe, op5_chat_format, op6_decontamination, op7_toxicity, op8_line_dedup, op9_ngram_join, op10_token_files)}
+    return {f.__name__: f for f in (op1_search, op3_personal_data, op4_byte_bpe, op5_chat_format, op6_decontamination, op7_toxicity, op8_line_dedup, op9_ngram_join, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
