@@ -1,6 +1,6 @@
 """SQL for DuckDB that gives the rows of those queries that SQL can express."""
 
-from bazaar.llm import line_dedup, search
+from bazaar.llm import licenses, line_dedup, search
 
 # The control strings of the default chat template, in two patterns: a first character, and what
 # follows it after any backslashes.
@@ -103,4 +103,64 @@ SELECT item_id, rank, doc_id, score FROM (
 ) WHERE rank <= {search.TOP}
 """
 
-ORACLES = {"op1_search": SEARCH, "op5_chat_format": CHAT, "op8_line_dedup": LINES}
+
+
+def _license_sql() -> str:
+    templates = licenses.DEFAULT_TEMPLATES
+    weights, norms = templates.weights(), templates.norms()
+    idf = ", ".join(f"('{token}', {weight})" for token, weight in weights.items())
+    entries = ", ".join(
+        f"('{token}', {i}, '{licence}', {whole}, {n * weights[token]}, {norms[i]})"
+        for i, licence, whole, counts in templates.rows()
+        for token, n in counts.items()
+    )
+    return f"""
+WITH weights(token, idf) AS (VALUES {idf}),
+entries(token, template, license, is_file, weight, norm) AS (VALUES {entries}),
+files AS (
+    SELECT row_number() OVER () AS file, coalesce(text, '') AS text,
+        concat_ws('/', source, lang, doc_id // 1000, CASE
+            WHEN regexp_matches(string_split(text, chr(10))[1], '[Ll]icen[sc]e')
+            THEN concat('LICENSE-', doc_id) ELSE concat_ws('/', doc_id // 50, doc_id) END) AS path
+    FROM documents
+), units AS (
+    SELECT file, path, FALSE AS whole, unnest(string_split(text, chr(10))) AS text,
+        generate_subscripts(string_split(text, chr(10)), 1) AS unit FROM files
+    UNION ALL SELECT file, path, TRUE, text, 0 FROM files
+), counts AS (
+    SELECT file, path, whole, unit, token, count(*) AS n FROM (
+        SELECT file, path, whole, unit, unnest(regexp_extract_all(
+            translate(text, '{licenses.UPPER}', '{licenses.LOWER}'), '{licenses.TOKEN}')) AS token
+        FROM units) GROUP BY ALL
+), weighed AS (
+    SELECT *, n * coalesce(idf, {templates.unknown()}) AS w FROM counts LEFT JOIN weights USING (token)
+), lengths AS (
+    SELECT file, unit, sum(w * w) AS square FROM weighed GROUP BY ALL
+), dots AS (
+    SELECT file, path, unit, template, license, norm, sum(w * weight) AS dot
+    FROM weighed JOIN entries USING (token) WHERE whole = is_file GROUP BY ALL
+), matches AS (
+    SELECT file, path, license,
+        CAST(dot AS DOUBLE) / sqrt(CAST(square AS DOUBLE) * CAST(norm AS DOUBLE)) AS cosine
+    FROM dots JOIN lengths USING (file, unit)
+), own AS (
+    SELECT file, path, license, cosine FROM matches WHERE cosine >= {licenses.THRESHOLD}
+    QUALIFY row_number() OVER (PARTITION BY file ORDER BY cosine DESC, license) = 1
+), spoken AS (
+    SELECT regexp_replace(path, '/?[^/]*$', '') AS above, license FROM own
+    WHERE regexp_matches(path, '(^|/)LICENSE-[^/]*$')
+    QUALIFY row_number() OVER (PARTITION BY above ORDER BY cosine DESC, license) = 1
+), inherited AS (
+    SELECT folder, s.license FROM (
+        SELECT DISTINCT regexp_replace(path, '/?[^/]*$', '') AS folder FROM files WHERE path IS NOT NULL
+    ) JOIN spoken s ON above = '' OR folder = above OR starts_with(folder, above || '/')
+    QUALIFY row_number() OVER (PARTITION BY folder ORDER BY length(above) DESC) = 1
+)
+SELECT f.path, coalesce(o.license, i.license) AS license, o.cosine,
+    CASE WHEN o.license IS NOT NULL THEN 'own' WHEN i.license IS NOT NULL THEN 'inherited' END AS basis
+FROM files f LEFT JOIN own o USING (file)
+LEFT JOIN inherited i ON regexp_replace(f.path, '/?[^/]*$', '') = i.folder
+"""
+
+
+ORACLES = {"op2_license_scan": _license_sql(), "op1_search": SEARCH, "op5_chat_format": CHAT, "op8_line_dedup": LINES}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import byte_bpe, chat, decontamination, line_dedup, ngram_join, pii, search, token_files, toxicity
+from bazaar.llm import byte_bpe, chat, decontamination, licenses, line_dedup, ngram_join, pii, search, token_files, toxicity
 from bazaar.llm.oracles import ORACLES
 
 # Vocabulary of the byte-level encoding.
@@ -40,6 +40,20 @@ def op1_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The table has no paths: its documents are files in directories by source, language and ids, and
+# one that opens with a licence notice is the licence file of the directory above.
+DOCUMENT_PATH = """
+    concat_ws('/', source, lang, doc_id div 1000,
+        CASE WHEN split(text, '\\n')[0] RLIKE '[Ll]icen[sc]e' THEN concat('LICENSE-', doc_id)
+            ELSE concat_ws('/', doc_id div 50, doc_id) END)
+"""
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan_licenses(docs.select(F.expr(DOCUMENT_PATH).alias("path"), "text"))
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -140,7 +154,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_search, op3_personal_data, op4_byte_bpe, op5_chat_format, op6_decontamination, op7_toxicity, op8_line_dedup, op9_ngram_join, op10_token_files)}
+    return {f.__name__: f for f in (op1_search, op2_license_scan, op3_personal_data, op4_byte_bpe, op5_chat_format, op6_decontamination, op7_toxicity, op8_line_dedup, op9_ngram_join, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
