@@ -203,25 +203,27 @@ def _few_segments(keys, heads, tails, sums, salt, spread, shingles, h, top):
 
 
 def _sets_and_sketch(width: int, percent: int):
-    """Rows of (id, size, set, null), and at a task's end its share of the sketch."""
+    """From (id, hash, text): rows of (id, hash, size, set, null), and at a task's end its share
+    of the sketch."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
         kind = None
-        for batch in pieces(batches, 1, PIECE):
-            flat, bounds = shingle_sets(batch.column(1), width)
+        for batch in pieces(batches, 2, PIECE):
+            flat, bounds = shingle_sets(batch.column(2), width)
             keys = segment_keys(flat, bounds, percent)[0]
             sketch += np.bincount((keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
             n, kind = batch.num_rows, batch.column(0).type
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(np.diff(bounds)),
                     pa.array(set_ids(flat, bounds)),
                     pa.nulls(n, pa.int32()),
                     pa.nulls(n, pa.binary()),
                 ],
-                names=["id", "n", "set", "part", "counts"],
+                names=["id", "hash", "n", "set", "part", "counts"],
             )
         if kind is None:
             return
@@ -229,12 +231,11 @@ def _sets_and_sketch(width: int, percent: int):
         yield pa.RecordBatch.from_arrays(
             [
                 pa.nulls(16, kind),
-                pa.nulls(16, pa.int64()),
-                pa.nulls(16, pa.int64()),
+                *(pa.nulls(16, pa.int64()) for _ in range(3)),
                 pa.array(range(16), pa.int32()),
                 pa.array([p.astype("<i8").tobytes() for p in parts], pa.binary()),
             ],
-            names=["id", "n", "set", "part", "counts"],
+            names=["id", "hash", "n", "set", "part", "counts"],
         )
 
     return work
@@ -374,32 +375,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def jaccard_components(
-    docs: DataFrame, doc: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT
-) -> DataFrame:
-    """One row for each row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``.
-
-    A text's set is its distinct shingles of ``width`` words; a text of fewer words is one
-    shingle, one without words has none and is linked with nothing. Two rows are linked when
-    100 * intersection >= ``percent`` * union; a component is what links reach, named by its
-    smallest id. Equal sets, so exact copies and repeated rows too, are one node throughout. A
-    null text is empty; a row without an id belongs to its component, and names it only if no
-    row of it has an id. An empty table gives an empty one.
-
-    Shingles and sets are compared as 64-bit hashes.
-
-    Three passes read the texts: sets and key frequencies, keys, sets to verify. Only keys and
-    the sets of candidates are shuffled. Candidates of a key are first verified against its
-    smallest set alone, then, only between components not yet joined, against each other.
-    """
+def _members(docs: DataFrame, doc: str, text: str, width: int, percent: int) -> DataFrame:
+    """``id``, ``hash`` (of the text), ``n`` (size of the set) and ``node`` (name of the component,
+    a set of it) of each row."""
     if percent * BAND < 100:
         raise ValueError(f"partners of less than 1/{BAND} of a set's size are not looked for")
     spark = docs.sparkSession
     texts = docs.select(F.col(f"`{doc}`").alias("id"), text_bytes(F.col(f"`{text}`")).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
     seen = stage(
-        texts.mapInArrow(
-            _sets_and_sketch(width, percent), f"id {kind}, n long, set long, part int, counts binary"
+        texts.select("id", F.xxhash64("text").alias("hash"), "text").mapInArrow(
+            _sets_and_sketch(width, percent),
+            f"id {kind}, hash long, n long, set long, part int, counts binary",
         ),
         "sets",
     )
@@ -407,7 +394,7 @@ def jaccard_components(
     parts = seen.where("part is not null").select("part", "counts").repartition(16, "part")
     for row in parts.mapInArrow(_added, "part int, counts binary").collect():
         sketch.reshape(16, -1)[row.part] = np.frombuffer(row.counts, "<i8")
-    members = seen.where("part is null").select("id", "n", "set")
+    members = seen.where("part is null").select("id", "hash", "n", "set")
 
     keys = texts.select("text").mapInArrow(
         _key_rows(width, percent, spark.sparkContext.broadcast(sketch)), "key long, set long"
@@ -434,25 +421,64 @@ def jaccard_components(
         found = stage(_verified(pairs(shared, root), sets, percent), "links")
         links = found if links is None else links.unionByName(found)
         root = stage(components(links), "components")
+    return members.join(root, F.col("set") == F.col("u"), "left").select(
+        "id", "hash", "n", F.coalesce("root", "set").alias("node")
+    )
+
+
+def jaccard_components(
+    docs: DataFrame, doc: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """One row for each row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``.
+
+    A text's set is its distinct shingles of ``width`` words; a text of fewer words is one
+    shingle, one without words has none and is linked with nothing. Two rows are linked when
+    100 * intersection >= ``percent`` * union; a component is what links reach, named by its
+    smallest id. Equal sets, so exact copies and repeated rows too, are one node throughout. A
+    null text is empty; a row without an id belongs to its component, and names it only if no
+    row of it has an id. An empty table gives an empty one.
+
+    Shingles and sets are compared as 64-bit hashes.
 
-    named = members.join(root, F.col("set") == F.col("u"), "left").withColumn(
-        "node", F.coalesce("root", "set")
+    Three passes read the texts: sets and key frequencies, keys, sets to verify. Only keys and
+    the sets of candidates are shuffled. Candidates of a key are first verified against its
+    smallest set alone, then, only between components not yet joined, against each other.
+    """
+    members = _members(docs, doc, text, width, percent)
+    smallest = members.where("n > 0").groupBy("node").agg(F.min("id").alias("least"))
+    columns = (F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"))
+    return (
+        members.where("n > 0").join(smallest, "node")
+        .select(*columns, F.col("least").alias("component_id"))
+        .unionByName(members.where("n = 0").select(*columns, F.col("id").alias("component_id")))
     )
-    smallest = (
-        members.where("n > 0")
-        .groupBy("set").agg(F.min("id").alias("least"))
-        .join(root, F.col("set") == F.col("u"), "left")
-        .groupBy(F.coalesce("root", "set").alias("node"))
-        .agg(F.min("least").alias("least"))
+
+
+def one_of_each(
+    docs: DataFrame, doc: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """One row of ``docs`` for each component, with its columns: the one with the smallest id,
+    rows without an id last, then the smallest hash of the text; of repeated rows one.
+
+    Documents without words are linked with nothing and stay, all of them. What goes is a list of
+    ids and hashes; the texts are joined to that list, and do not move while it is small.
+    """
+    members = stage(_members(docs, doc, text, width, percent).where("n > 0"), "members")
+    least = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("hash")))
+    first = members.groupBy("node").agg(least.alias("first")).select("node", "first.id", "first.hash")
+    rows = members.groupBy("node", "id", "hash").agg(F.count("*").alias("copies"))
+    same = F.col("r.id").eqNullSafe(F.col("f.id")) & (F.col("r.hash") == F.col("f.hash"))
+    judged = stage(
+        rows.alias("r").join(first.alias("f"), "node")
+        .where(~same | (F.col("copies") > 1))
+        .select(F.col("r.id").alias("__nj_id"), F.col("r.hash").alias("__nj_hash"), same.alias("__nj_stays")),
+        "near-duplicates",
     )
-    return (
-        named.where("n > 0").join(smallest, "node")
-        .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
-        .unionByName(
-            members.where("n = 0").select(
-                F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("id").alias("component_id")
-            )
-        )
+    own = F.xxhash64(text_bytes(F.col(f"`{text}`")))
+    this = F.col(f"`{doc}`").eqNullSafe(F.col("__nj_id")) & (own == F.col("__nj_hash"))
+    repeated = docs.join(judged.where("__nj_stays"), this, "left_semi")
+    return docs.join(judged, this, "left_anti").unionByName(
+        repeated.withColumn("__nj_own", own).dropDuplicates([doc, "__nj_own"]).drop("__nj_own")
     )
 
 
