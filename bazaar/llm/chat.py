@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ESCAPE = "\\"
+# The state behind a turn that may not follow: no transition leads on from it.
+REFUSED = "\x00"
 
 
 @dataclass(frozen=True)
@@ -78,11 +80,11 @@ DEFAULT_TEMPLATE = ChatTemplate()
 
 
 def _next_state(template: ChatTemplate, state: Column, role: Column) -> Column:
-    """The machine's step: the state is the last role, null once a turn was out of order."""
+    """The machine's step: the state is the last role, REFUSED once a turn was out of order."""
     allowed = F.lit(False)
     for source, roles in template.transitions.items():
         allowed = allowed | ((state == source) & role.isin(*roles))
-    return F.when(allowed, role)
+    return F.when(allowed, role).otherwise(REFUSED)
 
 
 def format_conversations(
@@ -141,7 +143,7 @@ def format_conversations(
 
     def step(machine: Column, t: Column) -> Column:
         state = _next_state(template, machine["state"], t["role"])
-        bad = F.when(machine["bad"].isNull() & state.isNull(), machine["index"])
+        bad = F.when(machine["bad"].isNull() & (state == REFUSED), machine["index"])
         return F.struct(
             state.alias("state"),
             (machine["index"] + 1).alias("index"),

@@ -154,7 +154,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_search, op2_license_scan, op3_personal_data, op4_byte_bpe, op5_chat_format, op6_decontamination, op7_toxicity, op8_line_dedup, op9_ngram_join, op10_token_files)}
+    operators = [
+        op1_search,
+        op2_license_scan,
+        op3_personal_data,
+        op4_byte_bpe,
+        op5_chat_format,
+        op6_decontamination,
+        op7_toxicity,
+        op8_line_dedup,
+        op9_ngram_join,
+        op10_token_files,
+    ]
+    return {query.__name__: query for query in operators}
 
 
 def oracle_sql() -> dict[str, str]:
