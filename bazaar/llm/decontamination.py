@@ -133,8 +133,8 @@ def _searcher(
             firsts, lasts, items = (columns[name].to_pylist() for name in FOUND)
             order = np.argsort(number, kind="stable")
             number, place, phrase = number[order], place[order], phrase[order]
-            cuts = np.flatnonzero(np.diff(number, prepend=-1))
-            for lo, hi in zip(cuts, [*cuts[1:], len(number)], strict=True):
+            cuts = np.append(np.flatnonzero(np.diff(number, prepend=-1)), len(number))
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
                 i, begin = int(number[lo]), place[lo:hi]
                 a, b = merged_spans(
                     np.concatenate([np.array(firsts[i], np.int64), begin]),

@@ -98,12 +98,15 @@ def own_licenses(
     whole = F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("text")))
     units = stage(
         texts.dropDuplicates(["path", "hash"])
-        .select("path", "hash", F.posexplode(F.concat(lines, whole)).alias("unit", "part"))
+        .select("path", "hash", F.explode(F.concat(lines, whole)).alias("part"))
         .where(F.translate("part.text", UPPER, LOWER).rlike(anchored))
-        .select("path", "hash", "unit", "part.whole", tokens(F.col("part.text")).alias("tokens")),
+        .select(
+            F.monotonically_increasing_id().alias("unit"), "path", "hash", "part.whole",
+            tokens(F.col("part.text")).alias("tokens"),
+        ),
         "licence-units",
     )
-    key = ["path", "hash", "unit", "whole"]
+    key = ["unit", "whole"]
     counts = units.select(*key, F.explode("tokens").alias("token")).groupBy(*key, "token").agg(
         F.count("*").alias("n")
     )
@@ -133,6 +136,7 @@ def own_licenses(
         dot.join(length, key)
         .withColumn("cosine", cosine)
         .where(F.col("cosine") >= threshold)
+        .join(units.select("unit", "path", "hash"), "unit")
         .groupBy("path", "hash")
         .agg(F.min(F.struct((-F.col("cosine")).alias("minus"), F.col("license"))).alias("best"))
         .select("path", "hash", "best.license", (-F.col("best.minus")).alias("cosine"))
