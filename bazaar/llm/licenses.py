@@ -56,24 +56,36 @@ class Templates:
         """The weight of a token that no template has: as much as one that a single one has."""
         return round(1000 * math.log(1 + len(self.rows())))
 
+    def entries(self) -> dict[int, dict[str, int]]:
+        """The weight of each token in each template: idf, times 1 + ln of its count there."""
+        weights = self.weights()
+        return {
+            i: {t: round(weights[t] * (1 + math.log(n))) for t, n in counts.items()}
+            for i, _, _, counts in self.rows()
+        }
+
     def norms(self) -> dict[int, int]:
         """The square of each template's length."""
-        weights = self.weights()
-        return {i: sum((n * weights[t]) ** 2 for t, n in counts.items()) for i, _, _, counts in self.rows()}
-
-    def anchors(self, threshold: float) -> list[str]:
-        """Tokens of which every match has one: what a template has besides them is too short
-        for the threshold, whatever else a text holds (Cauchy-Schwarz). Long ones, which are rare
-        in other texts, come first."""
-        weights, norms, found = self.weights(), self.norms(), set()
-        for i, _, _, counts in self.rows():
-            left = sum((n * weights[t]) ** 2 for t, n in counts.items() if t not in found)
-            for token in sorted(counts, key=lambda t: (-len(t), t)):
+        return {i: sum(w * w for w in own.values()) for i, own in self.entries().items()}
+
+    def anchors(self, threshold: float, whole: bool) -> list[str]:
+        """Tokens of which every match with a notice (or a whole file's text) has one.
+
+        What a template has besides them is too short for the threshold, whatever else a text
+        holds (Cauchy-Schwarz). Long and rare tokens come first, which few other texts have.
+        """
+        idf, found = self.weights(), set()
+        entries, norms = self.entries(), self.norms()
+        for i, _, is_file, _ in self.rows():
+            if is_file != whole:
+                continue
+            left = sum(w * w for t, w in entries[i].items() if t not in found)
+            for token in sorted(entries[i], key=lambda t: (-len(t) * idf[t], t)):
                 if left < threshold**2 * norms[i] * 0.999:
                     break
                 if token not in found:
                     found.add(token)
-                    left -= (counts[token] * weights[token]) ** 2
+                    left -= entries[i][token] ** 2
         return sorted(found)
 
 
@@ -87,11 +99,16 @@ def own_licenses(
     notice or are a licence's text: the best match, of equal ones the first licence by name."""
     spark = files.sparkSession
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    # Anchors prune whole files first, in one pass of an expression; few files have any.
-    anchored = "(?<![a-z0-9])(?:" + "|".join(map(re.escape, templates.anchors(threshold))) + ")(?![a-z0-9])"
-    texts = files.select(F.col(f"`{path}`").alias("path"), F.xxhash64(value).alias("hash"), value.alias("text")).where(
-        F.translate("text", UPPER, LOWER).rlike(anchored)
-    )
+
+    # Anchors leave files aside in one pass of an expression; few files have any.
+    def anchored(column: str, *kinds: bool) -> Column:
+        words = {t for whole in kinds for t in templates.anchors(threshold, whole)}
+        pattern = "(?<![a-z0-9])(?:" + "|".join(map(re.escape, sorted(words))) + ")(?![a-z0-9])"
+        return F.translate(column, UPPER, LOWER).rlike(pattern)
+
+    texts = files.select(
+        F.col(f"`{path}`").alias("path"), F.xxhash64(value).alias("hash"), value.alias("text")
+    ).where(anchored("text", False, True))
     lines = F.transform(
         F.split("text", "\n"), lambda line: F.struct(F.lit(False).alias("whole"), line.alias("text"))
     )
@@ -99,7 +116,11 @@ def own_licenses(
     units = stage(
         texts.dropDuplicates(["path", "hash"])
         .select("path", "hash", F.explode(F.concat(lines, whole)).alias("part"))
-        .where(F.translate("part.text", UPPER, LOWER).rlike(anchored))
+        .where(
+            F.when(F.col("part.whole"), anchored("part.text", True)).otherwise(
+                anchored("part.text", False)
+            )
+        )
         .select(
             F.monotonically_increasing_id().alias("unit"), "path", "hash", "part.whole",
             tokens(F.col("part.text")).alias("tokens"),
@@ -115,14 +136,15 @@ def own_licenses(
     idf = spark.createDataFrame(list(weights.items()), "token string, idf long")
     entries = spark.createDataFrame(
         [
-            (token, i, licence, is_file, n * weights[token], norms[i])
-            for i, licence, is_file, own in templates.rows()
-            for token, n in own.items()
+            (token, i, licence, is_file, weight, norms[i])
+            for i, licence, is_file, _ in templates.rows()
+            for token, weight in templates.entries()[i].items()
         ],
         "token string, template int, license string, is_file boolean, weight long, norm long",
     )
     weighed = counts.join(F.broadcast(idf), "token", "left").withColumn(
-        "w", F.col("n") * F.coalesce("idf", F.lit(templates.unknown()))
+        "w",
+        F.round(F.coalesce("idf", F.lit(templates.unknown())) * (1 + F.log(F.col("n")))).cast("long"),
     )
     length = weighed.groupBy(*key).agg(F.sum(F.col("w") * F.col("w")).alias("square"))
     dot = (

@@ -110,9 +110,9 @@ def _license_sql() -> str:
     weights, norms = templates.weights(), templates.norms()
     idf = ", ".join(f"('{token}', {weight})" for token, weight in weights.items())
     entries = ", ".join(
-        f"('{token}', {i}, '{licence}', {whole}, {n * weights[token]}, {norms[i]})"
-        for i, licence, whole, counts in templates.rows()
-        for token, n in counts.items()
+        f"('{token}', {i}, '{licence}', {whole}, {weight}, {norms[i]})"
+        for i, licence, whole, _ in templates.rows()
+        for token, weight in templates.entries()[i].items()
     )
     return f"""
 WITH weights(token, idf) AS (VALUES {idf}),
@@ -133,7 +133,9 @@ files AS (
             translate(text, '{licenses.UPPER}', '{licenses.LOWER}'), '{licenses.TOKEN}')) AS token
         FROM units) GROUP BY ALL
 ), weighed AS (
-    SELECT *, n * coalesce(idf, {templates.unknown()}) AS w FROM counts LEFT JOIN weights USING (token)
+    SELECT *, CAST(round(coalesce(idf, {templates.unknown()}) * (1 + ln(CAST(n AS DOUBLE)))) AS BIGINT)
+        AS w
+    FROM counts LEFT JOIN weights USING (token)
 ), lengths AS (
     SELECT file, unit, sum(w * w) AS square FROM weighed GROUP BY ALL
 ), dots AS (
