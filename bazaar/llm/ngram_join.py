@@ -13,14 +13,18 @@ most, H say, so in H segments at most:
   one shingle deleted: a segment of two shingles or more counts double in the pigeonhole;
 * where even that does not exceed H, the set adds each shingle as a key of its own.
 
-So no pair is lost. Pairs of sets with a common key are verified on their whole sets.
+So no pair is lost. Pairs of sets with a common key then meet a bound: a parity string has a bit
+for each cell of a hash, the parity of a set's shingles there. Two strings differ in at most as
+many bits as their sets do in shingles, so pairs whose strings differ in more than H are left out.
+The others are verified on their whole sets.
 """
 
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.llm.common import byte_data, mix, pieces, stage, text_bytes
@@ -32,10 +36,12 @@ PERCENT = 75
 BAND = 4
 # Segments of a band for each shingle of its largest set.
 SEGMENTS = 0.5
-# Cells of the sketch of key frequencies: of fixed size, whatever the corpus.
-SKETCH_BITS = 18
-# Bits of the filter for sets to verify, of fixed size too.
-FILTER_BITS = 26
+# Cells of the sketch of key frequencies: of fixed size, whatever the corpus. The more there are,
+# the less frequent passages it tells from others; it decides costs, never results.
+SKETCH_BITS = 22
+SKETCH_PARTS = 64
+# Bits of a set's parity string for each of its shingles, before rounding up to a power of two.
+PARITY = 2
 # Bytes of text that a task works on at once: its arrays take some 50 times as much.
 PIECE = 2 << 20
 # Sets that a task remembers to have sent.
@@ -202,17 +208,53 @@ def _few_segments(keys, heads, tails, sums, salt, spread, shingles, h, top):
     return np.unique(np.concatenate(found))
 
 
+def parities(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The parity string of each set as 64-bit words: some bits for each shingle, a power of two
+    in all."""
+    found = []
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        size = max(64, 1 << int(PARITY * (b - a) - 1).bit_length()) if b > a else 64
+        cell = (flat[a:b] & np.uint64(size - 1)).astype(np.int64)
+        bits = (np.bincount(cell, minlength=size) & 1).astype(np.uint8)
+        found.append(np.packbits(bits, bitorder="little").view("<i8"))
+    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found or [np.zeros(0, np.int64)])))
+
+
+def least_difference(a: Column, b: Column) -> Column:
+    """How many shingles two sets differ in at least, by their parity strings.
+
+    The longer string is folded to half, which adds up the parities of its cells; strings whose
+    lengths differ more are of sets that their sizes tell apart, and say nothing here.
+    """
+    words = F.least(F.size(a), F.size(b))
+
+    def folded(p: Column) -> Column:
+        halves = F.slice(p, F.lit(1), words), F.slice(p, words + 1, words)
+        half = F.zip_with(*halves, lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(p) == words, p).when(F.size(p) == 2 * words, half)
+
+    bits = F.zip_with(folded(a), folded(b), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.coalesce(F.aggregate(bits, F.lit(0), lambda total, n: total + n), F.lit(0))
+
+
+SEEN_COLUMNS = ["id", "hash", "n", "set", "parity", "part", "counts"]
+
+
 def _sets_and_sketch(width: int, percent: int):
-    """From (id, hash, text): rows of (id, hash, size, set, null), and at a task's end its share
-    of the sketch."""
+    """From (id, hash, text): rows of (id, hash, size, set, parity, null, null), and at a task's
+    end its share of the sketch, in parts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-        kind = None
+        kind, held = None, []
         for batch in pieces(batches, 2, PIECE):
             flat, bounds = shingle_sets(batch.column(2), width)
             keys = segment_keys(flat, bounds, percent)[0]
-            sketch += np.bincount((keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
+            held.append((keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
+            if sum(map(len, held)) > len(sketch) // 2:
+                sketch += np.bincount(np.concatenate(held), minlength=len(sketch))
+                held = []
             n, kind = batch.num_rows, batch.column(0).type
             yield pa.RecordBatch.from_arrays(
                 [
@@ -220,50 +262,55 @@ def _sets_and_sketch(width: int, percent: int):
                     batch.column(1),
                     pa.array(np.diff(bounds)),
                     pa.array(set_ids(flat, bounds)),
+                    parities(flat, bounds),
                     pa.nulls(n, pa.int32()),
                     pa.nulls(n, pa.binary()),
                 ],
-                names=["id", "hash", "n", "set", "part", "counts"],
+                names=SEEN_COLUMNS,
             )
         if kind is None:
             return
-        parts = np.split(sketch, 16)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.nulls(16, kind),
-                *(pa.nulls(16, pa.int64()) for _ in range(3)),
-                pa.array(range(16), pa.int32()),
-                pa.array([p.astype("<i8").tobytes() for p in parts], pa.binary()),
-            ],
-            names=["id", "hash", "n", "set", "part", "counts"],
-        )
+        sketch += np.bincount(np.concatenate(held or [sketch[:0]]), minlength=len(sketch))
+        # A cell's count in one task ends at 65,535: a key as frequent as that costs enough.
+        parts = np.split(np.minimum(sketch, 65535).astype("<u2"), SKETCH_PARTS)
+        for i, part in enumerate(parts):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.nulls(1, kind),
+                    *(pa.nulls(1, pa.int64()) for _ in range(3)),
+                    pa.nulls(1, pa.list_(pa.int64())),
+                    pa.array([i], pa.int32()),
+                    pa.array([part.tobytes()], pa.binary()),
+                ],
+                names=SEEN_COLUMNS,
+            )
 
     return work
 
 
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the sketch's parts over the rows that a task has."""
+def _costs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The costs of each part's cells: the logarithm of their counts' sum over all tasks."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
-        for part, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            own = np.frombuffer(counts, "<i8")
-            sums[part] = sums[part] + own if part in sums else own
+        for part, counts in zip(*batch.columns, strict=True):
+            own = np.frombuffer(counts.as_py(), "<u2").astype(np.int64)
+            i = part.as_py()
+            sums[i] = sums[i] + own if i in sums else own
+    costs = [np.log2(s + 1).astype(np.uint8).tobytes() for s in sums.values()]
     yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(list(sums), pa.int32()),
-            pa.array([s.astype("<i8").tobytes() for s in sums.values()], pa.binary()),
-        ],
-        names=["part", "counts"],
+        [pa.array(list(sums), pa.int32()), pa.array(costs, pa.binary())], names=["part", "costs"]
     )
 
 
-def _key_rows(width: int, percent: int, sketch):
+def _key_rows(width: int, percent: int, costs: Broadcast):
     """Rows of (key, set), a set once for each task that remembers it."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Frequent keys cost more: the logarithm of the keys in the same cell of the sketch.
-        costs = np.log2(sketch.value + 1).astype(np.uint64)
-        cost = lambda keys: costs[(keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+        table = costs.value
+
+        def cost(keys: np.ndarray) -> np.ndarray:
+            return table[(keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
+
         seen: set[int] = set()
         for batch in pieces(batches, 0, PIECE):
             flat, bounds = unseen(*shingle_sets(batch.column(0), width), seen)
@@ -326,53 +373,71 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _set_rows(width: int, wanted):
-    """Rows of (set, shingles) for the sets that pass the filter."""
+def _set_rows(width: int):
+    """Rows of (set, shingles), a set once for each task that remembers it."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = wanted.value
         seen: set[int] = set()
         for batch in pieces(batches, 0, PIECE):
             flat, bounds = unseen(*shingle_sets(batch.column(0), width), seen)
-            ids = set_ids(flat, bounds)
-            cell = ids & ((1 << FILTER_BITS) - 1)
-            kept = np.flatnonzero((bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1)
-            values = [flat[bounds[i] : bounds[i + 1]].view(np.int64) for i in kept]
-            offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
-            flat_values = np.concatenate(values) if values else np.zeros(0, np.int64)
+            shingles = pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(flat.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[kept]), pa.ListArray.from_arrays(offsets, pa.array(flat_values))],
-                names=["set", "shingles"],
+                [pa.array(set_ids(flat, bounds)), shingles], names=["set", "shingles"]
             )
 
     return work
 
 
-def _filter_of(sets: DataFrame) -> np.ndarray:
-    """A bitmap of the lowest bits of set ids: 8 MB, whatever the number of sets."""
-    cell = F.col("set").bitwiseAND((1 << FILTER_BITS) - 1)
-    rows = (
-        sets.select(F.shiftright(cell, 15).cast("int").alias("part"), (cell % 32768).alias("bit"))
-        .groupBy("part")
-        .agg(F.bitmap_construct_agg("bit").alias("bits"))
-    )
-    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    for row in rows.collect():
-        bits[row.part * 4096 : (row.part + 1) * 4096] = np.frombuffer(row.bits, np.uint8)
-    return bits
-
+def _measured(
+    pairs: DataFrame, members: DataFrame, texts: DataFrame, width: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """All pairs (u, v) with their sets' sizes and ``least``, how much they differ at least; and
+    those that may be close enough, with ``diff``, how much their whole sets differ.
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (u, v) whose whole sets are as similar as asked for."""
-    u = sets.select(F.col("set").alias("u"), F.col("shingles").alias("a"))
-    v = sets.select(F.col("set").alias("v"), F.col("shingles").alias("b"))
+    The parity strings of all pairs travel, some bytes each; whole sets only for pairs that pass.
+    Their texts are found by hash, without a Python step for the others.
+    """
+    one = members.groupBy("set").agg(
+        F.first("n").alias("n"), F.first("parity").alias("parity"), F.min("hash").alias("hash")
+    )
+    u = one.select(F.col("set").alias("u"), F.col("n").alias("nu"), F.col("parity").alias("pu"))
+    v = one.select(F.col("set").alias("v"), F.col("n").alias("nv"), F.col("parity").alias("pv"))
+    bounded = stage(
+        pairs.join(v, "v").join(u, "u").select(
+            "u", "v", "nu", "nv", least_difference(F.col("pu"), F.col("pv")).alias("least")
+        ),
+        "pairs",
+    )
+    near = bounded.where(
+        _within(F.greatest("least", F.abs(F.col("nu") - F.col("nv"))), percent)
+    ).select("u", "v", "nu", "nv")
+    wanted = stage(
+        one.join(near.select(F.explode(F.array("u", "v")).alias("set")).distinct(), "set")
+        .select(F.col("hash").alias("wanted")).distinct(),
+        "wanted",
+    )
+    sets = stage(
+        texts.join(wanted, F.xxhash64("text") == F.col("wanted"), "left_semi")
+        .select("text")
+        .mapInArrow(_set_rows(width), "set long, shingles array<bigint>")
+        .dropDuplicates(["set"]),
+        "candidates",
+    )
+    a = sets.select(F.col("set").alias("u"), F.col("shingles").alias("a"))
+    b = sets.select(F.col("set").alias("v"), F.col("shingles").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
-    return (
-        pairs.join(v, "v").join(u, "u")
-        .withColumn("both", both)
-        .where(100 * F.col("both") >= percent * (F.size("a") + F.size("b") - F.col("both")))
-        .select("u", "v")
+    checked = stage(
+        near.join(b, "v").join(a, "u").select(
+            "u", "v", "nu", "nv", (F.col("nu") + F.col("nv") - 2 * both).alias("diff")
+        ),
+        "checked",
     )
+    return bounded, checked
+
+
+def _within(difference: Column, percent: int) -> Column:
+    """Whether sets of ``nu`` and ``nv`` shingles that differ so much are similar enough."""
+    return (100 + percent) * difference <= (100 - percent) * (F.col("nu") + F.col("nv"))
 
 
 def _members(docs: DataFrame, doc: str, text: str, width: int, percent: int) -> DataFrame:
@@ -386,18 +451,18 @@ def _members(docs: DataFrame, doc: str, text: str, width: int, percent: int) ->
     seen = stage(
         texts.select("id", F.xxhash64("text").alias("hash"), "text").mapInArrow(
             _sets_and_sketch(width, percent),
-            f"id {kind}, hash long, n long, set long, part int, counts binary",
+            f"id {kind}, hash long, n long, set long, parity array<bigint>, part int, counts binary",
         ),
         "sets",
     )
-    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-    parts = seen.where("part is not null").select("part", "counts").repartition(16, "part")
-    for row in parts.mapInArrow(_added, "part int, counts binary").collect():
-        sketch.reshape(16, -1)[row.part] = np.frombuffer(row.counts, "<i8")
-    members = seen.where("part is null").select("id", "hash", "n", "set")
+    costs = np.zeros(1 << SKETCH_BITS, np.uint8)
+    parts = seen.where("part is not null").select("part", "counts").repartition(SKETCH_PARTS, "part")
+    for row in parts.mapInArrow(_costs, "part int, costs binary").collect():
+        costs.reshape(SKETCH_PARTS, -1)[row.part] = np.frombuffer(row.costs, np.uint8)
+    members = seen.where("part is null").drop("part", "counts")
 
     keys = texts.select("text").mapInArrow(
-        _key_rows(width, percent, spark.sparkContext.broadcast(sketch)), "key long, set long"
+        _key_rows(width, percent, spark.sparkContext.broadcast(costs)), "key long, set long"
     )
     shared = stage(
         keys.repartition("key")
@@ -405,22 +470,16 @@ def _members(docs: DataFrame, doc: str, text: str, width: int, percent: int) ->
         .mapInArrow(_shared, "key long, set long, pivot long"),
         "shared",
     )
-    wanted = spark.sparkContext.broadcast(_filter_of(shared.select("set").distinct()))
-    sets = stage(
-        texts.select("text")
-        .mapInArrow(_set_rows(width, wanted), "set long, shingles array<bigint>")
-        .dropDuplicates(["set"]),
-        "candidates",
-    )
-
-    # First each set against the smallest that it shares a key with, then the other first sets,
-    # then all sets of a key: each time only pairs that no links have joined so far.
-    links = None
-    root = None
-    for pairs in (_nearest, _stars, _rest):
-        found = stage(_verified(pairs(shared, root), sets, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        root = stage(components(links), "components")
+    # First each set against the smallest one of each of its keys, its pivots; then what the
+    # pivots leave open between sets that no links have joined so far.
+    stars = shared.where("set <> pivot").select(F.col("pivot").alias("u"), F.col("set").alias("v"))
+    bounded, checked = _measured(stars.distinct(), members, texts, width, percent)
+    links = checked.where(_within(F.col("diff"), percent)).select("u", "v")
+    root = stage(components(links), "components")
+    rest = _open_pairs(bounded, checked, members, root, percent)
+    more = _measured(rest, members, texts, width, percent)[1]
+    links = links.unionByName(more.where(_within(F.col("diff"), percent)).select("u", "v"))
+    root = stage(components(links), "components")
     return members.join(root, F.col("set") == F.col("u"), "left").select(
         "id", "hash", "n", F.coalesce("root", "set").alias("node")
     )
@@ -440,9 +499,11 @@ def jaccard_components(
 
     Shingles and sets are compared as 64-bit hashes.
 
-    Three passes read the texts: sets and key frequencies, keys, sets to verify. Only keys and
-    the sets of candidates are shuffled. Candidates of a key are first verified against its
-    smallest set alone, then, only between components not yet joined, against each other.
+    Two passes make sets of all texts: for key frequencies, and for keys. Two more find the texts
+    of candidates by their hash. Keys are shuffled, parity strings of the sets that share one, and
+    the whole sets of candidates that remain. Candidates of a key are first verified against its
+    smallest set alone, then, only between components not yet joined and where distances to that
+    set leave it open, against each other.
     """
     members = _members(docs, doc, text, width, percent)
     smallest = members.where("n > 0").groupBy("node").agg(F.min("id").alias("least"))
@@ -482,28 +543,59 @@ def one_of_each(
     )
 
 
-def _nearest(shared: DataFrame, _: DataFrame | None) -> DataFrame:
-    return (
-        shared.where("set <> pivot").groupBy(F.col("set").alias("v")).agg(F.min("pivot").alias("u"))
-    )
-
-
 def _with_root(rows: DataFrame, root: DataFrame, column: str, out: str) -> DataFrame:
     named = root.select(F.col("u").alias(column), F.col("root").alias(out))
     return rows.join(named, column, "left").withColumn(out, F.coalesce(out, column))
 
 
-def _stars(shared: DataFrame, root: DataFrame) -> DataFrame:
-    pairs = shared.where("set <> pivot").select(F.col("pivot").alias("u"), F.col("set").alias("v")).distinct()
-    pairs = _with_root(_with_root(pairs, root, "u", "ru"), root, "v", "rv")
-    return pairs.where("ru <> rv").select("u", "v")
+def _with_root(rows: DataFrame, root: DataFrame, column: str, out: str) -> DataFrame:
+    named = root.select(F.col("u").alias(column), F.col("root").alias(out))
+    return rows.join(named, column, "left").withColumn(out, F.coalesce(out, column))
 
 
-def _rest(shared: DataFrame, root: DataFrame) -> DataFrame:
-    """Pairs of a key's sets in different components; the pairs with its first set are done."""
-    rows = _with_root(shared, root, "set", "r")
-    several = rows.groupBy("key").agg(F.min("r").alias("a"), F.max("r").alias("b")).where("a <> b")
-    rows = rows.where("set <> pivot").join(several.select("key"), "key")
-    left = rows.select("key", F.col("set").alias("u"), F.col("r").alias("ru"))
-    right = rows.select("key", F.col("set").alias("v"), F.col("r").alias("rv"))
-    return left.join(right, "key").where("u < v and ru <> rv").select("u", "v").distinct()
+def _open_pairs(
+    bounded: DataFrame, checked: DataFrame, members: DataFrame, root: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs of sets with a common pivot, in different components, that may be close enough.
+
+    Sets that share a key share that key's pivot, so no pair is missed. The difference of sets
+    is a metric: two sets differ by what their distances to the pivot differ at least. Those are
+    known in full for sets near the pivot, and from below for others, so a set far from the
+    pivot need not meet the many close to it. Parity strings bound the rest inside the join. One
+    side of each pair is outside the component of the pivot: a group that the pivot has joined is
+    not compared within itself.
+    """
+    measured = bounded.join(checked.select("u", "v", "diff"), ["u", "v"], "left")
+    about = measured.select(
+        F.col("u").alias("pivot"), F.col("v").alias("set"), F.col("nv").alias("n"),
+        F.coalesce("diff", F.greatest("least", F.abs(F.col("nu") - F.col("nv")))).alias("low"),
+        F.coalesce("diff", F.col("nu") + F.col("nv")).alias("high"),
+    )
+    strings = members.groupBy("set").agg(F.first("parity").alias("parity"))
+    about = about.join(strings, "set")
+    rows = stage(_with_root(_with_root(about, root, "set", "r"), root, "pivot", "rp"), "stars")
+    outside = rows.where("r <> rp").select(
+        "pivot", F.col("set").alias("x"), F.col("n").alias("nu"), F.col("r").alias("rx"),
+        F.col("low").alias("lx"), F.col("high").alias("hx"), F.col("parity").alias("px"),
+    )
+    others = rows.select(
+        "pivot", F.col("set").alias("y"), F.col("n").alias("nv"), F.col("r").alias("ry"),
+        F.col("rp").alias("home"), F.col("low").alias("ly"), F.col("high").alias("hy"),
+        F.col("parity").alias("py"),
+    )
+    least = F.greatest(
+        F.col("lx") - F.col("hy"), F.col("ly") - F.col("hx"), F.abs(F.col("nu") - F.col("nv"))
+    )
+    # Two sets that are both outside meet once.
+    once = (F.col("ry") == F.col("home")) | (F.col("x") < F.col("y"))
+    cheap = (F.col("rx") != F.col("ry")) & once & _within(least, percent)
+    # Nested, so that strings are compared only where nothing else tells sets apart.
+    open_ = F.when(
+        cheap, _within(least_difference(F.col("px"), F.col("py")), percent)
+    ).otherwise(False)
+    return (
+        outside.join(others, "pivot")
+        .where(open_)
+        .select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
+        .distinct()
+    )
