@@ -190,20 +190,19 @@ def disclosing_terms(
     counts (``term``, ``n``) of all words. Every count is a sum that combines before its shuffle;
     the corpus's counts are joined only for terms that could disclose something.
     """
-    total = corpus.agg(F.sum("n").alias("total"))
+    total = F.lit(corpus.agg(F.sum("n")).first()[0] or 0)
     size = near.groupBy("entity").agg(F.count("*").alias("c"))
     together = (
         near.groupBy("entity", "term", "doc").agg(F.count("*").alias("n"))
         .groupBy("entity", "term").agg(F.sum("n").alias("together"), F.count("*").alias("docs"))
         .where((F.col("together") >= min_together) & (F.col("docs") >= min_docs))
     )
-    content = F.log(F.col("total") / F.col("c"))
-    shared = F.log(F.col("together") * F.col("total") / (F.col("c") * F.col("n")))
+    content = F.log(total / F.col("c"))
+    shared = F.log(F.col("together") * total / (F.col("c") * F.col("n")))
     degree = F.when(content > 0, shared / content)
     return (
         together.join(size, "entity")
         .join(corpus, "term")
-        .join(F.broadcast(total))  # one row
         .withColumn("degree", degree)
         .where(F.col("degree") >= generalise)
         .select(
