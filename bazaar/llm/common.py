@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -39,6 +41,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def worker_store(name: str) -> dict:
+    """A dictionary that a Python worker keeps from task to task; its users bound its size."""
+    module = sys.modules.setdefault("bazaar_llm_store", types.ModuleType("bazaar_llm_store"))
+    return module.__dict__.setdefault(name, {})
+
+
 def text_bytes(column: str | Column = "text") -> Column:
     """A text column as UTF-8 bytes, null as empty."""
     column = F.col(column) if isinstance(column, str) else column

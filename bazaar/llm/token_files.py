@@ -15,6 +15,7 @@ lookup reads a few words whatever the shard's size, and the fingerprint tells ke
 does not have, but for one in 2**32.
 """
 
+import json
 import os
 import struct
 import zlib
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaar.llm.common import mix, new_dir, pieces, stage, text_bytes
+from bazaar.llm.common import mix, new_dir, pieces, stage, text_bytes, worker_store
 
 MAGIC = b"TOKFILE1"
 HEADER = "<8sIIQQQI"
@@ -37,8 +38,12 @@ HEADER_BYTES = struct.calcsize(HEADER)
 ROOM = 2.0
 # A task closes a file when it holds so many ids and goes on with the next one.
 SHARD_IDS = 16 << 20
-# Chunks of text that a worker keeps with their ids.
-CACHE_ENTRIES = 1 << 18
+# Chunks of text that a worker meets before it forgets those that it met before them.
+CACHE_ENTRIES = 3 << 17
+# Characters below this one are in a normal form and lower-case one by one.
+LATIN = "\u0180"
+# Marks behind a word that the pattern leaves to themselves.
+MARKS = ".,;:!?"
 PIECE = 4 << 20
 
 
@@ -158,12 +163,14 @@ def open_shard(path: str) -> ShardFile:
     return ShardFile(lambda start, length: file.read_at(length, start))
 
 
-class ChunkEncoder:
+class TextEncoder:
     """Ids of whole texts by a tokenizer of the tokenizers library.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its
-    chunks between spaces and ASCII controls; each distinct chunk goes to the library once, as
-    long as the worker remembers it.
+    A tokenizer that drops white space and splits by one pattern gives each match of the pattern
+    its ids by itself. For such a one, texts are cut at spaces and ASCII controls; chunks of
+    Latin letters are cut by the file's own pattern, and each distinct piece goes to the library
+    once, as long as the worker remembers it: many in one text, told apart by the ids that end a
+    word. Any other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str, width: int):
@@ -172,22 +179,108 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.kind = f"<u{width}"
+        self.width = width
+        self.split, suffix = splitter(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        # Chunks met lately, and those met before them.
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(own.ids, f"<u{self.width}").tobytes() for own in found]
+
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of pieces that are one match of the pattern each."""
+        found: list[bytes] = []
+        for i in range(0, len(words), 1000):
+            some = words[i : i + 1000]
+            joined = self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids
+            ids = np.array(joined, f"<u{self.width}")
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) != len(some):  # a word without an end: the library sees it alone
+                found += self.ids(some)
+                continue
+            data, w = ids.tobytes(), self.width
+            found += [data[a * w : b * w] for a, b in zip([0, *ends], ends, strict=False)]
+        return found
+
+    def learn(self, chunks: set[bytes]) -> None:
+        """Store the ids of chunks that are not known yet."""
+        older, known = self.older.get, self.known
+        word_of: dict[bytes, str] = {}  # chunks of letters
+        parts_of: dict[bytes, list[str]] = {}
+        whole: list[bytes] = []
+        for chunk in chunks:
+            ids = older(chunk)
+            if ids is not None:
+                known[chunk] = ids
+                continue
+            text = chunk.decode("utf-8", "replace")
+            if not text.isascii() and max(text) >= LATIN:
+                whole.append(chunk)
+            elif (text := text.lower()).isalpha():
+                word_of[chunk] = text
+            elif text[-1] in MARKS and text[:-1].isalpha():
+                parts_of[chunk] = [text[:-1], text[-1]]
+            else:
+                parts_of[chunk] = self.split(text)
+        plain: dict[str, bytes | None] = dict.fromkeys(word_of.values())
+        for own in parts_of.values():
+            plain.update(dict.fromkeys(own))
+        for piece in plain:
+            key = piece.encode()
+            plain[piece] = known.get(key) or older(key)
+        new = [piece for piece, ids in plain.items() if ids is None]
+        for piece, ids in zip(new, self.word_ids(new), strict=True):
+            plain[piece] = known[piece.encode()] = ids
+        known.update((chunk, plain[word]) for chunk, word in word_of.items())
+        known.update((chunk, b"".join([plain[p] for p in own])) for chunk, own in parts_of.items())
+        known.update(zip(whole, self.ids([c.decode("utf-8", "replace") for c in whole]), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        if self.split is None:
+            return self.ids([text.decode("utf-8", "replace") for text in texts])
         chunks = [text.split() for text in texts]
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        new = list({chunk for own in chunks for chunk in own if chunk not in self.known})
-        found = self.tokenizer.encode_batch_fast(
-            [chunk.decode("utf-8", "replace") for chunk in new], add_special_tokens=False
-        )
-        for chunk, ids in zip(new, found, strict=True):
-            self.known[chunk] = np.array(ids.ids, self.kind).tobytes()
+        if len(self.known) >= CACHE_ENTRIES:
+            self.known, self.older = {}, self.known
+        self.learn(set().union(*chunks) - self.known.keys())
         return [b"".join(map(self.known.__getitem__, own)) for own in chunks]
 
 
+def splitter(path: str) -> tuple[Callable[[str], list[str]] | None, str | None]:
+    """What cuts a lower-case Latin text into the pieces that the tokenizer of this file encodes
+    each by itself, and how tokens end that end a word; None if the file does not say so."""
+    import regex
+
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    steps = (parts.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    normal = [step["type"] for step in (parts.get("normalizer") or {}).get("normalizers") or []]
+    first = steps[0]
+    plain = (
+        normal == ["NFC", "Replace", "Lowercase"]
+        and first.get("pattern", {}).get("Regex", "").endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        and (first.get("type"), first.get("behavior"), first.get("invert")) == ("Split", "Removed", True)
+        and [step["type"] for step in steps[1:]] == ["ByteLevel"]
+        and not steps[1]["add_prefix_space"]
+        and not steps[1]["use_regex"]
+        and parts.get("post_processor") is None
+    )
+    suffix = parts["model"].get("end_of_word_suffix")
+    return (regex.compile(first["pattern"]["Regex"]).findall, suffix) if plain else (None, suffix)
+
+
+def text_encoder(path: str, width: int) -> TextEncoder:
+    """The encoder that this worker keeps from task to task."""
+    kept = worker_store("text encoders")
+    if (path, width) not in kept:
+        kept[path, width] = TextEncoder(path, width)
+    return kept[path, width]
+
+
 def id_width(tokenizer: str, end: int) -> int:
     from tokenizers import Tokenizer
 
@@ -227,7 +320,7 @@ def write_token_files(
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task, seq = ChunkEncoder(tokenizer, width), TaskContext.get(), 0
+        encoder, task, seq = text_encoder(tokenizer, width), TaskContext.get(), 0
         keys: list = []
         ids: list[bytes] = []
         held = 0

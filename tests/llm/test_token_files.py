@@ -92,3 +92,17 @@ def test_perfect_hash(n):
 def test_not_a_token_file():
     with pytest.raises(ValueError):
         tf.ShardFile(lambda start, size: b"x" * size)
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoder_equals_the_library(name, prose, monkeypatch):
+    monkeypatch.setattr(tf, "CACHE_ENTRIES", 20)
+    path = public_tokenizers.path(name)
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    encoder = tf.TextEncoder(path, 2)
+    texts = [*STRANGE, "...'s 'LL rock'n'roll x9y_z!? A.B", *(t for t in ODD if t), *(prose(50, i) for i in range(30))]
+    for _ in range(2):
+        for text in texts:
+            ids = np.frombuffer(encoder.encode([text.encode()])[0], "<u2").tolist()
+            assert ids == plain.encode(text, add_special_tokens=False).ids
