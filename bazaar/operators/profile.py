@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazaar.functions.cleaning import clean_numbers
 from bazaar.schemas import ROW_ORDER
 
 
@@ -81,14 +82,18 @@ def top_values(df: DataFrame, column: str, n: int) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct non-NULL values of each column.
+    """Distinct non-NULL values of each column, as its own type tells values apart.
 
     The values of all columns are made distinct in one shuffle over (column, value).
     """
-    pairs = [
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-        for c in columns
-    ]
+    kinds = dict(df.dtypes)
+
+    def text(c: str) -> Column:
+        # Adding 0 makes one value of both zeros, which differ as text alone.
+        value = F.col(c) + F.lit(0).cast(kinds[c]) if kinds[c] in ("double", "float") else F.col(c)
+        return value.cast("string")
+
+    pairs = [F.struct(F.lit(c).alias("column_name"), text(c).alias("value")) for c in columns]
     return (
         df.select(F.inline(F.array(*pairs)))
         .groupBy("column_name", "value")
@@ -124,7 +129,11 @@ def _range(df: DataFrame, column: str, side: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
-    """(bin, lower, upper, n) for every bin, empty ones too; NULLs are dropped."""
+    """(bin, lower, upper, n) for every bin, empty ones too; NULLs are dropped.
+
+    Text counts as the number that it is; other text and NaN are dropped too.
+    """
+    df = clean_numbers(df.select(column), [column])
     bounds = _range(df, column, "x")
     low, high = bounds.select("x_low").scalar(), bounds.select("x_high").scalar()
     counts = (
@@ -154,7 +163,11 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 
 
 def grid(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
-    """Counts over a grid of equal cells, in place of a scatter plot's points."""
+    """Counts over a grid of equal cells, in place of a scatter plot's points.
+
+    Text counts as the number that it is; rows without two numbers are dropped.
+    """
+    df = clean_numbers(df.select(x, y), [x, y])
     bounds = {
         side: _range(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()), column, side)
         for side, column in (("x", x), ("y", y))

@@ -9,11 +9,19 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from bazaar.functions.cleaning import clean_numbers
 from bazaar.operators.positions import running_totals
 
-# Columns up to this size are put in order as they are; larger ones are narrowed first.
-NARROW_ABOVE = 100_000
+# Approximate quantiles bound the exact ones: their rank is off by a share of 1 / ACCURACY at
+# most, and bounds are set twice as far to either side.
+ACCURACY = 10_000
+
+
+def numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Text columns among the named ones as numbers, NULL where they are none."""
+    return clean_numbers(df, [c for c in columns if df.schema[c].dataType == T.StringType()])
 
 
 def number(name: str) -> Column:
@@ -50,42 +58,35 @@ class _Wanted(NamedTuple):
         return self.of_column() & F.col("value").between(self.low, self.high)
 
 
-def _bounded(df: DataFrame, wanted: Sequence[_Wanted]) -> list[_Wanted]:
-    """Bounds for each quantile, from some hundred thousand to a million of the rows.
+def _margins(probability: float) -> tuple[float, float]:
+    return max(probability - 2 / ACCURACY, 0.0), min(probability + 2 / ACCURACY, 1.0)
 
-    The bounds lie six standard errors to either side of the quantile's rank. They only save
-    work: what they hold is counted on all rows, and bounds that miss their quantile are dropped.
-    """
-    largest = max(w.n for w in wanted)
-    fraction = min(1.0, min(1e6, max(1e5, largest / 100)) / largest)
-    some = df.sample(fraction, seed=1) if fraction < 1 else df
 
-    def sides(w: _Wanted) -> tuple[float, float]:
-        margin = 3 / math.sqrt(max(w.n * fraction, 1))
-        return w.probability - margin, w.probability + margin
+def bounds(column: str, probabilities: Sequence[float]) -> Column:
+    """Aggregate: approximate quantiles to either side of each exact one, in one sketch."""
+    sides = [side for p in probabilities for side in _margins(p)]
+    return F.percentile_approx(number(column), sides, ACCURACY)
 
-    found = some.agg(
-        *[
-            F.percentile_approx(number(w.column), [min(max(p, 0.0), 1.0) for p in sides(w)]).alias(
-                str(i)
-            )
-            for i, w in enumerate(wanted)
-        ]
-    ).first()
-    bounded = []
-    for w, values in zip(wanted, found, strict=True):
-        low, high = sides(w)
-        bounded.append(
-            w._replace(
-                low=values[0] if values and low > 0 else w.low,
-                high=values[1] if values and high < 1 else w.high,
+
+def _wanted(
+    column: str, probabilities: Sequence[float], n: int, sides: Sequence[float] | None
+) -> list[_Wanted]:
+    """The quantiles of a column and what ``bounds`` found; ends of the column have no bound."""
+    wanted = []
+    for i, p in enumerate(probabilities):
+        low, high = _margins(p)
+        w = _Wanted(column, p, n)
+        # Interpolation may need the next rank: the margins must be wider than that.
+        if sides and n * 2 / ACCURACY >= 2:
+            w = w._replace(
+                low=sides[2 * i] if low > 0 else w.low, high=sides[2 * i + 1] if high < 1 else w.high
             )
-        )
-    return bounded
+        wanted.append(w)
+    return wanted
 
 
-def _skipped(values: DataFrame, wanted: Sequence[_Wanted]) -> list[int | None]:
-    """How many values lie below each quantile's bounds; None if the bounds miss it."""
+def _skipped(values: DataFrame, wanted: Sequence[_Wanted]) -> list[int]:
+    """How many values lie below each quantile's bounds, which must hold it."""
     counts = values.agg(
         *[
             part
@@ -99,8 +100,9 @@ def _skipped(values: DataFrame, wanted: Sequence[_Wanted]) -> list[int | None]:
     below = []
     for i, w in enumerate(wanted):
         start, end = counts[2 * i : 2 * i + 2]
-        held = start <= math.floor(w.place) and math.ceil(w.place) < end
-        below.append(start if held else None)
+        if w.n and not (start <= math.floor(w.place) and math.ceil(w.place) < end):
+            raise ArithmeticError(f"{w.column}: the bounds miss quantile {w.probability}")
+        below.append(start)
     return below
 
 
@@ -168,27 +170,24 @@ def quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    narrow_above: int = NARROW_ABOVE,
-    sizes: Mapping[str, int] | None = None,
+    found: Mapping[str, tuple[int, Sequence[float] | None]] | None = None,
 ) -> DataFrame:
     """One row per column: n and, for each probability, the linearly interpolated quantile.
 
-    A large column is read a few times but hardly shuffled: each quantile gets narrow bounds,
-    the values below them are counted, and only the values inside are put in order, by range
-    partitioning. The result is that of ordering all values; should bounds miss their quantile,
-    that is what happens. The built-in exact percentile would gather all distinct values in one
-    task. ``sizes`` spares a pass if the numbers of values are known.
+    Text counts as the number that it is, other text and NaN as missing. Columns are read a few
+    times but hardly shuffled, whatever their size: a sketch over all rows bounds each quantile,
+    the values below the bounds are counted, and only those inside are put in order, by range
+    partitioning. The built-in exact percentile would gather all distinct values in one task.
+    ``found`` spares the first pass: each column's number of values and its ``bounds``.
     """
-    sizes = sizes or df.agg(*[F.count(number(c)).alias(c) for c in columns]).first().asDict()
-    wanted = [_Wanted(c, p, sizes[c]) for c in columns for p in probabilities]
-    skipped = [0] * len(wanted)
+    df = numeric(df, columns)
+    if found is None:
+        parts = [part for c in columns for part in (F.count(number(c)), bounds(c, probabilities))]
+        row = df.agg(*parts).first()
+        found = {c: (row[2 * i], row[2 * i + 1]) for i, c in enumerate(columns)}
+    wanted = [w for c in columns for w in _wanted(c, probabilities, *found[c])]
     values = melt(df, columns)
-    large = [i for i, w in enumerate(wanted) if w.n > narrow_above]
-    if large:
-        bounded = _bounded(df, [wanted[i] for i in large])
-        for i, w, below in zip(large, bounded, _skipped(values, bounded), strict=True):
-            if below is not None:
-                wanted[i], skipped[i] = w, below
+    skipped = _skipped(values, wanted)
     names = {p: f"p{p * 100:g}" for p in probabilities}
     return (
         _inside(values, wanted, skipped)
@@ -203,46 +202,55 @@ def quantiles(
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """n, mean, sample deviation, min, quartiles and max of each column; NULLs are ignored."""
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def describe(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = QUARTILES
+) -> DataFrame:
+    """n, mean, sample deviation, min, quantiles and max of each column; NULLs are ignored.
+
+    Moments, sizes and the bounds of all quantiles come from one pass.
+    """
     exact = {c for c, kind in df.dtypes if kind.startswith(("decimal", "int", "bigint"))}
+    df = numeric(df, columns)
 
     def moments(c: str) -> list[Column]:
         mean = F.sum(c).cast("double") / F.count(c) if c in exact else F.avg(number(c))
         return [
             F.count(number(c)),
-            mean,
+            F.when(F.count(number(c)) > 0, mean),
             F.stddev_samp(number(c)),
             F.min(number(c)),
             F.max(number(c)),
+            bounds(c, probabilities),
         ]
 
     row = df.agg(*[part for c in columns for part in moments(c)]).first()
-    found = {c: tuple(row[5 * i : 5 * i + 5]) for i, c in enumerate(columns)}
+    found = {c: tuple(row[6 * i : 6 * i + 6]) for i, c in enumerate(columns)}
     names = ("n", "mean", "std", "min", "max")
     rows = [
         F.struct(
             F.lit(c).alias("column_name"),
             *[
                 F.lit(value).cast("bigint" if name == "n" else "double").alias(name)
-                for name, value in zip(names, values, strict=True)
+                for name, value in zip(names, values[:5], strict=True)
             ],
         )
         for c, values in found.items()
     ]
     # A row per column, in the plan itself.
     table = df.sparkSession.range(1).select(F.inline(F.array(*rows)))
-    quartiles = quantiles(
-        df, columns, [0.25, 0.5, 0.75], sizes={c: values[0] for c, values in found.items()}
-    )
-    return table.join(F.broadcast(quartiles.drop("n")), "column_name", "left").select(
-        "column_name", "n", "mean", "std", "min", "p25", "p50", "p75", "max"
+    asked = quantiles(df, columns, probabilities, {c: (v[0], v[5]) for c, v in found.items()})
+    return table.join(F.broadcast(asked.drop("n")), "column_name", "left").select(
+        "column_name", "n", "mean", "std", "min", *[f"p{p * 100:g}" for p in probabilities], "max"
     )
 
 
 def box_plot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers (the furthest values within 1.5 box lengths) and outlier counts."""
-    box = quantiles(df, columns, [0.25, 0.5, 0.75])
+    df = numeric(df, columns)
+    box = quantiles(df, columns, QUARTILES)
     reach = 1.5 * (F.col("p75") - F.col("p25"))
     fences = box.select("*", (F.col("p25") - reach).alias("low"), (F.col("p75") + reach).alias("high"))
     inside = (F.col("value") >= F.col("low")) & (F.col("value") <= F.col("high"))

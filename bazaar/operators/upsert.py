@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.operators.lookup import broadcast_if_small
 from bazaar.schemas import ROW_ORDER
 from bazaar.sources.storage import stage
 
@@ -50,12 +49,9 @@ def one_per_key(
         .select("_hash"),
         "repeated",
     )
-    if repeated.isEmpty():
-        return batch.drop(order)
     hashed = batch.withColumn("_hash", key_hash)
-    few = broadcast_if_small(repeated)
-    once = hashed.join(few, "_hash", "left_anti").drop("_hash", order)
-    many = hashed.join(few, "_hash", "left_semi").drop("_hash")
+    once = hashed.join(repeated, "_hash", "left_anti").drop("_hash", order)
+    many = hashed.join(repeated, "_hash", "left_semi").drop("_hash")
     return once.unionByName(reduce_batch(many, keys, update, order))
 
 

@@ -48,21 +48,11 @@ def payments_by(payments: DataFrame, column: str) -> DataFrame:
 
 def price_stats(items: DataFrame) -> DataFrame:
     """Least, greatest, mean and median of price and freight."""
-    return describe(items_rows(items), ["price", "freight_value"]).select(
+    return describe(items_rows(items), ["price", "freight_value"], [0.5]).select(
         "column_name", "min", "max", "mean", F.col("p50").alias("median")
     )
 
 
-def approximate_price_stats(items: DataFrame, accuracy: int = 10_000) -> DataFrame:
-    """Approximate medians in a single pass, for a first look at very large tables."""
-    return items_rows(items).agg(
-        *[
-            F.percentile_approx(c, 0.5, accuracy).alias(f"{c}_median")
-            for c in ("price", "freight_value")
-        ]
-    )
-
-
 def order_totals_describe(payments: DataFrame) -> DataFrame:
     """The totals paid per order, described; they are written once and read by every pass."""
     totals = (

@@ -16,7 +16,6 @@ from bazaar.functions.cleaning import (
     zip_or_none,
 )
 from bazaar.operators.dedup import keep_first
-from bazaar.operators.lookup import broadcast_if_small
 from bazaar.operators.quality import Rule, unparsable
 from bazaar.schemas import COORDINATE, ORDER_DATES, PRODUCT_MEASURES, ROW_ORDER
 
@@ -75,11 +74,11 @@ def standard_customers(customers: DataFrame) -> DataFrame:
 def _with_place(rows: DataFrame, geography: DataFrame) -> DataFrame:
     """Look the place up by zip: NULL where the zip is unknown.
 
-    The key is the zip and the result the id. The table has a row per zip and is broadcast while
-    it is small; a hot zip then needs no shuffle, and beyond the bound its rows are split.
+    The key is the zip and the result the id. The places are a stored table, so its size decides
+    about a broadcast; in a shuffle join adaptive execution splits a hot zip's rows.
     """
     places = geography.select("zip_code_prefix", "geography_id")
-    return rows.join(broadcast_if_small(places), "zip_code_prefix", "left")
+    return rows.join(places, "zip_code_prefix", "left")
 
 
 def customers_batch(customers: DataFrame, geography: DataFrame) -> DataFrame:
@@ -105,7 +104,7 @@ def sellers_batch(sellers: DataFrame, geography: DataFrame) -> DataFrame:
 def translated_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """Products with the English category, NULL where there is no translation."""
     names = translation.select("product_category_name", "product_category_name_english")
-    return products.join(broadcast_if_small(names), "product_category_name", "left")
+    return products.join(names, "product_category_name", "left")
 
 
 def filled_products(products: DataFrame) -> DataFrame:

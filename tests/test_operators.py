@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 import bazaar.operators.quantiles as module
 from bazaar.operators.dedup import keep_first
-from bazaar.operators.lookup import broadcast_if_small
 from bazaar.operators.positions import assign_keys, positions, running_totals
 from bazaar.operators.quantiles import box_plot, describe, quantiles
 from bazaar.operators.upsert import one_per_key, reduce_batch, upsert
@@ -130,13 +129,6 @@ def test_running_totals(spark):
     assert (got.before == expected).all()
 
 
-def test_broadcast_only_within_the_bound(spark):
-    small, large = spark.range(3), spark.range(30)
-    assert "broadcast" in broadcast_if_small(small, 10)._jdf.queryExecution().logical().toString()
-    plan = broadcast_if_small(large, 10)._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in plan
-
-
 def _mixed(spark, n: int):
     """A spread column, and one where a single value holds a third of the rows."""
     return spark.range(n).select(
@@ -148,14 +140,15 @@ def _mixed(spark, n: int):
     )
 
 
-@pytest.mark.parametrize("narrow_above", [10**6, 100])
-def test_quantiles_equal_numpy(spark, narrow_above, tmp_path):
-    _mixed(spark, 5000).write.parquet(str(tmp_path / "q"))
+@pytest.mark.parametrize("n, accuracy", [(5000, 10_000), (30_000, 10_000), (5000, 50), (7, 50)])
+def test_quantiles_equal_numpy(spark, n, accuracy, tmp_path, monkeypatch):
+    monkeypatch.setattr(module, "ACCURACY", accuracy)
+    _mixed(spark, n).write.parquet(str(tmp_path / "q"))
     df = spark.read.parquet(str(tmp_path / "q"))
     probabilities = [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]
     got = {
         r.column_name: list(r)[1:]
-        for r in quantiles(df, ["spread", "hot"], probabilities, narrow_above).collect()
+        for r in quantiles(df, ["spread", "hot"], probabilities).collect()
     }
     frame = df.toPandas()
     for column in ("spread", "hot"):
@@ -164,15 +157,18 @@ def test_quantiles_equal_numpy(spark, narrow_above, tmp_path):
         np.testing.assert_allclose(got[column][1:], values.quantile(probabilities), rtol=1e-12)
 
 
-def test_quantiles_outside_their_bounds_are_found_all_the_same(spark, monkeypatch):
-    df = _mixed(spark, 3000)
-    df = spark.createDataFrame(df.toPandas())
-    monkeypatch.setattr(
-        module, "_bounded", lambda df, wanted: [w._replace(low=1.0, high=2.0) for w in wanted]
-    )
-    row = quantiles(df, ["spread"], [0.5, 0.9], narrow_above=10).first()
-    expected = df.toPandas().spread.quantile([0.5, 0.9])
-    np.testing.assert_allclose([row.p50, row.p90], expected, rtol=1e-12)
+def test_bounds_that_miss_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(module, "bounds", lambda c, p: F.array(F.lit(1.0), F.lit(2.0)))
+    with pytest.raises(ArithmeticError):
+        quantiles(_mixed(spark, 20_000), ["spread"], [0.5])
+
+
+def test_quantiles_of_text(spark):
+    texts = ["9", "10", "55", "100", "bad", None, " 7 ", "NaN"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    row = describe(df, ["v"]).first()
+    assert (row.n, row["min"], row.p50, row["max"]) == (5, 7.0, 10.0, 100.0)
+    assert box_plot(df, ["v"]).first().n == 5
 
 
 def test_quantiles_of_tiny_columns(spark):

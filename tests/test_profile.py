@@ -72,3 +72,23 @@ def test_months_without_rows_are_zero(spark):
         (date(2024, 2, 29), 0),
         (date(2024, 3, 31), 1),
     ]
+
+
+def test_histogram_and_grid_of_text(spark):
+    texts = [("9", "1"), ("10", "2"), ("55", "3"), ("100", "x"), ("bad", "4"), (None, "5"), ("NaN", "6")]
+    df = spark.createDataFrame(texts, "v string, w string")
+    bins = profile.histogram(df, "v", 10).collect()
+    assert (bins[0].lower, bins[-1].upper, sum(b.n for b in bins)) == (9.0, 100.0, 4)
+    assert sum(r.n for r in profile.grid(df, "v", "w", 4).collect()) == 3
+
+
+def test_histogram_ignores_nan(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),)], "v double")
+    bins = profile.histogram(df, "v", 2).collect()
+    assert [(b.lower, b.upper, b.n) for b in bins] == [(1.0, 1.5, 1), (1.5, 2.0, 1)]
+
+
+def test_zeros_are_one_value(spark):
+    df = spark.createDataFrame([(0.0, "0.0"), (-0.0, "-0.0")], "v double, t string")
+    got = {r.column_name: r.n_distinct for r in profile.distinct_counts(df, ["v", "t"]).collect()}
+    assert got == {"v": 1, "t": 2}
