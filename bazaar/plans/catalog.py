@@ -43,7 +43,11 @@ def publish(spark: SparkSession, database: str, warehouse: Warehouse) -> None:
     for table in TABLES.values():
         name = f"{database}.{table.name}"
         if table.partition:
-            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            for month, folder in warehouse.months(table.name).folders().items():
+                part = f"PARTITION ({table.partition} = {month})"
+                location = f"LOCATION '{warehouse.path(table.name)}/{folder}'"
+                spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {part} {location}")
+                spark.sql(f"ALTER TABLE {name} {part} SET {location}")
         else:
             spark.sql(
                 f"ALTER TABLE {name} SET LOCATION '{_location(spark, warehouse, table)}'"

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.functions.calendar import month_number
 from bazaar.functions.cleaning import clean_dates, clean_money, clean_numbers, delay_days
-from bazaar.operators.lookup import lookup
+from bazaar.operators.quality import Rule, any_breach, unparsable
 from bazaar.operators.upsert import one_per_key, reduce_batch
 from bazaar.schemas import MONEY, ORDER_DATES, ROW_ORDER
+from bazaar.sources.storage import stage
+
+PAYMENT_NUMBERS = ["payment_value", "payment_installments"]
+ITEM_MONEY = ["price", "freight_value"]
 
 
 def clean_payments(payments: DataFrame) -> DataFrame:
@@ -34,6 +40,52 @@ def payments_rollup(payments: DataFrame) -> DataFrame:
     )
 
 
+def marked_payments(payments: DataFrame) -> DataFrame:
+    """Clean payments that keep the raw text of their numbers, for ``payments_rules``."""
+    return clean_payments(
+        payments.withColumns({f"_raw_{c}": F.col(c).cast("string") for c in PAYMENT_NUMBERS})
+    )
+
+
+def payments_rules() -> list[Rule]:
+    """A payment without an order, or whose value or installments are text but no number."""
+    return [
+        Rule("order_id", F.col("order_id"), F.col("order_id").isNull(), "missing key"),
+        *_not_numbers(PAYMENT_NUMBERS),
+    ]
+
+
+def _not_numbers(columns: Sequence[str]) -> list[Rule]:
+    return [
+        Rule(c, F.col(f"_raw_{c}"), unparsable(F.col(f"_raw_{c}"), F.col(c)), "not a number")
+        for c in columns
+    ]
+
+
+def with_payments(orders: DataFrame, paid: DataFrame) -> DataFrame:
+    """Stored orders with what has been paid since: sums grow, the first payment's type stays."""
+    new = paid.select(
+        "order_id",
+        F.col("payment_value").alias("_value"),
+        F.col("payment_installments").alias("_installments"),
+        F.col("payment_type").alias("_type"),
+    )
+    unpaid = F.col("payment_installments").isNull() & F.col("payment_type").isNull() & (
+        F.col("total_amount") == 0
+    )
+    return (
+        orders.join(new, "order_id", "left")
+        .withColumns(
+            {
+                "payment_type": F.when(unpaid, F.col("_type")).otherwise(F.col("payment_type")),
+                "payment_installments": F.greatest("payment_installments", "_installments"),
+                "total_amount": (F.col("total_amount") + F.coalesce("_value", F.lit(0))).cast(MONEY),
+            }
+        )
+        .select(orders.columns)
+    )
+
+
 def orders_payments_detail(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Every order with each of its payments; an order without one is kept.
 
@@ -58,7 +110,8 @@ def orders_with_delay(orders: DataFrame) -> DataFrame:
 
 def orders_rows(orders: DataFrame) -> DataFrame:
     """Raw orders under their warehouse names, still one row per raw row."""
-    return orders_with_delay(orders).select(
+    raw = {f"_raw_{c}": F.col(c).cast("string") for c in ORDER_DATES}
+    return orders_with_delay(orders.withColumns(raw)).select(
         "order_id",
         "customer_id",
         F.to_date("order_purchase_timestamp").alias("date_actual"),
@@ -66,40 +119,70 @@ def orders_rows(orders: DataFrame) -> DataFrame:
         *[F.col(c).alias(c.removeprefix("order_")) for c in ORDER_DATES],
         "delivery_delay",
         month_number(F.col("order_purchase_timestamp")).alias("purchase_month"),
+        *raw,
         ROW_ORDER,
     )
 
 
+def orders_rules() -> list[Rule]:
+    """Dates that are text but no date: the order is loaded without them."""
+    return [
+        Rule(
+            c.removeprefix("order_"),
+            F.col(f"_raw_{c}"),
+            unparsable(F.col(f"_raw_{c}"), F.col(c.removeprefix("order_"))),
+            "not a date",
+        )
+        for c in ORDER_DATES
+    ]
+
+
 def orders_batch(rows: DataFrame, payments: DataFrame, time: DataFrame) -> DataFrame:
     """One row per order, with its payments and calendar day.
 
     Orders and payments are both brought down to one row per order before they meet, so the join
-    sees no hot key and reuses the partitioning of the two aggregates.
+    sees no hot key. Only payments of the batch's orders are summed.
     """
+    rows = rows.drop(*(f"_raw_{c}" for c in ORDER_DATES))
     one = reduce_batch(
         rows, ["order_id"], ["customer_id", "date_actual", "order_status", "delivery_delay"]
     )
-    paid = one.join(payments_rollup(payments), "order_id", "left").withColumn(
+    marked = marked_payments(payments).where(~any_breach(payments_rules()))
+    paid = payments_rollup(marked.join(rows.select("order_id").distinct(), "order_id", "left_semi"))
+    totals = one.join(paid, "order_id", "left").withColumn(
         "total_amount", F.coalesce("payment_value", F.lit(0)).cast(MONEY)
     )
-    return lookup(paid, time.select("date_actual", "date_id"), "date_actual")
+    return totals.join(time.select("date_actual", "date_id"), "date_actual", "left")
 
 
 def items_rows(items: DataFrame) -> DataFrame:
-    """Raw items with 0 for a missing price or freight."""
-    money = ["price", "freight_value"]
-    return clean_money(items, money).withColumns(
-        {c: F.coalesce(F.col(c), F.lit(0)).cast(MONEY) for c in money}
+    """Raw items with 0 for a missing price or freight; text that is no number stays marked."""
+    raw = {f"_raw_{c}": F.col(c).cast("string") for c in ITEM_MONEY}
+    rows = clean_money(items.withColumns(raw), ITEM_MONEY)
+    return rows.withColumns(
+        {
+            c: F.when(F.col(f"_raw_{c}").isNull(), F.lit(0).cast(MONEY)).otherwise(F.col(c))
+            for c in ITEM_MONEY
+        }
     )
 
 
+def items_rules() -> list[Rule]:
+    """Prices and freights that are text but no number."""
+    return _not_numbers(ITEM_MONEY)
+
+
 def items_batch(rows: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per item, laid out by the month its order was bought in.
 
     The month is that of the stored order, which no update changes; 0 if the order is unknown.
+    Stored orders are first brought down to the batch's by a semi join, whose other side is as
+    large as the batch.
     """
+    rows = rows.drop(*(f"_raw_{c}" for c in ITEM_MONEY))
     one = one_per_key(rows, ["order_id", "order_item_id"], ["price", "freight_value"])
-    months = orders.select("order_id", "purchase_month")
+    wanted = stage(rows.select("order_id").distinct(), "item-orders")
+    months = orders.select("order_id", "purchase_month").join(wanted, "order_id", "left_semi")
     return one.join(months, "order_id", "left").withColumn(
         "purchase_month", F.coalesce("purchase_month", F.lit(0))
     )

@@ -23,7 +23,7 @@ from bazaar.plans import dimensions as dims
 from bazaar.plans import facts
 from bazaar.plans.marts import MARTS
 from bazaar.schemas import CONTRACTS, ROW_ORDER, TABLES, Table
-from bazaar.sources.storage import VersionedTable, has_match, stage, staging
+from bazaar.sources.storage import PartitionedTable, VersionedTable, stage, staging
 
 log = logging.getLogger(__name__)
 
@@ -55,17 +55,18 @@ def independent_groups(tables: Sequence[str]) -> list[list[str]]:
     depth: dict[str, int] = {}
     for table in NEEDS:
         depth[table] = max((depth[need] + 1 for need in NEEDS[table]), default=0)
-    groups = [[t for t in NEEDS if t in tables and depth[t] == level] for level in range(3)]
+    levels = range(max(depth.values()) + 1)
+    groups = [[t for t in NEEDS if t in tables and depth[t] == level] for level in levels]
     return [group for group in groups if group]
 
 
 class Warehouse:
     """The star schema under one folder.
 
-    Dimensions and marts are versioned snapshots. Facts are partitioned by month of purchase, and
-    a load rewrites only the months it touches. Each table is committed on its own; a failed load
-    raises, leaves the tables after it as they were, and can be repeated, since all loads are
-    upserts.
+    Dimensions and marts are versioned snapshots. Facts are partitioned by month of purchase; a
+    load writes the months it touches anew and commits them at once. Each table is committed on
+    its own: a failed load raises, leaves its table and those after it as they were, and can be
+    repeated, since all loads are upserts.
     """
 
     def __init__(self, spark: SparkSession, root: str, run_ts: datetime | None = None):
@@ -83,16 +84,19 @@ class Warehouse:
     def _versions(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, self.path(name), TABLES[name].schema)
 
+    def months(self, name: str) -> PartitionedTable:
+        """A fact's storage, by month."""
+        table = TABLES[name]
+        return PartitionedTable(self.spark, self.path(name), table.schema, table.partition)
+
     def find(self, name: str) -> DataFrame | None:
         """The current table, or None before its first load."""
         if name not in self._frames:
             table = TABLES[name]
             if table.partition is None:
                 frame = self._versions(name).read()
-            elif has_match(self.spark, f"{self.path(name)}/{table.partition}=*"):
-                frame = self.spark.read.schema(table.schema).parquet(self.path(name))
             else:
-                frame = None
+                frame = self.months(name).read()
             if frame is None:
                 return None
             self._frames[name] = frame
@@ -124,12 +128,12 @@ class Warehouse:
         self, raw: Raw, tables: Sequence[str], require_non_empty: bool = True
     ) -> Warehouse:
         """Load just the named tables into what is there already."""
-        empty = empty_tables({_SOURCES[name]: raw[_SOURCES[name]] for name in tables})
+        empty = empty_tables({SOURCE_OF[name]: raw[SOURCE_OF[name]] for name in tables})
         if empty and require_non_empty:
             raise ValueError(f"no rows in {', '.join(empty)}")
 
         def load(name: str) -> None:
-            if _SOURCES[name] in empty:
+            if SOURCE_OF[name] in empty:
                 log.info("%s: nothing to load", name)
                 return
             with staging(self.spark):
@@ -161,17 +165,21 @@ class Warehouse:
         rows: DataFrame,
         rules: Sequence[Rule],
         finish: Callable[[DataFrame], DataFrame],
+        notes: Sequence[Rule] = (),
     ) -> None:
         """Check the rows, set bad ones apart, finish the good ones and write the table.
 
-        Bad rows are counted while the table is written; only if there are any does a second pass
-        over the source store them.
+        ``notes`` are rules whose breaches are recorded with the bad rows', but whose rows are
+        loaded. Breaches are counted while the table is written; only if there are any does a
+        second pass over the source store them.
         """
         table = TABLES[name]
         rules = [*rules_for(table), *rules]
         seen = Observation()
         checked = rows.withColumn("_bad", any_breach(rules)).observe(
-            seen, F.count("*").alias("rows"), F.count_if("_bad").alias("bad")
+            seen,
+            F.count("*").alias("rows"),
+            F.count_if(any_breach([*rules, *notes])).alias("bad"),
         )
         batch = finish(checked.where(~F.col("_bad")).drop("_bad")).withColumn(
             "created_at", F.lit(self.run_ts).cast("timestamp_ntz")
@@ -183,9 +191,9 @@ class Warehouse:
         counts = seen.get
         self.loaded_rows[name] = counts.get("rows", 0)
         if counts.get("bad", 0):
-            log.warning("%s: %d bad rows set apart", name, counts["bad"])
+            log.warning("%s: %d rows with bad values", name, counts["bad"])
             store = VersionedTable(self.spark, f"{self.root}/quarantine/{name}")
-            store.write(bad_rows(rows, rules, name, table.key))
+            store.write(bad_rows(rows, [*rules, *notes], name, table.key))
         log.info("%s: %d rows read", name, self.loaded_rows[name])
 
     def _write_dimension(self, table: Table, batch: DataFrame) -> None:
@@ -211,16 +219,45 @@ class Warehouse:
             touched = stored.select(month).union(batch.select(month)).distinct()
             months = [row[0] for row in touched.collect()]
             merged = upsert(target.where(F.col(month).isin(months)), batch, table.key, table.update)
-        # Rebalancing gives each month files of a good size, also a month with very many rows.
-        (
-            merged.hint("rebalance", month)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(month)
-            .parquet(self.path(table.name))
-        )
+        self.months(table.name).write(merged)
         self._frames.pop(table.name, None)
 
+    def add_payments(self, payments: DataFrame, names: Sequence[str]) -> None:
+        """Add newly arrived payments to the orders they are for.
+
+        ``names`` says where they come from, such as files; the table keeps the names with the
+        very commit that adds the payments (``months("fact_orders").loads()``), so that callers
+        can leave out what was added before.
+
+        The totals of other orders stay. An order keeps the type of its first payment; payments
+        of orders that are not stored are set apart under ``quarantine/order_payments``.
+        """
+        months = self.months("fact_orders")
+        orders, month = self.table("fact_orders"), TABLES["fact_orders"].partition
+        with staging(self.spark):
+            rules = facts.payments_rules()
+            rows = facts.marked_payments(payments)
+            new = stage(facts.payments_rollup(rows.where(~any_breach(rules))), "payments")
+            known = stage(
+                orders.select("order_id", month).join(new, "order_id", "left_semi"), "paid"
+            )
+            apart = bad_rows(rows, rules, "order_payments", ["order_id"]).unionByName(
+                new.join(known, "order_id", "left_anti").select(
+                    F.lit("order_payments").alias("table_name"),
+                    F.col("order_id").alias("row_key"),
+                    F.lit("order_id").alias("column_name"),
+                    F.col("order_id").alias("raw_value"),
+                    F.lit("unknown order").alias("reason"),
+                )
+            )
+            VersionedTable(self.spark, f"{self.root}/quarantine/order_payments").write(apart)
+            # A few hundred numbers: the months of the orders that were paid.
+            touched = [row[0] for row in known.select(month).distinct().collect()]
+            if touched:
+                stored = orders.where(F.col(month).isin(touched))
+                months.write(facts.with_payments(stored, new), names)
+                self._frames.pop("fact_orders", None)
+
     # Precomputed marts
 
     def refresh_marts(self, names: Sequence[str] = tuple(MARTS)) -> None:
@@ -241,6 +278,9 @@ class Warehouse:
         names += [f"raw/{source}" for source in CONTRACTS] + [f"marts/{mart}" for mart in MARTS]
         for name in names:
             VersionedTable(self.spark, self.path(name)).expire(keep)
+        for table in TABLES.values():
+            if table.partition:
+                self.months(table.name).expire(keep)
 
 
 def _conform(batch: DataFrame, table: Table) -> DataFrame:
@@ -248,7 +288,7 @@ def _conform(batch: DataFrame, table: Table) -> DataFrame:
 
 
 # The raw table whose rows each table is made of.
-_SOURCES: dict[str, str] = {
+SOURCE_OF: dict[str, str] = {
     "dim_geography": "geography",
     "dim_customers": "customers",
     "dim_products": "products",
@@ -325,7 +365,14 @@ def _load_orders(warehouse: Warehouse, raw: Raw) -> None:
         facts.orders_rows(raw["orders"]),
         [],
         lambda good: facts.orders_batch(good, raw["order_payments"], time),
+        notes=facts.orders_rules(),
     )
+    rules = facts.payments_rules()
+    bad = bad_rows(
+        facts.marked_payments(raw["order_payments"]), rules, "order_payments", ["order_id"]
+    )
+    if not bad.isEmpty():
+        VersionedTable(warehouse.spark, f"{warehouse.root}/quarantine/order_payments").write(bad)
 
 
 def _load_items(warehouse: Warehouse, raw: Raw) -> None:
@@ -333,7 +380,7 @@ def _load_items(warehouse: Warehouse, raw: Raw) -> None:
     warehouse._load(
         "fact_order_items",
         facts.items_rows(raw["order_items"]),
-        [],
+        facts.items_rules(),
         lambda good: facts.items_batch(good, orders),
     )
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 import logging
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
@@ -125,3 +126,73 @@ class VersionedTable:
         files = _file_system(self.spark, self.root)
         for version in self.versions()[: -max(keep, 1)]:
             files.delete(_path(self.spark, self.path(version)), True)
+
+
+class PartitionedTable:
+    """Snapshots of a table in folders of one column's values, of which a load rewrites some.
+
+    A load writes the folders it touches to a place of its own, ``<root>/data=<load>``, and then
+    commits a list of all current folders as a version of ``<root>/folders``. Readers follow the
+    newest list, so a load that fails anywhere before that leaves the table as it was.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, column: str):
+        self.spark, self.root, self.schema, self.column = spark, root, schema, column
+        self._lists = VersionedTable(spark, f"{root}/folders")
+
+    def folders(self) -> dict[int, str]:
+        """The current folder of each value; the list is as long as there are values."""
+        listed = self._lists.read()
+        return {} if listed is None else {row.value: row.folder for row in listed.collect()}
+
+    def loads(self) -> set[str]:
+        """Names of what ``write`` was told to be in the table."""
+        listed = self._lists.read()
+        if listed is None:
+            return set()
+        names = listed.select(F.explode("loads").alias("load")).distinct()
+        return {row.load for row in names.collect()}
+
+    def read(self) -> DataFrame | None:
+        folders = self.folders()
+        if not folders:
+            return None
+        paths = [f"{self.root}/{folder}" for folder in sorted(folders.values())]
+        rows = self.spark.read.schema(self.schema).option("basePath", self.root).parquet(*paths)
+        return rows.select(*self.schema.names)
+
+    def write(self, df: DataFrame, loads: Iterable[str] = ()) -> None:
+        """Replace the folders of all values in ``df``, which holds their rows in full.
+
+        ``loads`` names what has gone into them, for callers that must not add it twice.
+        """
+        data = f"data={uuid.uuid4().hex}"
+        # Rebalancing gives each value files of a good size, also one with very many rows.
+        (
+            df.hint("rebalance", self.column)
+            .write.partitionBy(self.column)
+            .parquet(f"{self.root}/{data}")
+        )
+        files = _file_system(self.spark, self.root)
+        written = files.globStatus(_path(self.spark, f"{self.root}/{data}/{self.column}=*"))
+        folders = self.folders()
+        for status in written or []:
+            name = status.getPath().getName()
+            folders[int(name.split("=")[1])] = f"{data}/{name}"
+        done = sorted(self.loads() | set(loads))
+        rows = [(value, folder, done if not i else []) for i, (value, folder) in enumerate(folders.items())]
+        if rows:
+            listed = self.spark.createDataFrame(rows, "value int, folder string, loads array<string>")
+            self._lists.write(listed)
+
+    def expire(self, keep: int = 2) -> None:
+        """Delete what only older lists than the newest ``keep`` name."""
+        self._lists.expire(keep)
+        named = set()
+        for version in self._lists.versions():
+            listed = self.spark.read.parquet(self._lists.path(version))
+            named |= {row.folder.split("/")[0] for row in listed.select("folder").collect()}
+        files = _file_system(self.spark, self.root)
+        for status in files.globStatus(_path(self.spark, f"{self.root}/data=*")) or []:
+            if status.getPath().getName() not in named:
+                files.delete(status.getPath(), True)

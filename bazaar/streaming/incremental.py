@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from bazaar.functions.cleaning import null_missing_tokens
 from bazaar.operators.upsert import reduce_batch, upsert
-from bazaar.plans.warehouse import Warehouse
+from bazaar.plans.warehouse import SOURCE_OF, Warehouse
 from bazaar.schemas import CONTRACTS, ROW_ORDER
 from bazaar.sources.files import file_order
 from bazaar.sources.storage import VersionedTable
@@ -52,22 +52,22 @@ def upsert_new_files(
 ) -> DataFrame:
     """Upsert new files into a versioned table and return its current rows.
 
-    Batch n makes version n+1 from the last version below it: a repeated batch starts from the
-    same rows as the first time and replaces what that time may have left.
+    Each batch makes the next version of the newest one, whatever the checkpoint knows: a lost
+    checkpoint reads files again but loses nothing, and a repeated batch changes nothing, since
+    its rows are upserts. Rows without a key are set apart under ``<root>/rejected``.
     """
+    no_key = " OR ".join(f"{k} IS NULL" for k in keys)
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
+    def apply(batch: DataFrame, _: int) -> None:
+        rejected = batch.where(no_key)
+        if not rejected.isEmpty():
+            VersionedTable(batch.sparkSession, f"{target.root}/rejected").write(rejected)
         rows = reduce_batch(
-            batch.withColumn(ROW_ORDER, F.struct(*order)).where(
-                " AND ".join(f"{k} IS NOT NULL" for k in keys)
-            ),
-            keys,
-            update,
+            batch.withColumn(ROW_ORDER, F.struct(*order)).where(f"NOT ({no_key})"), keys, update
         )
         table = VersionedTable(batch.sparkSession, target.root, target.schema)
-        current = table.read(below=version)
-        table.write(rows if current is None else upsert(current, rows, keys, update), version)
+        current = table.read()
+        table.write(rows if current is None else upsert(current, rows, keys, update))
 
     run_to_end(read_stream(spark, landing, schema, "parquet", **options), apply, checkpoint)
     return target.read()
@@ -85,14 +85,40 @@ def ingest_raw_files(
     """Load new CSV files of one raw table into the warehouse tables made of it.
 
     ``others`` are the raw tables that those loads join with. The loads are upserts, so a batch
-    that is repeated after a failure leaves the tables as the first time would have.
+    that is repeated after a failure leaves the tables as the first time would have. A table is
+    made of one raw table; for payments, which only add to orders, see ``ingest_payments``.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in CONTRACTS[source]])
-    csv = {"header": "true", "enforceSchema": "false", "escape": '"', **options}
+    others_made = [table for table in tables if SOURCE_OF[table] != source]
+    if others_made:
+        raise ValueError(f"{', '.join(others_made)} cannot be made of {source} alone")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         raw = {**(others or {}), source: null_missing_tokens(file_order(batch))}
         warehouse.load_only(raw, tables, require_non_empty=False)
 
+    run_to_end(_csv_stream(warehouse, source, landing, **options), apply, checkpoint)
+
+
+def _csv_stream(warehouse: Warehouse, source: str, landing: str, **options: str) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in CONTRACTS[source]])
+    csv = {"header": "true", "enforceSchema": "false", "escape": '"', **options}
     stream = read_stream(warehouse.spark, landing, schema, "csv", **csv)
-    run_to_end(stream.select("*", "_metadata"), apply, checkpoint)
+    return stream.select("*", "_metadata")
+
+
+def ingest_payments(warehouse: Warehouse, landing: str, checkpoint: str, **options: str) -> None:
+    """Add the payments in new CSV files to the stored orders, each file once.
+
+    The order table names the files that are in it, in the commit that adds them: neither a
+    repeated batch nor a lost checkpoint counts a payment twice.
+    """
+
+    def apply(batch: DataFrame, _: int) -> None:
+        path = F.col("_metadata.file_path")
+        files = {row[0] for row in batch.select(path).distinct().collect()}
+        new = sorted(files - warehouse.months("fact_orders").loads())
+        if new:
+            rows = null_missing_tokens(file_order(batch.where(path.isin(new))))
+            warehouse.add_payments(rows.drop("_metadata"), new)
+
+    run_to_end(_csv_stream(warehouse, "order_payments", landing, **options), apply, checkpoint)

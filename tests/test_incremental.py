@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from bazaar.operators.upsert import reduce_batch
@@ -9,7 +10,7 @@ from bazaar.plans.warehouse import Warehouse
 from bazaar.schemas import CONTRACTS, ROW_ORDER
 from bazaar.sources.storage import VersionedTable
 from bazaar.sources.tables import raw_table, read_table
-from bazaar.streaming.incremental import ingest_raw_files, upsert_new_files
+from bazaar.streaming.incremental import ingest_payments, ingest_raw_files, upsert_new_files
 from conftest import TESTDATA
 
 
@@ -45,7 +46,7 @@ def test_slices_give_the_result_of_one_batch(spark, tmp_path, rows):
     assert VersionedTable(spark, f"{tmp_path}/users").versions() == [1, 2]
 
 
-def test_a_repeated_batch_starts_from_the_version_before_it(spark, tmp_path, rows):
+def test_a_repeated_batch_changes_nothing(spark, tmp_path, rows):
     events = _events(spark)
     events.write.parquet(f"{tmp_path}/landing")
     once = rows(_run(spark, tmp_path, events))
@@ -53,7 +54,59 @@ def test_a_repeated_batch_starts_from_the_version_before_it(spark, tmp_path, row
     for lost in (tmp_path / "checkpoint" / "commits").glob("*0*"):
         lost.unlink()
     assert rows(_run(spark, tmp_path, events)) == once
-    assert VersionedTable(spark, f"{tmp_path}/users").versions() == [1]
+
+
+def test_a_lost_checkpoint_loses_no_rows(spark, tmp_path):
+    schema = "user_id long, event_id long, ts timestamp_ntz, event_type string, value double"
+    ts = datetime(2024, 1, 1)
+
+    def run(checkpoint, *data):
+        rows = spark.createDataFrame([(u, e, ts, "a", 1.0) for u, e in data], schema)
+        rows.write.mode("append").parquet(f"{tmp_path}/landing")
+        users = upsert_new_files(
+            spark, f"{tmp_path}/landing", rows.schema, VersionedTable(spark, f"{tmp_path}/users", rows.schema),
+            ["user_id"], ["event_type", "value"], ["ts", "event_id"], f"{tmp_path}/{checkpoint}",
+        )
+        return sorted(r.user_id for r in users.collect())
+
+    assert run("one", (1, 1), (2, 2), (None, 3)) == [1, 2]
+    assert run("one", (3, 4)) == [1, 2, 3]
+    assert run("two", (4, 5)) == [1, 2, 3, 4]
+    rejected = VersionedTable(spark, f"{tmp_path}/users/rejected").read()
+    assert [r.event_id for r in rejected.collect()] == [3]
+
+
+def test_new_payments_add_to_their_orders_alone(spark, tmp_path):
+    def frame(table, data):
+        columns = ", ".join(f"{c} string" for c in CONTRACTS[table])
+        return spark.createDataFrame([(*r, i) for i, r in enumerate(data)], f"{columns}, {ROW_ORDER} int")
+
+    raw = {
+        "orders": frame("orders", [(o, "c", "x", "2018-01-05", None, None, None, None) for o in ("o1", "o2", "o3")]),
+        "order_payments": frame("order_payments", [("o1", "boleto", "1", "5.00"), ("o2", "card", "2", "7.00")]),
+    }
+    house = Warehouse(spark, f"{tmp_path}/house", datetime(2024, 1, 1)).load_only(raw, ["dim_time", "fact_orders"])
+    landing = tmp_path / "landing"
+    landing.mkdir()
+
+    def run(checkpoint, name, *lines):
+        (landing / name).write_text("\n".join([",".join(CONTRACTS["order_payments"]), *lines]) + "\n")
+        ingest_payments(house, str(landing), f"{tmp_path}/{checkpoint}")
+        return {
+            r.order_id: (float(r.total_amount), r.payment_type, r.payment_installments)
+            for r in house.table("fact_orders").collect()
+        }
+
+    want = {"o1": (8.0, "boleto", 4), "o2": (7.0, "card", 2), "o3": (0.0, None, None)}
+    assert run("one", "1.csv", "o1,voucher,4,3.00", "o9,voucher,1,1.00", "o2,voucher,1,bad") == want
+    assert {(r.row_key, r.reason) for r in house.quarantine("order_payments").collect()} == {
+        ("o9", "unknown order"), ("o2", "not a number"),
+    }
+    want["o3"] = (2.5, "card", 1)
+    assert run("one", "2.csv", "o3,card,1,2.50") == want
+    assert run("lost", "3.csv", "o2,card,1,1.00") == want | {"o2": (8.0, "card", 2)}
+    with pytest.raises(ValueError, match="fact_orders"):
+        ingest_raw_files(house, "order_payments", str(landing), f"{tmp_path}/c", ["fact_orders"])
 
 
 def test_csv_files_are_folded_into_the_warehouse(spark, tmp_path, rows):

@@ -11,7 +11,7 @@ from bazaar.plans import catalog, explorations, marts
 from bazaar.plans.daily import run_daily
 from bazaar.plans.warehouse import Warehouse, independent_groups, with_needs
 from bazaar.schemas import CONTRACTS, ROW_ORDER, TABLES
-from bazaar.sources.storage import shared_folder
+from bazaar.sources.storage import VersionedTable, shared_folder
 from bazaar.sources.tables import raw_tables
 from conftest import TESTDATA
 
@@ -157,7 +157,7 @@ def test_orders(small):
     )
     assert got == {
         "o1": (Decimal("10.30"), None, 5, 10.5, 201801),
-        "o2": (Decimal("0.00"), "voucher", None, None, 201801),
+        "o2": (Decimal("0.00"), None, None, None, 201801),
         "o3": (Decimal("0.00"), None, None, None, 0),
         "o4": (Decimal("0.00"), None, None, 2.0, 201802),
     }
@@ -171,7 +171,21 @@ def test_items(small):
     assert got == {
         ("o1", "1"): (Decimal("7.50"), Decimal("0.00"), 201801),
         ("o1", "2"): (Decimal("1.00"), Decimal("0.50"), 201801),
-        ("o9", "1"): (Decimal("0.00"), Decimal("1.00"), 0),
+    }
+
+
+def test_bad_fact_values_are_set_apart(small):
+    def apart(name):
+        return {tuple(r)[1:] for r in small.quarantine(name).collect()}
+
+    assert apart("fact_order_items") == {("o9|1", "price", "bad", "not a number")}
+    assert apart("order_payments") == {
+        ("o2", "payment_installments", "x", "not a number"),
+        ("", "order_id", None, "missing key"),
+    }
+    # A bad date is noted, and its order loaded without it.
+    assert apart("fact_orders") == {
+        ("o3", column, "invalid", "not a date") for column in ("purchase_timestamp", "approved_at")
     }
 
 
@@ -279,14 +293,11 @@ def test_second_batch_updates_only_listed_columns(spark, tmp_path):
 
 def test_second_batch_leaves_other_months_alone(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path), FIRST).load(small_raw(spark))
-    files = lambda month: sorted(
-        (p.name, p.stat().st_mtime_ns)
-        for p in (tmp_path / "fact_orders" / f"purchase_month={month}").glob("*.parquet")
-    )
-    january, february = files(201801), files(201802)
+    folder = house.months("fact_orders").folders
+    january, february = folder()[201801], folder()[201802]
     raw = small_raw(spark, orders=[order("o2", "c2", "2018-01-06", "2018-01-09")])
     house.load_only(raw, ["fact_orders"])
-    assert files(201802) == february and files(201801) != january
+    assert folder()[201802] == february and folder()[201801] != january
     assert house.table("fact_orders").count() == 4
 
 
@@ -314,6 +325,40 @@ def test_failed_load_raises_and_keeps_the_table(spark, tmp_path, rows):
     assert rows(Warehouse(spark, str(tmp_path)).table("dim_sellers")) == before
 
 
+def test_failed_fact_load_keeps_every_month(spark, tmp_path, rows, monkeypatch):
+    house = Warehouse(spark, str(tmp_path), FIRST).load(small_raw(spark))
+    before = rows(house.table("fact_orders"))
+    raw = small_raw(
+        spark,
+        orders=[order("o1", "c1", "2018-01-05", None, "lost"), order("o4", "c3", "2018-02-01", None, "lost")],
+    )
+    write = VersionedTable.write
+
+    def fail(self, df, version=None):
+        if self.root.endswith("/folders"):  # all months are written, the commit is not
+            raise OSError("driver lost")
+        return write(self, df, version)
+
+    monkeypatch.setattr(VersionedTable, "write", fail)
+    with pytest.raises(OSError):
+        house.load_only(raw, ["fact_orders"])
+    assert rows(Warehouse(spark, str(tmp_path)).table("fact_orders")) == before
+    monkeypatch.undo()
+    again = Warehouse(spark, str(tmp_path), SECOND).load_only(raw, ["fact_orders"])
+    status = by_key(again.table("fact_orders"), "order_id", "order_status")
+    assert (status["o1"], status["o2"], status["o4"]) == (("lost",), ("shipped",), ("lost",))
+
+
+def test_expired_months_are_deleted(spark, tmp_path, rows):
+    house = Warehouse(spark, str(tmp_path), FIRST).load(small_raw(spark))
+    for _ in range(3):
+        house.load_only(small_raw(spark), ["fact_orders"])
+    before = rows(house.table("fact_orders"))
+    house.expire(1)
+    assert len(list((tmp_path / "fact_orders").glob("data=*"))) == 1
+    assert rows(Warehouse(spark, str(tmp_path)).table("fact_orders")) == before
+
+
 def test_landed_tables_load_alike(spark, small, tmp_path, rows):
     house = Warehouse(spark, str(tmp_path), FIRST)
     house.load(house.land(small_raw(spark)))
