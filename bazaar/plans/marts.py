@@ -108,24 +108,33 @@ def seller_places(star: Star) -> DataFrame:
 def seller_performance(star: Star) -> DataFrame:
     """Per seller with a known place, over items with a known product.
 
-    ``average_order_value`` is the mean item price. Distinct orders and products are counted on
-    rows spread by (seller, order) and (seller, product), so a hot seller is many small groups.
+    ``average_order_value`` is the mean item price. Items are summed by (seller, product) and by
+    (seller, order) before anything else, so a hot seller is many small groups, and what is
+    joined by seller is a row from each of both.
     """
     known = star["dim_products"].select("product_id")
-    per_seller = (
-        star["fact_order_items"]
-        .join(known, "product_id")
+    items = star["fact_order_items"].join(known, "product_id", "left_semi")
+    products = (
+        items.groupBy("seller_id", "product_id")
+        .agg(
+            F.sum("price").alias("price"),
+            F.count("price").alias("n_prices"),
+            F.sum("freight_value").alias("freight"),
+        )
         .groupBy("seller_id")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count_distinct("product_id").alias("unique_products_sold"),
+            F.count("product_id").alias("unique_products_sold"),
             F.sum("price").alias("total_revenue"),
-            mean(F.sum("price"), F.count("price")).alias("average_order_value"),
-            F.sum("freight_value").alias("total_freight_value"),
+            mean(F.sum("price"), F.sum("n_prices")).alias("average_order_value"),
+            F.sum("freight").alias("total_freight_value"),
         )
     )
+    orders = (
+        items.select("seller_id", "order_id").distinct()
+        .groupBy("seller_id").agg(F.count("order_id").alias("total_orders"))
+    )
     return (
-        per_seller.join(seller_places(star), "seller_id")
+        seller_places(star).join(products, "seller_id").join(orders, "seller_id")
         .select(
             "seller_id",
             "seller_state",
@@ -141,22 +150,32 @@ def seller_performance(star: Star) -> DataFrame:
 
 
 def delivery_performance(star: Star) -> DataFrame:
-    """Delays per month of purchase and customer state; over a week means more than 7 days."""
+    """Delays per month of purchase and customer state; over a week means more than 7 days.
+
+    Orders are summed by customer and day first; the joins see no single order.
+    """
     delay = F.col("delivery_delay")
     customers = star["dim_customers"].select("customer_id", "geography_id")
     return (
         star["fact_orders"]
         .where(delay.isNotNull())
-        .select("customer_id", "date_id", "delivery_delay")
+        .groupBy("customer_id", "date_id")
+        .agg(
+            F.sum(delay_micros(delay)).alias("micros"),
+            F.count(delay).alias("n"),
+            F.min(delay).alias("least"),
+            F.max(delay).alias("most"),
+            F.count_if(delay > 7).alias("late"),
+        )
         .join(star["dim_time"].select("date_id", "year", "month"), "date_id")
         .join(customers, "customer_id")
         .join(star["dim_geography"].select("geography_id", "state"), "geography_id")
         .groupBy("year", "month", "state")
         .agg(
-            mean_days(F.sum(delay_micros(delay)), F.count(delay)).alias("avg_delivery_days"),
-            F.min(delay).alias("min_delivery_days"),
-            F.max(delay).alias("max_delivery_days"),
-            F.count_if(delay > 7).alias("deliveries_over_week"),
+            mean_days(F.sum("micros"), F.sum("n")).alias("avg_delivery_days"),
+            F.min("least").alias("min_delivery_days"),
+            F.max("most").alias("max_delivery_days"),
+            F.sum("late").alias("deliveries_over_week"),
         )
         .orderBy("year", "month", F.desc_nulls_first("avg_delivery_days"), "state")
     )
