@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from bazaar.schemas import TABLES
+
 # Named subqueries; a query gets those it mentions, and those they mention.
 _PARTS: dict[str, str] = {
     # Raw tables
@@ -12,7 +14,7 @@ _PARTS: dict[str, str] = {
         FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "raw_customers": """
         SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_unique_id,
-               lpad(CAST(c_nationkey * 100 + c_custkey % 4 AS VARCHAR), 5, '0')
+               lpad(CAST(c_nationkey * 100 + c_custkey % 5 AS VARCHAR), 5, '0')
                    AS customer_zip_code_prefix,
                n_name AS customer_city, state AS customer_state
         FROM customer JOIN place ON c_nationkey = n_nationkey""",
@@ -22,15 +24,15 @@ _PARTS: dict[str, str] = {
                c_acctbal / 1000 AS geolocation_lat, c_acctbal / -2000 AS geolocation_lng,
                ' ' || n_name || ' ' AS geolocation_city, state AS geolocation_state,
                c_custkey AS row_order
-        FROM customer JOIN place ON c_nationkey = n_nationkey
-        WHERE c_nationkey <> 24""",
+        FROM customer JOIN place ON c_nationkey = n_nationkey""",
     "raw_sellers": """
         SELECT CAST(s_suppkey AS VARCHAR) AS seller_id,
                lpad(CAST(s_nationkey * 100 + s_suppkey % 5 AS VARCHAR), 5, '0')
                    AS seller_zip_code_prefix
         FROM supplier""",
     "raw_products": """
-        SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS product_category_name,
+        SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+               CASE WHEN p_partkey % 7 = 3 THEN 'UNLISTED' ELSE p_type END AS product_category_name,
                CAST(length(p_name) AS DOUBLE) AS product_name_lenght,
                CAST(length(p_name) AS DOUBLE) AS product_description_lenght,
                CAST(p_size % 5 AS DOUBLE) AS product_photos_qty,
@@ -43,7 +45,7 @@ _PARTS: dict[str, str] = {
     "raw_translation": """
         SELECT DISTINCT p_type AS product_category_name,
                lower(p_type) AS product_category_name_english
-        FROM part WHERE p_type <> 'PROMO'""",
+        FROM part""",
     "raw_orders": """
         SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
                o_orderstatus AS order_status, o_orderdate AS order_purchase_timestamp,
@@ -63,7 +65,8 @@ _PARTS: dict[str, str] = {
                CAST(l_quantity AS INTEGER) AS payment_installments,
                CAST(CAST(l_extendedprice AS DECIMAL(12,2))
                     * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2)) AS payment_value,
-               l_linenumber, l_partkey, l_suppkey, l_extendedprice
+               l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+               l_discount, l_tax, l_quantity, l_returnflag
         FROM lineitem""",
     "raw_items": """
         SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
@@ -118,7 +121,8 @@ _PARTS: dict[str, str] = {
     "rollup_payments": """
         SELECT order_id, sum(payment_value) AS payment_value,
                max(payment_installments) AS payment_installments,
-               first(payment_type ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice)
+               first(payment_type ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+                                           l_discount, l_tax, l_quantity, l_returnflag)
                    AS payment_type
         FROM raw_payments GROUP BY order_id""",
     "delays": """
@@ -283,8 +287,42 @@ _TYPES: dict[str, tuple[str, list[tuple[str, str]]]] = {
             ("payment_value", "decimal(18,2)"),
         ],
     ),
+    "customers": (
+        "raw_customers",
+        [
+            (c, "string")
+            for c in (
+                "customer_id",
+                "customer_unique_id",
+                "customer_zip_code_prefix",
+                "customer_city",
+                "customer_state",
+            )
+        ],
+    ),
+    "geography": (
+        "raw_geography",
+        [
+            ("geolocation_zip_code_prefix", "string"),
+            ("geolocation_lat", "double"),
+            ("geolocation_lng", "double"),
+            ("geolocation_city", "string"),
+            ("geolocation_state", "string"),
+        ],
+    ),
+    "category_translation": (
+        "raw_translation",
+        [(c, "string") for c in ("product_category_name", "product_category_name_english")],
+    ),
+    "sellers": (
+        "raw_sellers",
+        [(c, "string") for c in ("seller_id", "seller_zip_code_prefix")],
+    ),
 }
 
+# Columns that the contract query leaves out.
+_DROPPED = {"customers": "customer_state", "products": "product_photos_qty,product_weight_g"}
+
 _RAW_NAMES = {
     "customers": "raw_customers",
     "geography": "raw_geography",
@@ -433,8 +471,8 @@ _QUERIES: dict[str, str] = {
     ),
     "schema_contract": _union(
         [
-            f"SELECT '{name}' AS table_name, '' AS missing_columns, count(*) AS n_rows "
-            f"FROM {source}"
+            f"SELECT '{name}' AS table_name, '{_DROPPED.get(name, '')}' AS missing_columns, "
+            f"count(*) AS n_rows FROM {source}"
             for name, source in _RAW_NAMES.items()
         ]
     ),
@@ -449,6 +487,23 @@ _QUERIES: dict[str, str] = {
                CAST(CASE WHEN p_partkey % 7 IN (0, 1) THEN p_size
                          WHEN p_partkey % 7 = 2 THEN p_size * 100 END AS DOUBLE) AS size
         FROM part""",
+    "quarantine_facts": """
+        SELECT 'fact_order_items' AS table_name, order_id || '|' || order_item_id AS row_key,
+               'price' AS column_name, 'bad' AS raw_value, 'not a number' AS reason
+        FROM raw_items WHERE CAST(order_id AS BIGINT) % 10 = 3
+        UNION ALL
+        SELECT 'fact_order_items', order_id || '|' || order_item_id, 'freight_value', 'x',
+               'not a number'
+        FROM raw_items WHERE CAST(order_id AS BIGINT) % 10 = 7
+        UNION ALL
+        SELECT 'order_payments', order_id, 'payment_value', '1,5', 'not a number'
+        FROM raw_payments WHERE CAST(order_id AS BIGINT) % 10 = 1
+        UNION ALL
+        SELECT 'order_payments', order_id, 'payment_installments', 'two', 'not a number'
+        FROM raw_payments WHERE CAST(order_id AS BIGINT) % 10 = 8
+        UNION ALL
+        SELECT 'order_payments', '', 'order_id', NULL, 'missing key'
+        FROM raw_payments WHERE CAST(order_id AS BIGINT) % 10 = 5""",
     "quarantine_split": """
         SELECT 'dim_products' AS table_name, coalesce(product_id, '') AS row_key,
                'product_id' AS column_name, CAST(NULL AS VARCHAR) AS raw_value,
@@ -494,8 +549,12 @@ _QUERIES: dict[str, str] = {
     "incremental_upsert": """
         SELECT first(event_id ORDER BY ts, event_id) AS event_id, min(ts) AS ts, user_id,
                first(event_type ORDER BY ts DESC, event_id DESC) AS event_type,
-               first(value ORDER BY ts DESC, event_id DESC) AS value
+               first(value ORDER BY ts DESC, event_id DESC) AS value,
+               first(props ORDER BY ts DESC, event_id DESC) AS props
         FROM events GROUP BY user_id""",
+    "incremental_payments": """
+        SELECT order_id, CAST(total_amount AS DOUBLE) AS total_amount, payment_installments
+        FROM star_orders""",
     "table_profile": _union([_profile(table) for table in _TYPES]),
     "null_counts": _union(
         [
@@ -616,8 +675,10 @@ _QUERIES: dict[str, str] = {
             _duplicates("products", "raw_products", "product_id"),
             _duplicates("sellers", "raw_sellers", "seller_id"),
             _duplicates("orders", "raw_orders", "order_id"),
-            _duplicates("order_payments", "raw_payments", "order_id", "payment_installments"),
+            _duplicates("category_translation", "raw_translation", "product_category_name"),
+            _duplicates("order_items", "raw_items", "order_id", "order_item_id"),
         ]
+        + [_duplicates(name, _STAR_NAMES[name], *t.key) for name, t in TABLES.items()]
     ),
     "orphan_keys": _union(
         [
@@ -666,6 +727,13 @@ _QUERIES: dict[str, str] = {
                 ("fact_orders", "order_status", 50),
             )
         ]
+        + [
+            """
+        SELECT 'dirty products', 'product_category_name', 100,
+               CAST(max(length(product_category_name)) AS INTEGER),
+               count(*) FILTER (length(product_category_name) > 100)
+        FROM dirty"""
+        ]
     ),
 }
 

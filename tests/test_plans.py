@@ -7,12 +7,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from bazaar.operators import profile
 from bazaar.operators.dedup import keep_first
 from bazaar.plans import catalog, explorations, marts
 from bazaar.plans.facts import orders_payments_detail, payments_rollup
-from bazaar.plans.registry import warehouse
+from bazaar.plans.registry import queries, warehouse
 from bazaar.schemas import ROW_ORDER
 from bazaar.sources.tables import raw_table
 from conftest import TESTDATA
