@@ -121,7 +121,11 @@ def contexts(text: str, spans: list[Span], window: int) -> list[tuple[str, str,
 
 
 SPAN = T.StructType(
-    [T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]
+    [
+        T.StructField("kind", T.StringType()),
+        T.StructField("start", T.LongType()),
+        T.StructField("end", T.LongType()),
+    ]
 )
 CONTEXT = T.StructType(
     [
@@ -152,7 +156,12 @@ def _scan(window: int):
                     ]
                 )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(spans, _ARROW_SPAN), pa.array(near, _ARROW_CONTEXT)],
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(spans, _ARROW_SPAN),
+                    pa.array(near, _ARROW_CONTEXT),
+                ],
                 names=["id", "hash", "spans", "near"],
             )
 

@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import byte_bpe, chat, decontamination, licenses, line_dedup, ngram_join, pii, search, token_files, toxicity
+from bazaar.llm import (
+    byte_bpe,
+    chat,
+    decontamination,
+    licenses,
+    line_dedup,
+    ngram_join,
+    pii,
+    search,
+    token_files,
+    toxicity,
+)
 from bazaar.llm.oracles import ORACLES
 
 # Vocabulary of the byte-level encoding.

@@ -291,7 +291,12 @@ FILES = "part int, seq int, path string, n_rows bigint, n_ids bigint, keys array
 
 
 def write_token_files(
-    docs: DataFrame, tokenizer: str, end: int, doc: str = "doc_id", text: str = "text", folder: str | None = None
+    docs: DataFrame,
+    tokenizer: str,
+    end: int,
+    doc: str = "doc_id",
+    text: str = "text",
+    folder: str | None = None,
 ) -> DataFrame:
     """Encode all texts and write them as token files in ascending order of ``doc``.
 
@@ -393,7 +398,10 @@ def read_token_files(files: DataFrame) -> DataFrame:
                 if (head < 0).any():
                     raise ValueError(f"{path}: a key is not in the index")
                 run = np.concatenate([[True], known[1:] != known[:-1]])
-                since = np.arange(len(known)) - np.maximum.accumulate(np.where(run, np.arange(len(known)), 0)) if len(known) else head
+                place = np.arange(len(known))
+                since = head
+                if len(known):
+                    since = place - np.maximum.accumulate(np.where(run, place, 0))
                 row = np.concatenate([np.arange(len(keys) - len(known)), head + since])
                 starts = shard.starts()
                 ids = np.frombuffer(
