@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaar.llm.common import pieces, text_bytes
+from bazaar.llm.common import lean_memory, pieces, text_bytes
 
 # Pre-tokens kept with their ids in a worker; the store is emptied when it is full.
 CACHE_ENTRIES = 1 << 18
@@ -110,28 +110,40 @@ class Encoder(dict):
 def _mapped(
     docs: DataFrame,
     column: str,
-    out: str,
+    out: list[str],
     keep: list[str] | None,
-    worker: Callable[[], Callable[[bytes], bytes]],
+    worker: Callable[[], Callable[[bytes], tuple[bytes, ...]]],
 ) -> DataFrame:
-    """The kept columns, and ``out``: what ``worker()`` makes of each row's bytes.
+    """The kept columns, and in ``out`` what ``worker()`` makes of each row's bytes.
 
     Arrow batches are cut into pieces of some megabytes, so a task's memory is that of a piece,
     the worker's own store, and the batch that Spark hands over.
     """
-    keep = [c for c in (docs.columns if keep is None else keep) if c != out]
-    given = docs.select(*(F.col(f"`{c}`") for c in keep), text_bytes(F.col(f"`{column}`")).alias(out))
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(out, T.BinaryType())])
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in out]
+    given = docs.select(
+        *(F.col(f"`{c}`") for c in keep), text_bytes(F.col(f"`{column}`")).alias(out[0])
+    )
+    made = [T.StructField(name, T.BinaryType()) for name in out]
+    schema = T.StructType([*(docs.schema[c] for c in keep), *made])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = worker()
         for batch in pieces(batches):
-            made = pa.array([make(value.as_py()) for value in batch.column(-1)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=batch.schema.names)
+            values = zip(*(make(value.as_py()) for value in batch.column(-1)), strict=True)
+            columns = [pa.array(list(v), pa.binary()) for v in values]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], *out]
+            )
+        del make
+        lean_memory()
 
     return given.mapInArrow(work, schema)
 
 
+def _decoder(tokens: list[bytes]) -> Callable[[bytes], bytes]:
+    return lambda ids: b"".join(map(tokens.__getitem__, memoryview(ids).cast("I")))
+
+
 def encode_texts(
     docs: DataFrame,
     vocabulary: str,
@@ -148,7 +160,12 @@ def encode_texts(
     whole; bytes that are not UTF-8 count as U+FFFD. A column already named ``out`` is replaced.
     Repeated rows are encoded each; an empty table gives an empty one. One pass, no shuffle.
     """
-    return _mapped(docs, text, out, keep, lambda: Encoder(read_ranks(vocabulary), pattern).encode)
+
+    def worker() -> Callable[[bytes], tuple[bytes]]:
+        encode = Encoder(read_ranks(vocabulary), pattern).encode
+        return lambda value: (encode(value),)
+
+    return _mapped(docs, text, [out], keep, worker)
 
 
 def decode_ids(
@@ -161,8 +178,32 @@ def decode_ids(
     """All rows and columns of ``docs`` (or those in ``keep``), and the bytes that each row's ids
     stand for in ``out``, by the inverse mapping; none for null ids."""
 
-    def worker() -> Callable[[bytes], bytes]:
-        token = read_ranks(vocabulary).__getitem__
-        return lambda payload: b"".join(map(token, memoryview(payload).cast("I")))
+    def worker() -> Callable[[bytes], tuple[bytes]]:
+        decode = _decoder(read_ranks(vocabulary))
+        return lambda payload: (decode(payload),)
+
+    return _mapped(docs, ids, [out], keep, worker)
+
+
+def round_trip(
+    docs: DataFrame,
+    vocabulary: str,
+    pattern: str,
+    text: str = "text",
+    out: str = "token_ids",
+    decoded: str = "decoded",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """``encode_texts`` and ``decode_ids`` of its ids, in one pass of the same Python workers."""
+
+    def worker() -> Callable[[bytes], tuple[bytes, bytes]]:
+        tokens = read_ranks(vocabulary)
+        encode, decode = Encoder(tokens, pattern).encode, _decoder(tokens)
+
+        def both(value: bytes) -> tuple[bytes, bytes]:
+            ids = encode(value)
+            return ids, decode(ids)
+
+        return both
 
-    return _mapped(docs, ids, out, keep, worker)
+    return _mapped(docs, text, [out, decoded], keep, worker)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import platform
 import sys
 import tempfile
 import types
@@ -47,6 +50,17 @@ def worker_store(name: str) -> dict:
     return module.__dict__.setdefault(name, {})
 
 
+def lean_memory() -> None:
+    """Give back what a Python worker has freed, and map large blocks so that they go back when
+    they are freed: workers outlive their tasks, several to an executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and platform.libc_ver()[0] == "glibc":
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+        libc.malloc_trim(0)
+
+
 def text_bytes(column: str | Column = "text") -> Column:
     """A text column as UTF-8 bytes, null as empty."""
     column = F.col(column) if isinstance(column, str) else column
@@ -58,6 +72,8 @@ def pieces(
 ) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts in column ``text`` take ``size`` bytes at most; a
     longer text is a piece of its own."""
+    lean_memory()
+    batch = None
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -68,6 +84,8 @@ def pieces(
             end = min(max(end, start + 1), batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+    del batch
+    lean_memory()
 
 
 def byte_offsets(texts: pa.Array) -> np.ndarray:

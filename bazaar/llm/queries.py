@@ -33,10 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def token_digests(docs: DataFrame) -> DataFrame:
     """Ids of each text and the text that they give back, as digests."""
     vocabulary = public_tokenizers.path(BYTE_RANKS)
-    encoded = byte_bpe.encode_texts(
-        docs, vocabulary, public_tokenizers.PATTERN, keep=["doc_id"]
-    )
-    return byte_bpe.decode_ids(encoded, vocabulary).select(
+    made = byte_bpe.round_trip(docs, vocabulary, public_tokenizers.PATTERN, keep=["doc_id"])
+    return made.select(
         "doc_id",
         (F.length("token_ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),

@@ -42,6 +42,13 @@ def test_round_trip(documents):
     assert [bytes(row.decoded) for row in rows] == [(t or "").encode() for t in ODD]
 
 
+def test_one_pass_gives_the_same(documents):
+    given = documents(ODD, decoded=F.lit("clash"))
+    both = byte_bpe.round_trip(given, RANKS, public_tokenizers.PATTERN).orderBy("doc_id").collect()
+    apart = byte_bpe.decode_ids(encoded(documents(ODD)), RANKS).orderBy("doc_id").collect()
+    assert [(r.token_ids, r.decoded) for r in both] == [(r.token_ids, r.decoded) for r in apart]
+
+
 def test_query_on_whole_texts(spark, reference):
     found = {r.doc_id: r for r in queries.op4_byte_bpe(spark, TESTDATA).collect()}
     docs = queries.table(spark, TESTDATA, "documents").collect()
