@@ -165,4 +165,12 @@ LEFT JOIN inherited i ON regexp_replace(f.path, '/?[^/]*$', '') = i.folder
 """
 
 
+# The same search for other queries: every document whose id is divisible by 20.
+DOCUMENT_SEARCH = (
+    SEARCH.replace("AS item, item_id, regexp", "AS item, doc_id AS query_id, regexp")
+    .replace("FROM benchmark", "FROM documents WHERE doc_id % 20 = 0")
+    .replace("item_id", "query_id")
+)
+
+
 ORACLES = {"op2_license_scan": _license_sql(), "op1_search": SEARCH, "op5_chat_format": CHAT, "op8_line_dedup": LINES}

@@ -18,7 +18,7 @@ from bazaar.llm import (
     token_files,
     toxicity,
 )
-from bazaar.llm.oracles import ORACLES
+from bazaar.llm.oracles import DOCUMENT_SEARCH, ORACLES
 
 # Vocabulary of the byte-level encoding.
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -49,6 +49,14 @@ def op1_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_document_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents nearest to each document whose id is divisible by 20, whole texts on both
+    sides."""
+    docs = table(spark, sf_dir, "documents")
+    asked = docs.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    return search.search(docs, asked)
+
+
 # The table has no paths: its documents are files in directories by source, language and ids, and
 # one that opens with a licence notice is the licence file of the directory above.
 DOCUMENT_PATH = """
@@ -178,6 +186,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in operators}
 
 
+def further_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Queries beside the one of their operator."""
+    return {"op1_document_search": op1_document_search}
+
+
+def further_sql() -> dict[str, str]:
+    return {"op1_document_search": DOCUMENT_SEARCH}
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for DuckDB; the other queries are tested against brute force in ``tests/llm``."""
     return ORACLES

@@ -5,6 +5,9 @@ does not depend on its order, ties are true ties, and every shard scores alike.
 counts and lengths only; the statistics of the whole corpus (number of texts, mean length,
 document frequency of each query term) come with the queries, so a shard's scores are those that
 one index of everything would give, and the best of the shards' best are the best of all.
+
+Blocks of long queries, such as whole documents, are scored term by term for many queries at once:
+for hundreds of common words there is little that pruning could leave out.
 """
 
 import math
@@ -12,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +34,10 @@ SHARD_BYTES = 8 << 20
 STEPS = 1_000_000
 # Bytes of queries that are broadcast at once; more queries are worked off in blocks.
 QUERY_BYTES = 4 << 20
+# From so many distinct terms in a mean query on, a block's queries are scored together:
+LONG = 64
+# as many queries as make so many scores with a shard's texts.
+CELLS = 4 << 20
 
 # Terms are runs of digits, ASCII letters and anything beyond ASCII; A-Z count as a-z.
 _TERM = bytes(
@@ -206,6 +214,143 @@ def _searched(batches: Iterator[pa.RecordBatch], queries, mean: float, top: int,
         yield results()
 
 
+class Together:
+    """The terms of a block of long queries, by term: ``weights`` are (number, term counts)."""
+
+    def __init__(self, weights: list[tuple[int, dict[bytes, int]]], number: dict[bytes, int]):
+        sizes = [len(own) for _, own in weights]
+        self.term = np.fromiter((number[t] for _, own in weights for t in own), np.int32, sum(sizes))
+        self.weight = np.fromiter((w for _, own in weights for w in own.values()), np.int32, sum(sizes))
+        self.query = np.repeat(np.array([i for i, _ in weights], np.int32), sizes)
+        order = np.argsort(self.term, kind="stable")
+        self.term, self.query, self.weight = self.term[order], self.query[order], self.weight[order]
+        self.idf = np.zeros(len(number))
+
+    def best(self, numbers, sizes, texts, counts, lengths, ids, mean: float, top: int) -> pa.Table:
+        """(query, score, id): the ``top`` texts of one shard for each query. Term ``numbers[j]``
+        has the next ``sizes[j]`` of the postings ``texts`` and ``counts``.
+
+        Scores are sums of whole numbers below 2^53, exact as floats in any order.
+        """
+        norm = K1 * (1 - B + B * lengths / mean)
+        idf = np.repeat(self.idf[numbers], sizes)
+        scores = np.rint(STEPS * idf * counts * (K1 + 1) / (counts + norm[texts]))
+        # Texts in the order of their ids, which settles ties.
+        order = pc.sort_indices(ids, null_placement="at_end").to_numpy()
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        texts, starts = place[texts], np.cumsum(sizes) - sizes
+        row = np.full(len(self.idf), -1)
+        row[numbers] = np.arange(len(numbers))
+        here = row[self.term] >= 0
+        term, query, weight = row[self.term[here]], self.query[here], self.weight[here]
+        step = max(1, CELLS // len(order))
+        found = []
+        for low in range(0, int(query.max(initial=-1)) + 1, step):
+            own = (query >= low) & (query < low + step)
+            sums = self._sums(
+                term[own], query[own] - low, weight[own], starts, sizes, texts, scores,
+                (int(query[own].max(initial=low)) - low + 1, len(order)),
+            )
+            least = np.ones(len(sums))
+            if len(order) > top:
+                least = np.maximum(least, np.partition(sums, -top, axis=1)[:, -top])
+            q, text = np.nonzero(sums >= least[:, None])
+            score = sums[q, text]
+            q, text, score = (x[np.lexsort((text, -score, q))] for x in (q, text, score))
+            kept = np.arange(len(q)) - np.searchsorted(q, q) < top
+            found.append((q[kept] + low, score[kept].astype(np.int64), order[text[kept]]))
+        q, score, text = (
+            np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]).astype(np.int64)
+            for i in range(3)
+        )
+        return pa.table({"query": q, "score": score, "id": ids.take(pa.array(text))})
+
+    @staticmethod
+    def _sums(term, query, weight, starts, sizes, texts, scores, shape) -> np.ndarray:
+        """The scores of some queries (rows) and all texts: terms that many of both have by a
+        matrix product, the others by their postings."""
+        sums = np.zeros(shape)
+        heads = np.flatnonzero(np.diff(term, prepend=-1))
+        cells = np.diff(np.append(heads, len(term))) * sizes[term[heads]]
+        many = term[heads[cells >= 0.01 * sums.size]]
+        if len(many):
+            column = np.full(len(sizes), -1)
+            column[many] = np.arange(len(many))
+            dense = column[term] >= 0
+            left, right = np.zeros((shape[0], len(many))), np.zeros((len(many), shape[1]))
+            left[query[dense], column[term[dense]]] = weight[dense]
+            for i, t in enumerate(many.tolist()):
+                own = slice(starts[t], starts[t] + sizes[t])
+                right[i, texts[own]] = scores[own]
+            sums += left @ right
+            term, query, weight = term[~dense], query[~dense], weight[~dense]
+            heads = np.flatnonzero(np.diff(term, prepend=-1))
+            cells = np.diff(np.append(heads, len(term))) * sizes[term[heads]]
+        flat = sums.reshape(-1)
+        base = query.astype(np.int64) * shape[1]
+        ends = np.append(heads, len(term))
+        some = cells >= 256
+        for i in np.flatnonzero(some).tolist():
+            a, b, t = ends[i], ends[i + 1], term[ends[i]]
+            own = slice(starts[t], starts[t] + sizes[t])
+            flat[base[a:b, None] + texts[own]] += weight[a:b, None] * scores[own]
+        few = np.flatnonzero(~np.repeat(some, np.diff(ends)))
+        times = sizes[term[few]]
+        before = np.cumsum(times) - times
+        # Every posting of every such term of a query, a bounded number at a time.
+        cuts = np.searchsorted(before, np.arange(0, int(times.sum()) + 1, CELLS))
+        for a, b in zip(cuts, [*cuts[1:], len(few)], strict=True):
+            n = times[a:b]
+            if not n.sum():
+                continue
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[term[few[a:b]]], n)
+            np.add.at(
+                flat, np.repeat(base[few[a:b]], n) + texts[at], np.repeat(weight[few[a:b]], n) * scores[at]
+            )
+        return sums
+
+
+def _searched_together(batches: Iterator[pa.RecordBatch], state, mean: float, top: int, kind: pa.DataType):
+    """Rows of one shard after the other, the one without a term first; the task's best of all its
+    shards (query, score, id) come at its end."""
+    block = state.value
+    best = pa.table({"query": pa.array([], pa.int64()), "score": pa.array([], pa.int64()), "id": pa.array([], kind)})
+
+    def merged(best: pa.Table, rows: list[pa.RecordBatch]) -> pa.Table:
+        table = pa.Table.from_batches(rows).combine_chunks()
+        head, lists = table.slice(0, 1), table.slice(1)
+        if not len(lists):
+            return best
+        texts, counts = (lists.column(c).combine_chunks() for c in ("texts", "counts"))
+        new = block.best(
+            lists.column("number").to_numpy(),
+            pc.list_value_length(texts).to_numpy().astype(np.int64),
+            texts.flatten().to_numpy(),
+            counts.flatten().to_numpy(),
+            head.column("counts").combine_chunks().flatten().to_numpy(),
+            head.column("ids").combine_chunks().flatten(),
+            mean, top,
+        )
+        both = pa.concat_tables([best, new.cast(best.schema)])
+        keys = [("query", "ascending"), ("score", "descending"), ("id", "ascending")]
+        both = both.take(pc.sort_indices(both, keys, null_placement="at_end"))
+        query = both.column("query").to_numpy()
+        return both.filter(pa.array(np.arange(len(query)) - np.searchsorted(query, query) < top))
+
+    rows: list[pa.RecordBatch] = []
+    for batch in batches:
+        heads = np.flatnonzero(batch.column("number").is_null().to_numpy(zero_copy_only=False)).tolist()
+        for a, b in zip([0, *heads], [*heads, batch.num_rows], strict=True):
+            if a in heads and rows:
+                best, rows = merged(best, rows), []
+            if b > a:
+                rows.append(batch.slice(a, b - a))
+    if rows:
+        best = merged(best, rows)
+    yield from best.combine_chunks().to_batches()
+
+
 def _query_blocks(
     queries: DataFrame, query: str, text: str, size: int
 ) -> Iterator[list[tuple[int, object, bytes]]]:
@@ -240,7 +385,9 @@ def search(
 
     All texts are indexed in one pass. Each block of queries then reads the postings of its own
     terms, a task a few whole shards; what meets for a query is ``top`` rows of each shard, of
-    which each task keeps its best before the shuffle.
+    which each task keeps its best before the shuffle. Blocks of long queries meet a shard
+    together: their work is the number of postings of their terms, so it grows with the queries
+    times the texts.
     """
     spark = docs.sparkSession
     index = build_index(docs, doc, text)
@@ -253,23 +400,37 @@ def search(
     out = None
     for block in _query_blocks(queries, query, query_text, query_bytes) if total else ():
         weights = [(i, _counted(terms(body))) for i, _, body in block]
+        number = _Numbers()
+        for _, own in weights:
+            for term in own:
+                number[term]
+        together = len(number) and sum(len(own) for _, own in weights) > LONG * len(weights)
         wanted = spark.createDataFrame(
-            [(t,) for t in {t for _, w in weights for t in w}], "term binary"
+            pa.table({"term": pa.array(number, pa.binary()), "number": pa.array(range(len(number)), pa.int32())})
         )
         # The index in terms of this block: bounded by its queries.
-        postings = index.join(F.broadcast(wanted), "term", "left_semi")
-        frequency = postings.groupBy("term").agg(F.sum(F.size("texts")).alias("df")).collect()
-        idf = {
-            bytes(row.term): math.log(1 + (n - row.df + 0.5) / (row.df + 0.5)) for row in frequency
-        }
-        state = spark.sparkContext.broadcast((weights, idf))
-        columns = ["shard", "term", "texts", "counts", "ids"]
+        postings = index.join(F.broadcast(wanted), "term")
+        frequency = postings.groupBy("number").agg(F.sum(F.size("texts")).alias("df")).toArrow()
+        df = dict(zip(frequency["number"].to_pylist(), frequency["df"].to_pylist(), strict=True))
+        idf = {i: math.log(1 + (n - d + 0.5) / (d + 0.5)) for i, d in df.items()}
+        key = "number" if together else "term"
+        if together:
+            state = Together(weights, number)
+            state.idf[list(idf)] = list(idf.values())
+        else:
+            state = weights, {term: idf[i] for term, i in number.items() if i in idf}
+        shared = spark.sparkContext.broadcast(state)
+        del weights, number, frequency, df, idf, state
+        columns = ["shard", key, "texts", "counts", "ids"]
+        heads = index.where("term is null").withColumn("number", F.lit(None).cast("int"))
+        work = _searched_together if together else _searched
         rows = (
-            postings.select(columns).unionByName(index.where("term is null").select(columns))
+            postings.select(columns).unionByName(heads.select(columns))
             .repartition("shard")
-            .sortWithinPartitions("shard", F.col("term").asc_nulls_first())
+            .sortWithinPartitions("shard", F.col(key).asc_nulls_first())
             .mapInArrow(
-                _work(state, total / n, top, kind), f"query long, score long, id {id_type.simpleString()}"
+                _work(work, shared, total / n, top, kind),
+                f"query long, score long, id {id_type.simpleString()}",
             )
         )
         names = spark.createDataFrame(
@@ -284,6 +445,9 @@ def search(
                 F.col("id").alias(doc), "score",
             )
         )
+        if together:  # large blocks: the driver holds the terms of one
+            found = stage(found, "found")
+            shared.destroy()
         out = found if out is None else out.unionByName(found)
     if out is None:
         empty = queries.limit(0).select(F.col(f"`{query}`").alias(query))
@@ -294,8 +458,8 @@ def search(
     return out
 
 
-def _work(state, mean: float, top: int, kind: pa.DataType):
-    return lambda batches: _searched(batches, state, mean, top, kind)
+def _work(work, state, mean: float, top: int, kind: pa.DataType):
+    return lambda batches: work(batches, state, mean, top, kind)
 
 
 def _counted(words: list[bytes]) -> dict[bytes, int]:
