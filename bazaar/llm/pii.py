@@ -11,16 +11,18 @@ that stands only near e. Probabilities are shares of the corpus's words:
     IC(e)  = log(N / c(e)),  PMI(t, e) = log(n(t, e) N / (c(e) n(t)))
 
 Terms that disclose more than GENERALISE give way to what kind of word they are, those above
-REMOVE go.
+REMOVE go: wherever they stand, also far from the entity and in texts without it.
 """
 
 import hashlib
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +37,8 @@ MIN_TOGETHER = 3
 MIN_DOCS = 2
 # Words whose counts a task holds before it hands them on.
 COUNTED = 1 << 18
+# Bytes of disclosing terms that are broadcast at once; more of them are worked off in blocks.
+TERM_BYTES = 8 << 20
 
 # Patterns of the base kinds, in their order.
 KINDS = ("email", "ip", "card", "phone")
@@ -100,9 +104,22 @@ def entity_key(kind: str, value: str) -> str:
     return hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=12).hexdigest()
 
 
-def contexts(text: str, spans: list[Span], window: int) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of each word near an entity; words of entities are no terms."""
+def contexts(text: str, spans: list[Span], window: int) -> list[tuple[str, str]]:
+    """(entity, term) of each word near an entity; words of entities are no terms."""
     words = [m.span() for m in _WORD.finditer(text)]
+    inside, edges = _covered(words, spans)
+    found = []
+    for (kind, a, b), (first, last) in zip(spans, edges, strict=True):
+        key = entity_key(kind, text[a:b])
+        for i in [*range(max(first - window, 0), first), *range(last, min(last + window, len(words)))]:
+            if not inside[i]:
+                start, end = words[i]
+                found.append((key, text[start:end].lower()))
+    return found
+
+
+def _covered(words: list[tuple[int, int]], spans: list[Span]) -> tuple[bytearray, list[tuple[int, int]]]:
+    """Which words are inside spans, and the words (first, behind the last) of each span."""
     inside = bytearray(len(words))
     starts, ends = [w[0] for w in words], [w[1] for w in words]
     edges = []
@@ -110,13 +127,27 @@ def contexts(text: str, spans: list[Span], window: int) -> list[tuple[str, str,
         first, last = bisect_left(ends, a + 1), bisect_left(starts, b)
         inside[first:last] = b"\x01" * (last - first)
         edges.append((first, last))
+    return inside, edges
+
+
+def terms_of(text: str) -> list[str]:
+    """The words of a text in lower case, each by itself as in a context."""
+    if text.isascii():
+        return _WORD.findall(text.lower())
+    return [word.lower() for word in _WORD.findall(text)]
+
+
+def term_spans(text: str, spans: list[Span], actions: dict[str, str]) -> list[Span]:
+    """Every occurrence of the terms of ``actions`` outside the base spans, in order."""
+    if not actions or actions.keys().isdisjoint(terms_of(text)):
+        return []
+    words = [m.span() for m in _WORD.finditer(text)]
+    inside, _ = _covered(words, spans)
     found = []
-    for (kind, a, b), (first, last) in zip(spans, edges, strict=True):
-        key = entity_key(kind, text[a:b])
-        for i in [*range(max(first - window, 0), first), *range(last, min(last + window, len(words)))]:
-            if not inside[i]:
-                start, end = words[i]
-                found.append((key, text[start:end].lower(), start, end))
+    for (a, b), covered in zip(words, inside, strict=True):
+        action = None if covered else actions.get(text[a:b].lower())
+        if action:
+            found.append((action, a, b))
     return found
 
 
@@ -127,47 +158,50 @@ SPAN = T.StructType(
         T.StructField("end", T.LongType()),
     ]
 )
-CONTEXT = T.StructType(
-    [
-        T.StructField("entity", T.StringType()), T.StructField("term", T.StringType()),
-        T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
-    ]
-)
 _ARROW_SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-_ARROW_CONTEXT = pa.list_(
-    pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-)
 
 
 def _scan(window: int):
-    """From (id, text hash, text): the first two, base spans, and contexts."""
+    """From (text hash with id, text): (entity, term, doc) for each word in a context."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            spans, near = [], []
-            for value in batch.column(2):
+            rows = []
+            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = value.as_py().decode("utf-8", "replace")
                 own = base_spans(text)
-                spans.append([dict(zip(("kind", "start", "end"), s, strict=True)) for s in own])
-                near.append(
-                    [
-                        dict(zip(("entity", "term", "start", "end"), c, strict=True))
-                        for c in (contexts(text, own, window) if own else ())
-                    ]
-                )
+                rows += [(*c, doc) for c in (contexts(text, own, window) if own else ())]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(spans, _ARROW_SPAN),
-                    pa.array(near, _ARROW_CONTEXT),
+                    pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()),
+                    pa.array([r[2] for r in rows], pa.int64()),
                 ],
-                names=["id", "hash", "spans", "near"],
+                names=["entity", "term", "doc"],
             )
 
     return work
 
 
+def _marker(actions: Broadcast, last: bool):
+    """From (id, text hash, added spans, text): the occurrences of one block of terms added; the
+    last block puts the base spans before them and leaves the text out."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            spans = []
+            for added, value in zip(batch.column(2).to_pylist(), batch.column(3), strict=True):
+                text = value.as_py().decode("utf-8", "replace")
+                base = base_spans(text)
+                more = [tuple(s.values()) for s in added] + term_spans(text, base, actions.value)
+                own = [*(base if last else ()), *sorted(more)]
+                spans.append([dict(zip(("kind", "start", "end"), s, strict=True)) for s in own])
+            columns = [batch.column(0), batch.column(1), pa.array(spans, _ARROW_SPAN), batch.column(3)]
+            names = ["id", "hash", "spans", "text"]
+            yield pa.RecordBatch.from_arrays(columns[: 4 - last], names=names[: 4 - last])
+
+    return work
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term, n): sums over what a task has read, handed on whenever there are many terms."""
     counts: Counter[str] = Counter()
@@ -179,7 +213,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in pieces(batches):
         for value in batch.column(0):
-            counts.update(_WORD.findall(value.as_py().decode("utf-8", "replace").lower()))
+            counts.update(terms_of(value.as_py().decode("utf-8", "replace")))
         if len(counts) >= COUNTED:
             yield out()
     yield out()
@@ -227,26 +261,22 @@ def find_personal_data(
     """One row for each row of ``docs``: its id, ``text_hash`` (xxhash64 of the text) and
     ``spans``, an array of (kind, start, end) in code points.
 
-    The base kinds come first, each by start, then ``generalised`` and ``removed``: terms near an
-    entity of the same text that disclose it. A term near several entities gets the stronger
-    action. Whole texts are searched; a null or empty one has no spans. Repeated rows each get
-    their spans, and count as documents of their own; rows without an id are searched too. An
-    empty table gives an empty one.
-
-    Two passes read the texts: contexts of entities, and counts of all words, which are summed in
-    each task first. Nothing but counts and contexts is shuffled; a frequent entity or word is a
-    few rows of a task in both.
+    The base kinds come first, each by start, then ``generalised`` and ``removed``: every
+    occurrence, in all texts, of the terms that disclose an entity of the corpus, but for those
+    inside an entity. A term that discloses several gets the strongest action. Whole texts are
+    searched; a null or empty one has no spans. Repeated rows each get their spans, and count as
+    documents of their own; rows without an id are searched too. An empty table gives an empty
+    one.
+
+    Three passes read the texts: contexts of entities, counts of all words, which are summed in
+    each task first, and the occurrences of the disclosing terms. These are broadcast in blocks
+    of ``TERM_BYTES``; behind each block but the last the frame is staged. Nothing but counts and
+    contexts is shuffled; a frequent entity or word is a few rows of a task in both.
     """
     texts = docs.select(F.col(f"`{doc}`").alias("id"), text_bytes(F.col(f"`{text}`")).alias("text"))
-    scanned = stage(
-        texts.select("id", F.xxhash64("text").alias("hash"), "text").mapInArrow(
-            _scan(window),
-            T.StructType(
-                [
-                    texts.schema["id"], T.StructField("hash", T.LongType()),
-                    T.StructField("spans", T.ArrayType(SPAN)), T.StructField("near", T.ArrayType(CONTEXT)),
-                ]
-            ),
+    pairs = stage(
+        texts.select(F.xxhash64("id", F.xxhash64("text")).alias("doc"), "text").mapInArrow(
+            _scan(window), "entity string, term string, doc long"
         ),
         "personal-data",
     )
@@ -255,23 +285,24 @@ def find_personal_data(
         .groupBy("term").agg(F.sum("n").alias("n")),
         "words",
     )
-    near = scanned.select("id", "hash", F.explode("near").alias("near")).select("id", "hash", "near.*")
-    pairs = near.select("entity", "term", F.xxhash64("id", "hash").alias("doc"))
-    added = (
-        near.join(disclosing_terms(pairs, corpus), ["entity", "term"])
-        .groupBy(F.col("id").alias("id2"), F.col("hash").alias("hash2"), "start", "end")
-        .agg(F.max("action").alias("kind"))  # removed comes behind generalised
-        .groupBy("id2", "hash2")
-        .agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("added"))
+    actions = stage(
+        disclosing_terms(pairs, corpus).groupBy("term")
+        .agg(F.max("action").alias("action")),  # removed comes behind generalised
+        "disclosing-terms",
     )
-    none = F.array().cast(T.ArrayType(SPAN))
-    return scanned.join(
-        added, F.col("id").eqNullSafe(F.col("id2")) & (F.col("hash") == F.col("hash2")), "left"
-    ).select(
-        F.col("id").alias(doc),
-        F.col("hash").alias("text_hash"),
-        F.concat("spans", F.coalesce("added", none)).alias("spans"),
+    size = actions.agg(F.sum(F.octet_length("term"))).first()[0] or 0
+    blocks = max(1, math.ceil(size / TERM_BYTES))
+    found = texts.select(
+        "id", F.xxhash64("text").alias("hash"), F.array().cast(T.ArrayType(SPAN)).alias("spans"), "text"
     )
+    for block in range(blocks):
+        own = actions.where(F.pmod(F.xxhash64("term"), F.lit(blocks)) == block).collect()
+        last = block == blocks - 1
+        work = _marker(docs.sparkSession.sparkContext.broadcast({r.term: r.action for r in own}), last)
+        found = found.mapInArrow(work, T.StructType(found.schema.fields[: 4 - last]))
+        if not last:
+            found = stage(found, "marked")
+    return found.select(F.col("id").alias(doc), F.col("hash").alias("text_hash"), "spans")
 
 
 def sanitised(text: str, spans: list[Span]) -> str:
