@@ -165,7 +165,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write_token_files(
-        table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), end=1
+        table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), end=1, added=True
     )
     return token_files.read_token_files(files)
 

@@ -171,14 +171,20 @@ class TextEncoder:
     Latin letters are cut by the file's own pattern, and each distinct piece goes to the library
     once, as long as the worker remembers it: many in one text, told apart by the ids that end a
     word. Any other tokenizer gets whole texts.
+
+    Strings of added tokens (such as control strings) in a text are encoded as plain text; with
+    ``added``, the library matches them as it does by default. A text that may hold one goes to
+    it whole then.
     """
 
-    def __init__(self, path: str, width: int):
+    def __init__(self, path: str, width: int, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        tokens = [t for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.added = _may_hold(tokens, self.tokenizer.normalizer) if added and tokens else None
         self.width = width
         self.split, suffix = splitter(path)
         vocabulary = self.tokenizer.get_vocab()
@@ -243,6 +249,17 @@ class TextEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if self.split is None:
             return self.ids([text.decode("utf-8", "replace") for text in texts])
+        if self.added is None:
+            return self._by_pieces(texts)
+        whole = [i for i, text in enumerate(texts) if self.added(text)]
+        if not whole:
+            return self._by_pieces(texts)
+        held = set(whole)
+        others = iter(self._by_pieces([t for i, t in enumerate(texts) if i not in held]))
+        found = iter(self.ids([texts[i].decode("utf-8", "replace") for i in whole]))
+        return [next(found if i in held else others) for i in range(len(texts))]
+
+    def _by_pieces(self, texts: list[bytes]) -> list[bytes]:
         chunks = [text.split() for text in texts]
         if len(self.known) >= CACHE_ENTRIES:
             self.known, self.older = {}, self.known
@@ -250,6 +267,23 @@ class TextEncoder:
         return [b"".join(map(self.known.__getitem__, own)) for own in chunks]
 
 
+def _may_hold(tokens: list, normalizer) -> Callable[[bytes], bool]:
+    """Whether a text holds one of some added tokens: as it stands or, for those that are matched
+    so, behind the normalizer."""
+    plain = [t.content.encode() for t in tokens]
+    shown = [normalizer.normalize_str(t.content) for t in tokens if normalizer and t.normalized]
+
+    def holds(text: bytes) -> bool:
+        if any(name in text for name in plain):
+            return True
+        if not shown:
+            return False
+        value = normalizer.normalize_str(text.decode("utf-8", "replace"))
+        return any(name in value for name in shown)
+
+    return holds
+
+
 def splitter(path: str) -> tuple[Callable[[str], list[str]] | None, str | None]:
     """What cuts a lower-case Latin text into the pieces that the tokenizer of this file encodes
     each by itself, and how tokens end that end a word; None if the file does not say so."""
@@ -273,12 +307,12 @@ def splitter(path: str) -> tuple[Callable[[str], list[str]] | None, str | None]:
     return (regex.compile(first["pattern"]["Regex"]).findall, suffix) if plain else (None, suffix)
 
 
-def text_encoder(path: str, width: int) -> TextEncoder:
+def text_encoder(path: str, width: int, added: bool = False) -> TextEncoder:
     """The encoder that this worker keeps from task to task."""
     kept = worker_store("text encoders")
-    if (path, width) not in kept:
-        kept[path, width] = TextEncoder(path, width)
-    return kept[path, width]
+    if (path, width, added) not in kept:
+        kept[path, width, added] = TextEncoder(path, width, added)
+    return kept[path, width, added]
 
 
 def id_width(tokenizer: str, end: int) -> int:
@@ -297,10 +331,12 @@ def write_token_files(
     doc: str = "doc_id",
     text: str = "text",
     folder: str | None = None,
+    added: bool = False,
 ) -> DataFrame:
     """Encode all texts and write them as token files in ascending order of ``doc``.
 
-    ``tokenizer`` is the path of a tokenizers file; each document's ids end with ``end``. Returns
+    ``tokenizer`` is the path of a tokenizers file; each document's ids end with ``end``. With
+    ``added``, strings of added tokens get those tokens' ids, as by the library's default. Returns
     the stored list of files: ``part`` and ``seq`` (their order), ``path``, ``n_rows``,
     ``n_ids``, the ``keys`` of their rows, and ``first_id`` (ids in all files before it).
 
@@ -325,7 +361,7 @@ def write_token_files(
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task, seq = text_encoder(tokenizer, width), TaskContext.get(), 0
+        encoder, task, seq = text_encoder(tokenizer, width, added), TaskContext.get(), 0
         keys: list = []
         ids: list[bytes] = []
         held = 0
