@@ -189,20 +189,28 @@ def upsert_semantics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events land as files; one run upserts what is new into a row per user."""
+    """Events land as files in two parts, with a run after each: the later one updates the rows
+    of users that are stored."""
     events = read_table(spark, sf_dir, "events")
     root = f"{shared_folder(spark)}/bazaar-incremental/{uuid4().hex}"
-    events.write.parquet(f"{root}/landing")
-    return upsert_new_files(
-        spark,
-        f"{root}/landing",
-        events.schema,
-        VersionedTable(spark, f"{root}/users", events.schema),
-        keys=["user_id"],
-        update=["event_type", "value", "props"],
-        order=["ts", "event_id"],
-        checkpoint=f"{root}/checkpoint",
-    )
+    users = VersionedTable(spark, f"{root}/users", events.schema)
+    first, last = events.agg(
+        F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))
+    ).first()
+    later = F.unix_micros(F.col("ts").cast("timestamp")) > ((first or 0) + (last or 0)) // 2
+    for part in (events.where(~later | later.isNull()), events.where(later)):
+        part.write.mode("append").parquet(f"{root}/landing")
+        found = upsert_new_files(
+            spark,
+            f"{root}/landing",
+            events.schema,
+            users,
+            keys=["user_id"],
+            update=["event_type", "value", "props"],
+            order=["ts", "event_id"],
+            checkpoint=f"{root}/checkpoint",
+        )
+    return found
 
 
 def incremental_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
