@@ -1,6 +1,6 @@
 """SQL for DuckDB that gives the rows of those queries that SQL can express."""
 
-from bazaar.llm import licenses, line_dedup, search
+from bazaar.llm import licenses, line_dedup, ranked, search
 
 # The control strings of the default chat template, in two patterns: a first character, and what
 # follows it after any backslashes.
@@ -173,4 +173,41 @@ DOCUMENT_SEARCH = (
 )
 
 
-ORACLES = {"op2_license_scan": _license_sql(), "op1_search": SEARCH, "op5_chat_format": CHAT, "op8_line_dedup": LINES}
+RANKED = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+    FROM documents
+), items AS (
+    SELECT row_number() OVER () AS item, item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+    FROM benchmark
+), wanted AS (
+    SELECT item, item_id, term, count(*) AS times
+    FROM (SELECT item, item_id, unnest(terms) AS term FROM items) GROUP BY ALL
+), postings AS (
+    SELECT row, doc_id, size, term, count(*) AS tf
+    FROM (SELECT row, doc_id, len(terms) AS size, unnest(terms) AS term FROM docs)
+    WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+), corpus AS (
+    SELECT count(*) AS n, CAST(sum(len(terms)) AS BIGINT) AS total FROM docs WHERE len(terms) > 0
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE)))
+        AS BIGINT) AS weight
+    FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), corpus
+), results AS (
+    SELECT item, item_id, row, doc_id, CAST(sum(times * weight * ((1000000000 * tf)
+        // (1000 * tf + 12 * (100 - 25 + (25 * size * n) // total)))) AS BIGINT) AS score
+    FROM wanted JOIN postings USING (term) JOIN weights USING (term), corpus GROUP BY ALL
+)
+SELECT item_id, rank, doc_id, score FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INT)
+        AS rank
+    FROM results WHERE score > 0
+) WHERE rank <= {ranked.TOP}
+"""
+
+
+ORACLES = {"op11_ranked_search": RANKED, "op2_license_scan": _license_sql(), "op1_search": SEARCH, "op5_chat_format": CHAT, "op8_line_dedup": LINES}

@@ -14,6 +14,7 @@ from bazaar.llm import (
     line_dedup,
     ngram_join,
     pii,
+    ranked,
     search,
     token_files,
     toxicity,
@@ -170,6 +171,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(files)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for each benchmark item: all items against all documents."""
+    return ranked.ranked_search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), query="item_id"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = [
         op1_search,
@@ -182,6 +190,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_line_dedup,
         op9_ngram_join,
         op10_token_files,
+        op11_ranked_search,
     ]
     return {query.__name__: query for query in operators}
 
