@@ -41,7 +41,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     of an executor costs nothing that was done before."""
     path = new_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged.staged_path = path
+    return staged
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete the files of staged frames that nothing will read again."""
+    for df in staged:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def worker_store(name: str) -> dict:

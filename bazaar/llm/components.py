@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import stage
+from bazaar.llm.common import discard, stage
 
 
 def _summary(edges: DataFrame) -> tuple:
@@ -14,7 +14,7 @@ def _summary(edges: DataFrame) -> tuple:
 
 def components(edges: DataFrame) -> DataFrame:
     """``u`` and ``root`` for each node of ``edges`` (``u``, ``v``): the smallest node that is
-    reachable, for all nodes that are not roots themselves.
+    reachable, for all nodes that are not roots themselves: a staged frame.
 
     Rounds of large stars and small stars (Kiveris et al., 2014) turn each component into one
     star; their number grows with the logarithm of the longest path. A round is two aggregates
@@ -34,14 +34,17 @@ def components(edges: DataFrame) -> DataFrame:
         # Each edge of the large star leads to a smaller node, so the small star's centre is known.
         small = large.groupBy("u").agg(F.min("v").alias("root"))
         joined = large.join(small, "u")
-        edges = (
+        starred = (
             joined.select("u", F.col("root").alias("v"))
             .unionByName(joined.where("v <> root").select(F.col("v").alias("u"), F.col("root").alias("v")))
             .distinct()
         )
-        edges = stage(edges, "edges")
+        last, edges = edges, stage(starred, "edges")
+        discard(last)
         after = _summary(edges)
         if after == before:
             break
         before = after
-    return edges.select("u", F.col("v").alias("root"))
+    root = edges.select("u", F.col("v").alias("root"))
+    root.staged_path = edges.staged_path
+    return root

@@ -12,6 +12,7 @@ from bazaar.llm import (
     decontamination,
     licenses,
     line_dedup,
+    min_max,
     ngram_join,
     pii,
     ranked,
@@ -178,6 +179,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return min_max.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = [
         op1_search,
@@ -191,6 +196,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_ngram_join,
         op10_token_files,
         op11_ranked_search,
+        op12_min_max,
     ]
     return {query.__name__: query for query in operators}
 
