@@ -29,6 +29,7 @@ from bazaar.llm.set_links import (
     parities,
     set_ids,
     shingle_sets,
+    stars_of,
     texts_of,
 )
 
@@ -124,9 +125,9 @@ def near_duplicates(
     Bands are for a ``percent`` of 80 or more; with a smaller one pairs near it may be missed.
     Shingles and sets are compared as 64-bit hashes.
 
-    One pass over the texts makes sets and keys. Keys are grouped twice: for their smallest set, and
-    to give each set the smallest one of each of its keys. Neither needs the sets of a key in one
-    place, so a key of any number of sets is combined before the shuffle or split after it.
+    One pass over the texts makes sets and keys. Keys of several sets are found by an aggregate and
+    joined to their sets; neither needs the sets of a key in one place, so a key of any number of
+    sets is combined before the shuffle or split after it.
     """
     texts = texts_of(docs, doc, text)
     kind = texts.schema["id"].dataType.simpleString()
@@ -137,15 +138,16 @@ def near_duplicates(
         "signed",
     )
     keys = signed.where("keys is not null").select(F.explode("keys").alias("key"), "set")
-    pivots = stage(
-        keys.groupBy("key").agg(F.min("set").alias("pivot"), F.max("set").alias("last"))
-        .where("pivot < last").select("key", "pivot"),
-        "pivots",
+    several = stage(
+        keys.groupBy("key").agg(F.min("set").alias("first"), F.max("set").alias("last"))
+        .where("first < last").select("key"),
+        "several",
     )
-    stars = stage(keys.join(pivots, "key").where("set <> pivot").select("pivot", "set").distinct(), "stars")
+    shared = stage(keys.join(several, "key", "left_semi").distinct(), "shared")
+    stars = stars_of(shared)
     one = distinct_sets(signed)
     root = linked_sets(stars, one, texts, width, percent)
-    discard(pivots, stars)
+    discard(several, shared, stars)
     columns = [F.col("id").alias("doc_id"), F.col("n").alias("n_shingles")]
     members = signed.select("id", "n", "set")
     found = members.where("n > 0").join(component_names(one, root), "set").select(

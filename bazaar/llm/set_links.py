@@ -1,10 +1,11 @@
 """Exact links between sets of word shingles: sets, bounds, verification and components.
 
 What joins by Jaccard similarity share, however they find candidates. Candidates come as groups:
-each set that a group holds with the group's pivot, its smallest set. All pairs of a group that
-can be close enough are settled exactly, without comparing all of them:
+the sets of a key. All pairs of a group that can be close enough are settled exactly, without comparing all of them:
 
-* each set is first verified against one of its pivots, and links become components;
+* the pivot of a group is the set that meets most others in all its groups, so the original of many
+  altered copies rather than any copy. Each set is first verified against the best of its pivots,
+  and links become components;
 * then sets of one group in different components meet, unless the triangle inequality over the
   pivot, their sizes or their parity strings tell them apart. The string has a bit for each cell of
   a hash, the parity of a set's shingles there: two strings differ in at most as many bits as their
@@ -24,8 +25,9 @@ from pyspark.sql import functions as F
 from bazaar.llm.common import byte_data, discard, mix, pieces, stage, text_bytes
 from bazaar.llm.components import components
 
-# Bits of a set's parity string for each of its shingles, before rounding up to a power of two.
-PARITY = 2
+# Bits of a set's parity string for each of its shingles, before rounding up to a power of two. The
+# more there are, the fewer shingles share a bit and hide a difference.
+PARITY = 8
 # Bytes of text that a task works on at once: its arrays take some 50 times as much.
 PIECE = 2 << 20
 # Sets that a task remembers to have sent.
@@ -250,7 +252,7 @@ def _open_pairs(
     """
     sizes = one.select("set", "n", "parity")
     known = measured.select(F.col("u").alias("pivot"), F.col("v").alias("set"), "low", "high")
-    rooted = stage(_rooted(_rooted(stars, root, "set", "r"), root, "pivot", "rp"), "rooted")
+    rooted = stage(_rooted(_rooted(stars.select("pivot", "set"), root, "set", "r"), root, "pivot", "rp"), "rooted")
     # Only groups of several components are looked at any further.
     several = rooted.where("r <> rp").select("pivot").distinct()
     rows = rooted.join(several, "pivot", "left_semi").join(known, ["pivot", "set"], "left")
@@ -296,15 +298,36 @@ def _open_pairs(
     return left
 
 
+def stars_of(shared: DataFrame) -> DataFrame:
+    """``pivot``, ``set`` and ``met``, how often the pivot meets others, for each pair once: of rows
+    (key, set) whose key has several sets, each row once.
+
+    Sizes, sums and pivots are aggregates that combine before the shuffle; the joins between them
+    take plain tables, so that the rows of one key or set can be split.
+    """
+    sizes = stage(shared.groupBy("key").agg(F.count("*").alias("size")), "sizes")
+    met = stage(shared.join(sizes, "key").groupBy("set").agg(F.sum("size").alias("met")), "met")
+    best = F.max(F.struct("met", "set")).alias("best")
+    pivots = stage(shared.join(met, "set").groupBy("key").agg(best), "pivots")
+    stars = (
+        shared.join(pivots, "key").where(F.col("set") != F.col("best.set"))
+        .select(F.col("best.set").alias("pivot"), "set", F.col("best.met").alias("met")).distinct()
+    )
+    stars = stage(stars, "stars")
+    discard(sizes, met, pivots)
+    return stars
+
+
 def linked_sets(
     stars: DataFrame, one: DataFrame, texts: DataFrame, width: int, percent: int
 ) -> DataFrame:
     """``u`` and ``root`` for each set that is not the smallest of its component.
 
-    ``stars`` are staged rows (pivot, set), each once, the pivot smaller; sets that share a pivot are
+    ``stars`` are staged rows (pivot, set, met), each once; sets that share a pivot, and the pivot, are
     candidates. ``one`` is ``distinct_sets``; ``texts`` are read again for the sets to verify.
     """
-    first = stars.groupBy("set").agg(F.min("pivot").alias("u")).select("u", F.col("set").alias("v"))
+    first = stars.groupBy("set").agg(F.max(F.struct("met", "pivot")).alias("best"))
+    first = first.select(F.col("best.pivot").alias("u"), F.col("set").alias("v"))
     measured = _measured(first, one, texts, width, percent)
     root = components(_links(measured, percent))
     rest = _open_pairs(stars, measured, one, root, percent)

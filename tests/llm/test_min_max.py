@@ -98,7 +98,7 @@ def test_pairs_that_the_pivot_does_not_settle(spark, documents, prose):
     )
     one = set_links.distinct_sets(signed)
     pivot = one.agg(F.min("set")).first()[0]
-    stars = mm.stage(one.where(F.col("set") != pivot).select(F.lit(pivot).alias("pivot"), "set"), "stars")
+    stars = mm.stage(one.where(F.col("set") != pivot).select(F.lit(pivot).alias("pivot"), "set", F.lit(1).alias("met")), "stars")
     root = set_links.linked_sets(stars, one, texts_, 2, 80)
     names = {r.set: r.least for r in set_links.component_names(one, root).collect()}
     got = {r.id: names[r.set] for r in signed.collect()}
