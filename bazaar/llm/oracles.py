@@ -1,6 +1,6 @@
 """SQL for DuckDB that gives the rows of those queries that SQL can express."""
 
-from bazaar.llm import licenses, line_dedup, ranked, search
+from bazaar.llm import licenses, line_dedup, phrases, ranked, search
 
 # The control strings of the default chat template, in two patterns: a first character, and what
 # follows it after any backslashes.
@@ -53,13 +53,11 @@ WITH pages AS (
     SELECT doc_id, string_split(text, chr(10)) AS old, list_filter(string_split(text, chr(10)),
         lambda x: trim(x) = '' OR NOT list_contains(coalesce(gone, []), trim(x))) AS new
     FROM pages p LEFT JOIN furniture f ON p.source IS NOT DISTINCT FROM f.source
-), kept AS (
-    SELECT doc_id, old, CASE WHEN len(list_filter(new, lambda x: trim(x) <> '')) > 0
-        THEN new ELSE old END AS new FROM cut
 )
-SELECT doc_id, CAST(len(new) AS BIGINT) AS n_kept, CAST(len(old) - len(new) AS BIGINT) AS n_dropped,
+SELECT doc_id, CAST(greatest(len(new), 1) AS BIGINT) AS n_kept,
+    CAST(len(old) - len(new) AS BIGINT) AS n_dropped,
     sha256(array_to_string(new, chr(10))) AS text_sha256
-FROM kept
+FROM cut
 """
 
 # Words in the order of the Python code's arithmetic, so that scores round alike.
@@ -210,4 +208,40 @@ SELECT item_id, rank, doc_id, score FROM (
 """
 
 
-ORACLES = {"op11_ranked_search": RANKED, "op2_license_scan": _license_sql(), "op1_search": SEARCH, "op5_chat_format": CHAT, "op8_line_dedup": LINES}
+PHRASES = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, '{phrases.NO_LANGUAGE}') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), totals AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+), counts AS (
+    SELECT lang, size, phrase, count(*) AS a FROM (
+        SELECT lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase
+        FROM words, unnest(range(1, {phrases.EDGE + 1})) s(size), unnest(range(1, len(w) - size + 2)) t(i)
+    ) GROUP BY ALL HAVING count(*) >= {phrases.LEAST}
+), kept AS (
+    SELECT * FROM counts c WHERE size > 1 AND NOT EXISTS (
+        SELECT 1 FROM counts o WHERE o.lang = c.lang AND o.size > c.size AND 100 * o.a >= 100 * c.a
+            AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' '))
+), cuts AS (
+    SELECT c.lang, c.phrase, c.a, k, l.a AS l, r.a AS r, n,
+        CAST((CAST(1000 AS HUGEINT) * c.a * n) // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+    FROM kept c JOIN totals USING (lang), unnest(range(1, c.size)) t(k)
+    JOIN counts l ON l.lang = c.lang
+        AND l.phrase = array_to_string(list_slice(string_split(c.phrase, ' '), 1, k), ' ')
+    JOIN counts r ON r.lang = c.lang
+        AND r.phrase = array_to_string(list_slice(string_split(c.phrase, ' '), k + 1, c.size), ' ')
+), scored AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, n, score
+FROM scored QUALIFY rank <= {phrases.TOP}
+"""
+
+
+ORACLES = {"op13_phrases": PHRASES, "op11_ranked_search": RANKED, "op2_license_scan": _license_sql(), "op1_search": SEARCH, "op5_chat_format": CHAT, "op8_line_dedup": LINES}

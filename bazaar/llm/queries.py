@@ -14,6 +14,7 @@ from bazaar.llm import (
     line_dedup,
     min_max,
     ngram_join,
+    phrases,
     pii,
     ranked,
     search,
@@ -183,6 +184,10 @@ def op12_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return min_max.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = [
         op1_search,
@@ -197,6 +202,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_token_files,
         op11_ranked_search,
         op12_min_max,
+        op13_phrases,
     ]
     return {query.__name__: query for query in operators}
 

@@ -26,4 +26,4 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_one_query_for_each_operator():
-    assert [name.split("_")[0] for name in queries()] == [f"op{n}" for n in range(1, 13)]
+    assert [name.split("_")[0] for name in queries()] == [f"op{n}" for n in range(1, 14)]
