@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazaar.llm.common import stage
+
 # Names of this module's working columns, unlike any a table has.
 HOST, LINES, FURNITURE, TOTAL = "__ld_host", "__ld_lines", "__ld_furniture", "__ld_total"
 
@@ -74,14 +76,15 @@ def drop_boilerplate(
 
     A line (text between line feeds) is furniture if it stands on more than ``ratio`` of the
     host's pages and on ``min_pages`` at least. Blank lines stay. A page that has nothing but
-    furniture stays as it is: it is a copy of a page, which the near-duplicate operators judge.
-    A null text stays null and counts as a page without lines; pages without a host form a site
+    furniture keeps its row, with an empty text. A null text stays null and counts as a page without lines; pages without a host form a site
     of their own; repeated rows count each. An empty table gives an empty one. ``dropped`` names
-    a further column for the number of lines that went.
+    a further column for the number of lines that went. Texts of any length are taken whole; other
+    columns may have any name but those that start with ``__ld_``.
 
-    The texts do not move: each host's furniture is a short array, joined to the pages by host.
+    Each host's furniture is a short array. It is written first, so that its size is known before
+    the pages are joined to it by host: while it is small, no text moves.
     """
-    furniture = boilerplate_lines(pages, host, text, ratio, min_pages)
+    furniture = stage(boilerplate_lines(pages, host, text, ratio, min_pages), "furniture")
     own = pages.columns
     lines = F.split(F.col(f"p.{_quoted(text)}"), "\n")
     page_host = F.col(f"p.{_quoted(host)}")
@@ -92,9 +95,6 @@ def drop_boilerplate(
         pages.alias("p")
         .join(furniture.alias("f"), page_host.eqNullSafe(F.col(f"f.{HOST}")), "left")
         .withColumn(LINES, F.when(F.col(FURNITURE).isNotNull(), kept))
-        .withColumn(
-            LINES, F.when(F.exists(LINES, is_line), F.col(LINES))
-        )  # nothing left: as it was
     )
     cleaned = F.when(
         F.col(LINES).isNotNull(), F.array_join(F.col(LINES), "\n")

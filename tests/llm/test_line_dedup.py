@@ -29,9 +29,11 @@ def test_few_pages_have_no_furniture(documents):
     assert texts(drop_boilerplate(documents(pages))) == pages
 
 
-def test_copies_stay_as_they_are(documents):
-    pages = ["all the same\nhere"] * 30 + ["all the same\nother"]
-    assert texts(drop_boilerplate(documents(pages))) == ["all the same\nhere"] * 30 + ["other"]
+def test_pages_of_furniture_alone_keep_an_empty_row(documents):
+    pages = ["all the same\nhere"] * 30 + ["all the same\nother", "all the same\n\n"]
+    found = drop_boilerplate(documents(pages), dropped="n_dropped")
+    assert texts(found) == [""] * 30 + ["other", "\n"]
+    assert [r.n_dropped for r in found.orderBy("doc_id").collect()] == [2] * 30 + [1, 1]
 
 
 def test_odd_rows(documents):
