@@ -13,10 +13,8 @@ most, H say, so in H segments at most:
   one shingle deleted: a segment of two shingles or more counts double in the pigeonhole;
 * where even that does not exceed H, the set adds each shingle as a key of its own.
 
-So no pair is lost. Pairs of sets with a common key then meet a bound: a parity string has a bit
-for each cell of a hash, the parity of a set's shingles there. Two strings differ in at most as
-many bits as their sets do in shingles, so pairs whose strings differ in more than H are left out.
-The others are verified on their whole sets.
+So no pair is lost. Sets with a common key are candidates; ``set_links`` settles exactly which of
+them are linked, by bounds and on whole sets.
 """
 
 from collections.abc import Callable, Iterator
@@ -24,11 +22,21 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import byte_data, mix, pieces, stage, text_bytes
-from bazaar.llm.components import components
+from bazaar.llm.common import discard, mix, pieces, stage, text_bytes
+from bazaar.llm.set_links import (
+    PIECE,
+    component_names,
+    distinct_sets,
+    linked_sets,
+    parities,
+    set_ids,
+    shingle_sets,
+    texts_of,
+    unseen,
+)
 
 SHINGLE = 5
 PERCENT = 75
@@ -40,84 +48,6 @@ SEGMENTS = 0.5
 # the less frequent passages it tells from others; it decides costs, never results.
 SKETCH_BITS = 22
 SKETCH_PARTS = 64
-# Bits of a set's parity string for each of its shingles, before rounding up to a power of two.
-PARITY = 2
-# Bytes of text that a task works on at once: its arrays take some 50 times as much.
-PIECE = 2 << 20
-# Sets that a task remembers to have sent.
-SEEN = 1 << 18
-
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BASE = 0x9E3779B97F4A7C55
-_PLACE = 0xD6E8FEB86659FD93
-
-
-def _factors(n: int, base: int) -> np.ndarray:
-    """The powers of an odd number modulo 2**64, from the power 0."""
-    factors = np.full(max(n, 1), base, np.uint64)
-    factors[0] = 1
-    return np.cumprod(factors)
-
-
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word of all texts, and where each text's words start and end.
-
-    Words are runs of anything but space and the five controls from tab to carriage return;
-    A-Z count as a-z.
-    """
-    data, offsets = byte_data(texts)
-    data = np.frombuffer(data.tobytes().lower(), np.uint8)
-    inside = ~_SPACE[data]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    heads = offsets[:-1][offsets[:-1] < len(data)]
-    first[heads] = inside[heads]
-    letters = data[inside]
-    starts = np.flatnonzero(first[inside])
-    sizes = np.diff(np.append(starts, len(letters)))
-    places = np.arange(len(letters)) - np.repeat(starts, sizes)
-    terms = (letters.astype(np.uint64) + np.uint64(1)) * _factors(int(sizes.max(initial=1)), _BASE)[places]
-    sums = np.add.reduceat(terms, starts) if len(starts) else terms[:0]
-    bounds = np.searchsorted(np.flatnonzero(first), offsets)
-    return mix(sums + sizes.astype(np.uint64), 1), bounds
-
-
-def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingles of each text, as sorted 64-bit hashes one text after the other, and
-    where each text's start and end. A text of fewer words than ``width`` has one shingle."""
-    words, bounds = word_hashes(texts)
-    counts = np.diff(bounds)
-    factors = _factors(width + 1, _PLACE)[1:]
-    whole = np.zeros(max(len(words) - width + 1, 0), np.uint64)
-    for j in range(width):
-        whole += words[j : j + len(whole)] * factors[j]
-    whole = mix(whole, 2)
-    sets, sizes = [], np.zeros(len(counts), np.int64)
-    for i, n in enumerate(counts):
-        start = bounds[i]
-        if n >= width:
-            found = np.sort(whole[start : start + n - width + 1])
-            found = found[np.concatenate([[True], found[1:] != found[:-1]])]
-        elif n:
-            short = (words[start : start + n] * factors[:n]).sum(dtype=np.uint64)
-            found = mix(np.array([short + np.uint64(n)], np.uint64), 3)
-        else:
-            continue
-        sets.append(found)
-        sizes[i] = len(found)
-    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    return flat, np.concatenate([[0], np.cumsum(sizes)])
-
-
-def set_ids(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A 64-bit id of each set, the same for equal sets; 0 for empty ones."""
-    ids = np.zeros(len(bounds) - 1, np.uint64)
-    full = np.flatnonzero(np.diff(bounds))
-    if len(full):
-        sums = np.add.reduceat(mix(flat, 4), bounds[:-1][full])
-        ids[full] = mix(sums + np.diff(bounds)[full].astype(np.uint64), 5)
-    return ids.view(np.int64)
 
 
 def roles(sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -208,36 +138,6 @@ def _few_segments(keys, heads, tails, sums, salt, spread, shingles, h, top):
     return np.unique(np.concatenate(found))
 
 
-def parities(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """The parity string of each set as 64-bit words: some bits for each shingle, a power of two
-    in all."""
-    found = []
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        size = max(64, 1 << int(PARITY * (b - a) - 1).bit_length()) if b > a else 64
-        cell = (flat[a:b] & np.uint64(size - 1)).astype(np.int64)
-        bits = (np.bincount(cell, minlength=size) & 1).astype(np.uint8)
-        found.append(np.packbits(bits, bitorder="little").view("<i8"))
-    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found or [np.zeros(0, np.int64)])))
-
-
-def least_difference(a: Column, b: Column) -> Column:
-    """How many shingles two sets differ in at least, by their parity strings.
-
-    The longer string is folded to half, which adds up the parities of its cells; strings whose
-    lengths differ more are of sets that their sizes tell apart, and say nothing here.
-    """
-    words = F.least(F.size(a), F.size(b))
-
-    def folded(p: Column) -> Column:
-        halves = F.slice(p, F.lit(1), words), F.slice(p, words + 1, words)
-        half = F.zip_with(*halves, lambda x, y: x.bitwiseXOR(y))
-        return F.when(F.size(p) == words, p).when(F.size(p) == 2 * words, half)
-
-    bits = F.zip_with(folded(a), folded(b), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    return F.coalesce(F.aggregate(bits, F.lit(0), lambda total, n: total + n), F.lit(0))
-
-
 SEEN_COLUMNS = ["id", "hash", "n", "set", "parity", "part", "counts"]
 
 
@@ -323,21 +223,6 @@ def _key_rows(width: int, percent: int, costs: Broadcast):
     return work
 
 
-def unseen(flat: np.ndarray, bounds: np.ndarray, seen: set[int]) -> tuple[np.ndarray, np.ndarray]:
-    """The sets that are not among ``seen``, each once; adds them there."""
-    if len(seen) > SEEN:
-        seen.clear()
-    kept = []
-    for i, own in enumerate(set_ids(flat, bounds).tolist()):
-        if own not in seen and bounds[i + 1] > bounds[i]:
-            seen.add(own)
-            kept.append(i)
-    kept = np.array(kept, np.int64)
-    sizes = (bounds[1:] - bounds[:-1])[kept]
-    ends = np.concatenate([[0], np.cumsum(sizes)])
-    return flat[np.arange(ends[-1]) + np.repeat(bounds[kept] - ends[:-1], sizes)], ends
-
-
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows in the order of (key, set): those whose key has another set, with the key's
     first set. Holds one batch and the row before it, however many sets a key has."""
@@ -373,80 +258,16 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _set_rows(width: int):
-    """Rows of (set, shingles), a set once for each task that remembers it."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in pieces(batches, 0, PIECE):
-            flat, bounds = unseen(*shingle_sets(batch.column(0), width), seen)
-            shingles = pa.ListArray.from_arrays(bounds.astype(np.int32), pa.array(flat.view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(set_ids(flat, bounds)), shingles], names=["set", "shingles"]
-            )
-
-    return work
-
-
-def _measured(
-    pairs: DataFrame, members: DataFrame, texts: DataFrame, width: int, percent: int
+def _members(
+    docs: DataFrame, doc: str, text: str, width: int, percent: int
 ) -> tuple[DataFrame, DataFrame]:
-    """All pairs (u, v) with their sets' sizes and ``least``, how much they differ at least; and
-    those that may be close enough, with ``diff``, how much their whole sets differ.
-
-    The parity strings of all pairs travel, some bytes each; whole sets only for pairs that pass.
-    Their texts are found by hash, without a Python step for the others.
-    """
-    one = members.groupBy("set").agg(
-        F.first("n").alias("n"), F.first("parity").alias("parity"), F.min("hash").alias("hash")
-    )
-    u = one.select(F.col("set").alias("u"), F.col("n").alias("nu"), F.col("parity").alias("pu"))
-    v = one.select(F.col("set").alias("v"), F.col("n").alias("nv"), F.col("parity").alias("pv"))
-    bounded = stage(
-        pairs.join(v, "v").join(u, "u").select(
-            "u", "v", "nu", "nv", least_difference(F.col("pu"), F.col("pv")).alias("least")
-        ),
-        "pairs",
-    )
-    near = bounded.where(
-        _within(F.greatest("least", F.abs(F.col("nu") - F.col("nv"))), percent)
-    ).select("u", "v", "nu", "nv")
-    wanted = stage(
-        one.join(near.select(F.explode(F.array("u", "v")).alias("set")).distinct(), "set")
-        .select(F.col("hash").alias("wanted")).distinct(),
-        "wanted",
-    )
-    sets = stage(
-        texts.join(wanted, F.xxhash64("text") == F.col("wanted"), "left_semi")
-        .select("text")
-        .mapInArrow(_set_rows(width), "set long, shingles array<bigint>")
-        .dropDuplicates(["set"]),
-        "candidates",
-    )
-    a = sets.select(F.col("set").alias("u"), F.col("shingles").alias("a"))
-    b = sets.select(F.col("set").alias("v"), F.col("shingles").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    checked = stage(
-        near.join(b, "v").join(a, "u").select(
-            "u", "v", "nu", "nv", (F.col("nu") + F.col("nv") - 2 * both).alias("diff")
-        ),
-        "checked",
-    )
-    return bounded, checked
-
-
-def _within(difference: Column, percent: int) -> Column:
-    """Whether sets of ``nu`` and ``nv`` shingles that differ so much are similar enough."""
-    return (100 + percent) * difference <= (100 - percent) * (F.col("nu") + F.col("nv"))
-
-
-def _members(docs: DataFrame, doc: str, text: str, width: int, percent: int) -> DataFrame:
-    """``id``, ``hash`` (of the text), ``n`` (size of the set) and ``node`` (name of the component,
-    a set of it) of each row."""
+    """``id``, ``hash`` (of the text), ``n`` (size of the set) and ``set`` of each row; and of each
+    set that has shingles ``least`` and ``first``, the smallest id and the first row of its
+    component."""
     if percent * BAND < 100:
         raise ValueError(f"partners of less than 1/{BAND} of a set's size are not looked for")
     spark = docs.sparkSession
-    texts = docs.select(F.col(f"`{doc}`").alias("id"), text_bytes(F.col(f"`{text}`")).alias("text"))
+    texts = texts_of(docs, doc, text)
     kind = texts.schema["id"].dataType.simpleString()
     seen = stage(
         texts.select("id", F.xxhash64("text").alias("hash"), "text").mapInArrow(
@@ -461,28 +282,24 @@ def _members(docs: DataFrame, doc: str, text: str, width: int, percent: int) ->
         costs.reshape(SKETCH_PARTS, -1)[row.part] = np.frombuffer(row.costs, np.uint8)
     members = seen.where("part is null").drop("part", "counts")
 
-    keys = texts.select("text").mapInArrow(
-        _key_rows(width, percent, spark.sparkContext.broadcast(costs)), "key long, set long"
-    )
+    sent = spark.sparkContext.broadcast(costs)
+    del costs
+    keys = texts.select("text").mapInArrow(_key_rows(width, percent, sent), "key long, set long")
     shared = stage(
         keys.repartition("key")
         .sortWithinPartitions("key", "set")
         .mapInArrow(_shared, "key long, set long, pivot long"),
         "shared",
     )
-    # First each set against the smallest one of each of its keys, its pivots; then what the
-    # pivots leave open between sets that no links have joined so far.
-    stars = shared.where("set <> pivot").select(F.col("pivot").alias("u"), F.col("set").alias("v"))
-    bounded, checked = _measured(stars.distinct(), members, texts, width, percent)
-    links = checked.where(_within(F.col("diff"), percent)).select("u", "v")
-    root = stage(components(links), "components")
-    rest = _open_pairs(bounded, checked, members, root, percent)
-    more = _measured(rest, members, texts, width, percent)[1]
-    links = links.unionByName(more.where(_within(F.col("diff"), percent)).select("u", "v"))
-    root = stage(components(links), "components")
-    return members.join(root, F.col("set") == F.col("u"), "left").select(
-        "id", "hash", "n", F.coalesce("root", "set").alias("node")
+    sent.destroy()
+    stars = stage(
+        shared.where("set <> pivot").select("pivot", "set", F.lit(1).alias("met")).distinct(), "stars"
     )
+    discard(shared)
+    one = distinct_sets(members)
+    names = component_names(one, linked_sets(stars, one, texts, width, percent))
+    discard(stars)
+    return members.select("id", "hash", "n", "set"), names
 
 
 def jaccard_components(
@@ -501,15 +318,13 @@ def jaccard_components(
 
     Two passes make sets of all texts: for key frequencies, and for keys. Two more find the texts
     of candidates by their hash. Keys are shuffled, parity strings of the sets that share one, and
-    the whole sets of candidates that remain. Candidates of a key are first verified against its
-    smallest set alone, then, only between components not yet joined and where distances to that
-    set leave it open, against each other.
+    the whole sets of candidates that remain. Only the two named columns are read, so others may
+    have any name; a text of any length is taken whole.
     """
-    members = _members(docs, doc, text, width, percent)
-    smallest = members.where("n > 0").groupBy("node").agg(F.min("id").alias("least"))
+    members, names = _members(docs, doc, text, width, percent)
     columns = (F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"))
     return (
-        members.where("n > 0").join(smallest, "node")
+        members.where("n > 0").join(names, "set")
         .select(*columns, F.col("least").alias("component_id"))
         .unionByName(members.where("n = 0").select(*columns, F.col("id").alias("component_id")))
     )
@@ -524,15 +339,13 @@ def one_of_each(
     Documents without words are linked with nothing and stay, all of them. What goes is a list of
     ids and hashes; the texts are joined to that list, and do not move while it is small.
     """
-    members = stage(_members(docs, doc, text, width, percent).where("n > 0"), "members")
-    least = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("hash")))
-    first = members.groupBy("node").agg(least.alias("first")).select("node", "first.id", "first.hash")
-    rows = members.groupBy("node", "id", "hash").agg(F.count("*").alias("copies"))
-    same = F.col("r.id").eqNullSafe(F.col("f.id")) & (F.col("r.hash") == F.col("f.hash"))
+    members, names = _members(docs, doc, text, width, percent)
+    rows = members.where("n > 0").groupBy("set", "id", "hash").agg(F.count("*").alias("copies"))
+    same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("hash") == F.col("first.hash"))
     judged = stage(
-        rows.alias("r").join(first.alias("f"), "node")
+        rows.join(names.select("set", "first"), "set")
         .where(~same | (F.col("copies") > 1))
-        .select(F.col("r.id").alias("__nj_id"), F.col("r.hash").alias("__nj_hash"), same.alias("__nj_stays")),
+        .select(F.col("id").alias("__nj_id"), F.col("hash").alias("__nj_hash"), same.alias("__nj_stays")),
         "near-duplicates",
     )
     own = F.xxhash64(text_bytes(F.col(f"`{text}`")))
@@ -543,59 +356,3 @@ def one_of_each(
     )
 
 
-def _with_root(rows: DataFrame, root: DataFrame, column: str, out: str) -> DataFrame:
-    named = root.select(F.col("u").alias(column), F.col("root").alias(out))
-    return rows.join(named, column, "left").withColumn(out, F.coalesce(out, column))
-
-
-def _with_root(rows: DataFrame, root: DataFrame, column: str, out: str) -> DataFrame:
-    named = root.select(F.col("u").alias(column), F.col("root").alias(out))
-    return rows.join(named, column, "left").withColumn(out, F.coalesce(out, column))
-
-
-def _open_pairs(
-    bounded: DataFrame, checked: DataFrame, members: DataFrame, root: DataFrame, percent: int
-) -> DataFrame:
-    """Pairs of sets with a common pivot, in different components, that may be close enough.
-
-    Sets that share a key share that key's pivot, so no pair is missed. The difference of sets
-    is a metric: two sets differ by what their distances to the pivot differ at least. Those are
-    known in full for sets near the pivot, and from below for others, so a set far from the
-    pivot need not meet the many close to it. Parity strings bound the rest inside the join. One
-    side of each pair is outside the component of the pivot: a group that the pivot has joined is
-    not compared within itself.
-    """
-    measured = bounded.join(checked.select("u", "v", "diff"), ["u", "v"], "left")
-    about = measured.select(
-        F.col("u").alias("pivot"), F.col("v").alias("set"), F.col("nv").alias("n"),
-        F.coalesce("diff", F.greatest("least", F.abs(F.col("nu") - F.col("nv")))).alias("low"),
-        F.coalesce("diff", F.col("nu") + F.col("nv")).alias("high"),
-    )
-    strings = members.groupBy("set").agg(F.first("parity").alias("parity"))
-    about = about.join(strings, "set")
-    rows = stage(_with_root(_with_root(about, root, "set", "r"), root, "pivot", "rp"), "stars")
-    outside = rows.where("r <> rp").select(
-        "pivot", F.col("set").alias("x"), F.col("n").alias("nu"), F.col("r").alias("rx"),
-        F.col("low").alias("lx"), F.col("high").alias("hx"), F.col("parity").alias("px"),
-    )
-    others = rows.select(
-        "pivot", F.col("set").alias("y"), F.col("n").alias("nv"), F.col("r").alias("ry"),
-        F.col("rp").alias("home"), F.col("low").alias("ly"), F.col("high").alias("hy"),
-        F.col("parity").alias("py"),
-    )
-    least = F.greatest(
-        F.col("lx") - F.col("hy"), F.col("ly") - F.col("hx"), F.abs(F.col("nu") - F.col("nv"))
-    )
-    # Two sets that are both outside meet once.
-    once = (F.col("ry") == F.col("home")) | (F.col("x") < F.col("y"))
-    cheap = (F.col("rx") != F.col("ry")) & once & _within(least, percent)
-    # Nested, so that strings are compared only where nothing else tells sets apart.
-    open_ = F.when(
-        cheap, _within(least_difference(F.col("px"), F.col("py")), percent)
-    ).otherwise(False)
-    return (
-        outside.join(others, "pivot")
-        .where(open_)
-        .select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
-        .distinct()
-    )

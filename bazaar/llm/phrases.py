@@ -39,7 +39,9 @@ PAIR_BITS = 26
 # Bits of one row of a table that Spark's bitmap functions make.
 BUCKET = 32768
 # Bytes of text that a task works on at once.
-PIECE = 2 << 20
+PIECE = 3 << 20
+# Pairs of words that a task holds before it counts them.
+HELD = 6 << 20
 NO_LANGUAGE = "und"
 # Edges of one row of a compacted path: a longer path takes several rows.
 SPAN = 512
@@ -99,23 +101,32 @@ def _pair_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (lang, text): (lang, n) with the number of words, and (pair, n)."""
-    for batch in pieces(batches, 1, PIECE):
-        names, codes = _language_codes(batch)
-        *_, hashes, text, same = _words(batch.column(1), codes)
-        pairs, n = np.unique(_pair_keys(hashes)[same[:-1]], return_counts=True) if len(hashes) else ([], [])
-        words: dict[str, int] = {}
-        for name, own in zip(names, np.bincount(text, minlength=len(names)).tolist(), strict=True):
-            words[name] = words.get(name, 0) + own
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.concat_arrays([pa.array(list(words), pa.string()), pa.nulls(len(pairs), pa.string())]),
-                pa.array(np.concatenate([np.zeros(len(words), np.uint64), pairs]).astype(np.uint64).view(np.int64)),
-                pa.array(np.concatenate([list(words.values()), n]).astype(np.int64)),
-            ],
-            names=["lang", "pair", "n"],
+    """From (lang, text): (pair, n), each pair once for some millions of words."""
+    held, size = [], 0
+
+    def counted() -> pa.RecordBatch:
+        pairs, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(pairs.view(np.int64)), pa.array(n.astype(np.int64))], names=["pair", "n"]
         )
 
+    for batch in pieces(batches, 1, PIECE):
+        *_, hashes, _, same = _words(batch.column(1), _language_codes(batch)[1])
+        if len(hashes):
+            held.append(_pair_keys(hashes)[same[:-1]])
+            size += len(held[-1])
+        if size >= HELD:
+            yield counted()
+            held, size = [], 0
+    yield counted()
+
+
+def _first_of_equal(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct value, and how often it comes."""
+    order = np.argsort(key)
+    new = np.flatnonzero(np.diff(key[order], prepend=~key[order[:1]]))
+    return order[new], np.diff(np.append(new, len(key)))
+
 
 def _runs(frequent: Broadcast, edge: int):
     """From (lang, text): (lang, phrase, n, is_end), the runs of ``edge`` words and the ends of
@@ -146,7 +157,7 @@ def _runs(frequent: Broadcast, edge: int):
                 for j in range(edge):
                     here = first + j <= final
                     key = np.where(here, mix(key + hashes[np.minimum(first + j, size - 1)], 25), key)
-                _, at, n = np.unique(key, return_index=True, return_counts=True)
+                at, n = _first_of_equal(key)
                 a, b = begin[first[at]], end[final[at]]
                 ends = np.concatenate([[0], np.cumsum(b - a)])
                 bytes_ = buffer[np.arange(ends[-1]) + np.repeat(a - ends[:-1], b - a)]
@@ -182,24 +193,24 @@ def phrase_graph(
     docs: DataFrame, lang: str = "lang", text: str = "text", edge: int = EDGE, least: int = LEAST
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The graph of all texts: ``edges`` (lang, phrase, n), ``ends`` (lang, phrase, n) and ``words``
-    (lang, n), the number of words of each language, all staged."""
+    (lang, n), the number of words of each language, all staged. Each word of a piece begins an
+    edge or stands in its end, so their weights give the number of words."""
     spark = docs.sparkSession
     texts = docs.select(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
         text_bytes(F.col(f"`{text}`")).alias("text"),
     )
-    seen = texts.mapInArrow(_pairs, "lang string, pair long, n long")
-    counted = stage(seen.groupBy("lang", "pair").agg(F.sum("n").alias("n")).where(
-        F.col("lang").isNotNull() | (F.col("n") >= least)), "pairs")
-    table = frequent_pairs(counted.where("lang is null").select("pair", "n"), least)
+    pairs = texts.mapInArrow(_pairs, "pair long, n long")
+    table = frequent_pairs(pairs, least)
     sent = spark.sparkContext.broadcast(table)
     runs = texts.mapInArrow(_runs(sent, edge), "lang string, phrase string, n long, is_end boolean")
     counts = stage(runs.groupBy("lang", "phrase", "is_end").agg(F.sum("n").alias("n")), "runs")
     sent.destroy()
+    own = F.when(F.col("is_end"), F.size(F.split("phrase", " "))).otherwise(1)
     return (
         counts.where("not is_end").select("lang", "phrase", "n"),
         counts.where("is_end").select("lang", "phrase", "n"),
-        stage(counted.where("lang is not null").select("lang", "n"), "words"),
+        stage(counts.groupBy("lang").agg(F.sum(F.col("n") * own).alias("n")), "words"),
     )
 
 
@@ -259,7 +270,16 @@ def compact(edges: DataFrame, ends: DataFrame, edge: int = EDGE) -> DataFrame:
         if now == 0 or now == left:  # settled, or nothing but rings left
             break
         left = now
-    placed = numbered.join(links.where("not open"), "edge", "left").select(
+    # An edge and its place in a path meet in an aggregate; edges without a link begin a path.
+    place = links.where("not open").select(
+        "edge", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("phrase"),
+        F.lit(None).cast("long").alias("n"), "before", "far",
+    )
+    own = numbered.select(
+        "edge", "lang", "phrase", "n", F.lit(None).cast("long").alias("before"), F.lit(None).cast("long").alias("far")
+    )
+    whole = [F.first(c, ignorenulls=True).alias(c) for c in ("lang", "phrase", "n", "before", "far")]
+    placed = own.unionByName(place).groupBy("edge").agg(*whole).select(
         "lang", "phrase", "n", F.coalesce("before", "edge").alias("head"), F.coalesce("far", F.lit(0)).alias("far")
     )
     last_word = F.element_at(F.split("phrase", " "), -1)
