@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaar.functions.calendar import month_number
 from bazaar.functions.cleaning import clean_dates, clean_money, clean_numbers, delay_days
-from bazaar.operators.quality import Rule, any_breach, unparsable
+from bazaar.operators.quality import Rule, unparsable
 from bazaar.operators.upsert import one_per_key, reduce_batch
 from bazaar.schemas import MONEY, ORDER_DATES, ROW_ORDER
 from bazaar.sources.storage import stage
@@ -62,26 +63,51 @@ def _not_numbers(columns: Sequence[str]) -> list[Rule]:
     ]
 
 
-def with_payments(orders: DataFrame, paid: DataFrame) -> DataFrame:
-    """Stored orders with what has been paid since: sums grow, the first payment's type stays."""
-    new = paid.select(
+def payments_delta(payments: DataFrame, name: str) -> DataFrame:
+    """What a batch of clean payments adds to the stored ones.
+
+    A payment is known by its order, its source (the file it was read from, else ``name``) and its
+    content, with the number of equal ones: a source that is read again, in whatever order, adds
+    nothing. A row with ``lead`` has the type of each order's first payment in the batch.
+    """
+    order = payments.schema[ROW_ORDER].dataType
+    in_file = isinstance(order, T.StructType) and "path" in order.names
+    rows = payments.where(F.col("order_id").isNotNull()).select(
         "order_id",
-        F.col("payment_value").alias("_value"),
-        F.col("payment_installments").alias("_installments"),
-        F.col("payment_type").alias("_type"),
+        (F.col(f"{ROW_ORDER}.path") if in_file else F.lit(name)).alias("source"),
+        "payment_type",
+        "payment_installments",
+        F.col("payment_value").cast(MONEY).alias("payment_value"),
+        ROW_ORDER,
+    )
+    content = ["order_id", "source", "payment_type", "payment_installments", "payment_value"]
+    counted = rows.groupBy(*content).agg(F.count("*").alias("copies")).withColumn("lead", F.lit(False))
+    leads = rows.groupBy("order_id").agg(F.min_by("payment_type", ROW_ORDER).alias("payment_type"))
+    return counted.unionByName(leads.withColumn("lead", F.lit(True)), allowMissingColumns=True)
+
+
+def stored_rollup(deltas: DataFrame) -> DataFrame:
+    """Per order, of all that has been stored, in whatever batches it came: total paid, most
+    installments, and the type of the first payment of the first batch that had any."""
+    content = ["order_id", "source", "payment_type", "payment_installments", "payment_value", "lead"]
+    once = deltas.groupBy(*content).agg(
+        F.max("copies").alias("copies"), F.min("arrival").alias("arrival")
     )
-    unpaid = F.col("payment_installments").isNull() & F.col("payment_type").isNull() & (
-        F.col("total_amount") == 0
+    value = F.col("payment_value") * F.col("copies").cast("decimal(10,0)")
+    return once.groupBy("order_id").agg(
+        F.coalesce(F.sum(value), F.lit(0)).cast(MONEY).alias("payment_value"),
+        F.max("payment_installments").alias("payment_installments"),
+        F.min_by("payment_type", F.when(F.col("lead"), F.col("arrival"))).alias("payment_type"),
     )
+
+
+def with_totals(orders: DataFrame, paid: DataFrame) -> DataFrame:
+    """Stored orders with the totals of their payments, where ``paid`` has any."""
+    new = {"total_amount": "payment_value", "payment_installments": "payment_installments", "payment_type": "payment_type"}
+    known = paid.select("order_id", F.lit(True).alias("_paid"), *(F.col(c).alias(f"_{c}") for c in new.values()))
     return (
-        orders.join(new, "order_id", "left")
-        .withColumns(
-            {
-                "payment_type": F.when(unpaid, F.col("_type")).otherwise(F.col("payment_type")),
-                "payment_installments": F.greatest("payment_installments", "_installments"),
-                "total_amount": (F.col("total_amount") + F.coalesce("_value", F.lit(0))).cast(MONEY),
-            }
-        )
+        orders.join(known, "order_id", "left")
+        .withColumns({c: F.when(F.col("_paid"), F.col(f"_{own}")).otherwise(F.col(c)) for c, own in new.items()})
         .select(orders.columns)
     )
 
@@ -137,18 +163,17 @@ def orders_rules() -> list[Rule]:
     ]
 
 
-def orders_batch(rows: DataFrame, payments: DataFrame, time: DataFrame) -> DataFrame:
-    """One row per order, with its payments and calendar day.
+def orders_batch(rows: DataFrame, deltas: DataFrame, time: DataFrame) -> DataFrame:
+    """One row per order, with all its stored payments and its calendar day.
 
     Orders and payments are both brought down to one row per order before they meet, so the join
-    sees no hot key. Only payments of the batch's orders are summed.
+    sees no hot key. Only payments of the batch's orders are summed, whenever they came.
     """
     rows = rows.drop(*(f"_raw_{c}" for c in ORDER_DATES))
     one = reduce_batch(
         rows, ["order_id"], ["customer_id", "date_actual", "order_status", "delivery_delay"]
     )
-    marked = marked_payments(payments).where(~any_breach(payments_rules()))
-    paid = payments_rollup(marked.join(rows.select("order_id").distinct(), "order_id", "left_semi"))
+    paid = stored_rollup(deltas.join(rows.select("order_id").distinct(), "order_id", "left_semi"))
     totals = one.join(paid, "order_id", "left").withColumn(
         "total_amount", F.coalesce("payment_value", F.lit(0)).cast(MONEY)
     )

@@ -555,6 +555,9 @@ _QUERIES: dict[str, str] = {
     "incremental_payments": """
         SELECT order_id, CAST(total_amount AS DOUBLE) AS total_amount, payment_installments
         FROM star_orders""",
+    "resent_orders": """
+        SELECT order_id, CAST(total_amount AS DOUBLE) AS total_amount, payment_installments
+        FROM star_orders""",
     "table_profile": _union([_profile(table) for table in _TYPES]),
     "null_counts": _union(
         [

@@ -228,6 +228,30 @@ def incremental_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emit(orders.select("order_id", "total_amount", "payment_installments"))
 
 
+def resent_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after payments and orders have come in several batches and partly again.
+
+    Finished orders are loaded with some payments, also such of other orders; the other payments
+    are added; all orders are sent without any payment, then the finished ones with the first
+    payments once more.
+    """
+    raw = raw_tables(spark, sf_dir)
+    orders, payments = raw["orders"], raw["order_payments"]
+    first = F.col("payment_installments") % 2 == 0
+    early = orders.where(F.col("order_status") == "F")
+    house = Warehouse(spark, f"{shared_folder(spark)}/bazaar-resent/{uuid4().hex}", _RUN_TS)
+
+    def send(orders: DataFrame, payments: DataFrame) -> None:
+        house.load_only({"orders": orders, "order_payments": payments}, ["dim_time", "fact_orders"])
+
+    send(early, payments.where(first))
+    house.add_payments(payments.where(~first), ["later"])
+    send(orders, payments.limit(0))
+    send(early, payments.where(first))
+    found = house.table("fact_orders")
+    return emit(found.select("order_id", "total_amount", "payment_installments"))
+
+
 # Profiles
 
 
@@ -384,6 +408,7 @@ def queries() -> dict[str, Query]:
         "upsert_semantics": upsert_semantics,
         "incremental_upsert": incremental_upsert,
         "incremental_payments": incremental_payments,
+        "resent_orders": resent_orders,
         # Profiles
         "table_profile": table_profile,
         "null_counts": null_counts,

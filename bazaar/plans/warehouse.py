@@ -222,6 +222,50 @@ class Warehouse:
         self.months(table.name).write(merged)
         self._frames.pop(table.name, None)
 
+    # Payments
+
+    @property
+    def _payment_store(self) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.root}/payments")
+
+    def stored_payments(self) -> DataFrame | None:
+        """All payments that any batch brought, also those of orders that are not stored yet.
+
+        Each batch is a folder of its own, and nothing rewrites those before it. What came twice is
+        in two of them: ``facts.stored_rollup`` counts it once.
+        """
+        store = self._payment_store
+        paths = [store.path(v) for v in store.versions()]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def keep_payments(self, payments: DataFrame, name: str = "") -> DataFrame:
+        """Store a batch's good payments and return what it has added."""
+        good = facts.marked_payments(payments).where(~any_breach(facts.payments_rules()))
+        store = self._payment_store
+        version = max(store.versions(), default=0) + 1
+        delta = facts.payments_delta(good, name).withColumn("arrival", F.lit(version))
+        return self.spark.read.parquet(store.write(delta, version))
+
+    def settle(self, paid_orders: DataFrame, names: Sequence[str] = ()) -> DataFrame:
+        """Work out anew the totals of the stored ones of these orders, from all their payments.
+
+        Only the months of those orders are written; their keys are returned.
+        """
+        orders, month = self.table("fact_orders"), TABLES["fact_orders"].partition
+        known = stage(
+            orders.select("order_id", month).join(paid_orders, "order_id", "left_semi"), "paid"
+        )
+        # A few hundred numbers: the months of the orders that were paid.
+        touched = [row[0] for row in known.select(month).distinct().collect()]
+        if touched:
+            paid = facts.stored_rollup(
+                self.stored_payments().join(known.select("order_id"), "order_id", "left_semi")
+            )
+            stored = orders.where(F.col(month).isin(touched))
+            self.months("fact_orders").write(facts.with_totals(stored, paid), names)
+            self._frames.pop("fact_orders", None)
+        return known.select("order_id")
+
     def add_payments(self, payments: DataFrame, names: Sequence[str]) -> None:
         """Add newly arrived payments to the orders they are for.
 
@@ -229,19 +273,19 @@ class Warehouse:
         very commit that adds the payments (``months("fact_orders").loads()``), so that callers
         can leave out what was added before.
 
-        The totals of other orders stay. An order keeps the type of its first payment; payments
-        of orders that are not stored are set apart under ``quarantine/order_payments``.
+        Payments are stored first; totals then follow from all stored payments of the orders that
+        were paid, so a run that fails in between is simply repeated. The totals of other orders
+        stay. An order keeps the type of its first payment; payments of orders that are not stored
+        are noted under ``quarantine/order_payments`` and count once their order is there.
         """
-        months = self.months("fact_orders")
-        orders, month = self.table("fact_orders"), TABLES["fact_orders"].partition
         with staging(self.spark):
             rules = facts.payments_rules()
-            rows = facts.marked_payments(payments)
-            new = stage(facts.payments_rollup(rows.where(~any_breach(rules))), "payments")
-            known = stage(
-                orders.select("order_id", month).join(new, "order_id", "left_semi"), "paid"
-            )
-            apart = bad_rows(rows, rules, "order_payments", ["order_id"]).unionByName(
+            new = self.keep_payments(payments, ",".join(names)).select("order_id").distinct()
+            new = stage(new, "payments")
+            known = self.settle(new, names)
+            apart = bad_rows(
+                facts.marked_payments(payments), rules, "order_payments", ["order_id"]
+            ).unionByName(
                 new.join(known, "order_id", "left_anti").select(
                     F.lit("order_payments").alias("table_name"),
                     F.col("order_id").alias("row_key"),
@@ -251,12 +295,6 @@ class Warehouse:
                 )
             )
             VersionedTable(self.spark, f"{self.root}/quarantine/order_payments").write(apart)
-            # A few hundred numbers: the months of the orders that were paid.
-            touched = [row[0] for row in known.select(month).distinct().collect()]
-            if touched:
-                stored = orders.where(F.col(month).isin(touched))
-                months.write(facts.with_payments(stored, new), names)
-                self._frames.pop("fact_orders", None)
 
     # Precomputed marts
 
@@ -360,13 +398,21 @@ def _load_time(warehouse: Warehouse, raw: Raw) -> None:
 
 def _load_orders(warehouse: Warehouse, raw: Raw) -> None:
     time = warehouse.table("dim_time")
+    stored_before = warehouse.find("fact_orders") is not None
+    new = warehouse.keep_payments(raw["order_payments"])
+    deltas = warehouse.stored_payments()
     warehouse._load(
         "fact_orders",
         facts.orders_rows(raw["orders"]),
         [],
-        lambda good: facts.orders_batch(good, raw["order_payments"], time),
+        lambda good: facts.orders_batch(good, deltas, time),
         notes=facts.orders_rules(),
     )
+    if stored_before:  # payments of the batch may be for orders that it does not have
+        others = new.select("order_id").distinct().join(
+            raw["orders"].select("order_id"), "order_id", "left_anti"
+        )
+        warehouse.settle(others)
     rules = facts.payments_rules()
     bad = bad_rows(
         facts.marked_payments(raw["order_payments"]), rules, "order_payments", ["order_id"]

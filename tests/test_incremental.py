@@ -109,6 +109,43 @@ def test_new_payments_add_to_their_orders_alone(spark, tmp_path):
         ingest_raw_files(house, "order_payments", str(landing), f"{tmp_path}/c", ["fact_orders"])
 
 
+def test_totals_keep_all_payments(spark, tmp_path):
+    """Orders that are sent again, payments that come before their order, twice or in parts."""
+    def frame(table, data):
+        columns = ", ".join(f"{c} string" for c in CONTRACTS[table])
+        return spark.createDataFrame([(*r, i) for i, r in enumerate(data)], f"{columns}, {ROW_ORDER} int")
+
+    def orders(*ids, status="created"):
+        return frame("orders", [(o, "c", status, "2018-01-05", None, None, None, None) for o in ids])
+
+    house = Warehouse(spark, f"{tmp_path}/house", datetime(2024, 1, 1))
+
+    def send(orders, *payments):
+        raw = {"orders": orders, "order_payments": frame("order_payments", payments)}
+        house.load_only(raw, ["dim_time", "fact_orders"])
+        return totals()
+
+    def totals():
+        return {
+            r.order_id: (float(r.total_amount), r.payment_type, r.order_status)
+            for r in house.table("fact_orders").collect()
+        }
+
+    first = ("o1", "boleto", "1", "5.00")
+    assert send(orders("o1"), first) == {"o1": (5.0, "boleto", "created")}
+    house.add_payments(frame("order_payments", [("o1", "voucher", "4", "3.00"), ("o2", "card", "1", "4.00")]), ["b"])
+    assert totals() == {"o1": (8.0, "boleto", "created")}
+    assert send(orders("o1", status="shipped")) == {"o1": (8.0, "boleto", "shipped")}
+    assert send(orders("o1", status="sent"), first) == {"o1": (8.0, "boleto", "sent")}
+    # The order of a payment that came before it; a source read again; equal payments in one batch.
+    assert send(orders("o2"))["o2"] == (4.0, "card", "created")
+    house.add_payments(frame("order_payments", [("o2", "card", "1", "4.00"), ("o1", "voucher", "4", "3.00")]), ["b"])
+    assert totals()["o2"] == (4.0, "card", "created") and totals()["o1"][0] == 8.0
+    assert send(orders("o3"), ("o3", "card", "1", "2.00"), ("o3", "card", "1", "2.00"))["o3"][0] == 4.0
+    # A payment in a load for an order that the load does not have.
+    assert send(orders("o4"), ("o2", "voucher", "1", "1.00"))["o2"] == (5.0, "card", "created")
+
+
 def test_csv_files_are_folded_into_the_warehouse(spark, tmp_path, rows):
     def orders(name: str, *lines: str) -> None:
         folder = tmp_path / "landing"
