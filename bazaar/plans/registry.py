@@ -379,6 +379,16 @@ def queries() -> dict[str, Query]:
             "dim_sellers",
             "dim_geography",
         ),
+        # Mergeable aggregates
+        "distinct_orders_rollup": _star(
+            analysis.distinct_orders_rollup,
+            "fact_orders",
+            "fact_order_items",
+            "dim_sellers",
+            "dim_geography",
+            "dim_time",
+        ),
+        "price_quantiles_approx": _star(analysis.price_quantiles_approx, "fact_order_items"),
         # Warehouse tables
         **{name: _stored(name) for name in TABLES},
         "geography_keys": _star(geography_keys, "dim_geography"),

@@ -196,3 +196,31 @@ def test_box_plot(spark):
     row = box_plot(df, ["v"]).first()
     assert (row.p25, row.p50, row.p75) == (2.0, 4.0, 6.0)
     assert (row.whisker_low, row.whisker_high, row.n_outliers) == (1.0, 7.0, 2)
+
+
+def test_merged_bitmaps_count_each_key_once(spark):
+    from bazaar.operators.mergeable import distinct_keys, key_bitmaps
+
+    # Keys of two ranges, in several groups and repeated; one group has none.
+    rows = [(day, key) for day, keys in ((1, (0, 5, 40_000)), (2, (5, 40_000, 40_001)), (3, (7,))) for key in keys]
+    df = spark.createDataFrame(rows * 3, "day int, key long").repartition(5)
+    bitmaps = key_bitmaps(df, ["day"], "key")
+    by_day = distinct_keys(bitmaps, {"day": F.col("day")}, "n")
+    assert {r.day: r.n for r in by_day.collect()} == {1: 3, 2: 3, 3: 1}
+    odd = distinct_keys(bitmaps, {"odd": F.col("day") % 2}, "n")
+    assert {r.odd: r.n for r in odd.collect()} == {0: 3, 1: 4}
+    assert "distinct" not in odd._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert distinct_keys(key_bitmaps(df.limit(0), ["day"], "key"), {"day": F.col("day")}, "n").count() == 0
+
+
+def test_merged_sketches_keep_their_bound(spark):
+    from bazaar.operators.mergeable import RANK_ERROR, quantile_sketches, sketched_quantiles
+
+    shares = [0.01, 0.5, 0.9]
+    df = spark.range(60_000).select((F.col("id") % 7).alias("month"), F.when(F.col("id") % 11 > 0, F.col("id")).alias("x"))
+    sketches = quantile_sketches(df.repartition(6), ["month"], "x")
+    whole = sketched_quantiles(sketches, [], shares).collect()
+    assert [r.p for r in whole] == shares and {r.n for r in whole} == {df.where("x IS NOT NULL").count()}
+    assert all(abs(r.value / 60_000 - r.p) <= RANK_ERROR for r in whole)
+    assert sketched_quantiles(sketches, ["month"], shares).count() == 21
+    assert sketched_quantiles(quantile_sketches(df.limit(0), ["month"], "x"), ["month"], shares).count() == 0
