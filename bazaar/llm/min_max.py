@@ -39,6 +39,9 @@ ROWS = 6
 # Half of the bands are of smallest images, half of largest ones.
 BANDS = 48
 PERMUTATIONS = BANDS // 2 * ROWS
+# Bits of a parity string for each shingle: altered copies have similarities close below the
+# threshold here, which shorter strings do not tell from those above it.
+PARITY = 8
 # Shingles of a set that are permuted at once.
 CHUNK = 2048
 
@@ -101,7 +104,7 @@ def _signed(width: int, kind: pa.DataType | None = None):
                 pa.array(starts, mask=np.append(~new, False)), pa.array(keys.reshape(-1).view(np.int64))
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes), pa.array(ids), parities(flat, bounds), lists],
+                [batch.column(0), batch.column(1), pa.array(sizes), pa.array(ids), parities(flat, bounds, PARITY), lists],
                 names=["id", "hash", "n", "set", "parity", "keys"],
             )
 

@@ -34,6 +34,7 @@ from bazaar.llm.set_links import (
     parities,
     set_ids,
     shingle_sets,
+    stars_of,
     texts_of,
     unseen,
 )
@@ -292,9 +293,7 @@ def _members(
         "shared",
     )
     sent.destroy()
-    stars = stage(
-        shared.where("set <> pivot").select("pivot", "set", F.lit(1).alias("met")).distinct(), "stars"
-    )
+    stars = stars_of(shared.select("key", "set"))
     discard(shared)
     one = distinct_sets(members)
     names = component_names(one, linked_sets(stars, one, texts, width, percent))

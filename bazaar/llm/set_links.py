@@ -26,8 +26,8 @@ from bazaar.llm.common import byte_data, discard, mix, pieces, stage, text_bytes
 from bazaar.llm.components import components
 
 # Bits of a set's parity string for each of its shingles, before rounding up to a power of two. The
-# more there are, the fewer shingles share a bit and hide a difference.
-PARITY = 8
+# more there are, the fewer shingles share a bit and hide a difference, and the more bytes travel.
+PARITY = 2
 # Bytes of text that a task works on at once: its arrays take some 50 times as much.
 PIECE = 2 << 20
 # Sets that a task remembers to have sent.
@@ -106,12 +106,12 @@ def set_ids(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return ids.view(np.int64)
 
 
-def parities(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
+def parities(flat: np.ndarray, bounds: np.ndarray, each: int = PARITY) -> pa.Array:
     """The parity string of each set as 64-bit words: some bits for each shingle, a power of two
     in all."""
     found = []
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        size = max(64, 1 << int(PARITY * (b - a) - 1).bit_length()) if b > a else 64
+        size = max(64, 1 << int(each * (b - a) - 1).bit_length()) if b > a else 64
         cell = (flat[a:b] & np.uint64(size - 1)).astype(np.int64)
         bits = (np.bincount(cell, minlength=size) & 1).astype(np.uint8)
         found.append(np.packbits(bits, bitorder="little").view("<i8"))
