@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.functions.measures import delay_micros, mean, mean_days
@@ -18,6 +18,17 @@ from bazaar.functions.measures import delay_micros, mean, mean_days
 Star = Mapping[str, DataFrame]
 
 
+def revenue_of_days(star: Star, per_day: DataFrame, columns: list[str]) -> DataFrame:
+    """Revenue per group of calendar columns, from ``n``, ``total`` and ``n_amounts`` of days."""
+    days = star["dim_time"].select("date_id", *columns)
+    measures = per_day.join(days, "date_id").groupBy(*columns).agg(
+        F.sum("n").alias("number_of_orders"),
+        F.sum("total").alias("total_revenue"),
+        mean(F.sum("total"), F.sum("n_amounts")).alias("average_order_value"),
+    )
+    return measures.select(*columns, "number_of_orders", "total_revenue", "average_order_value")
+
+
 def revenue_by_time(star: Star, columns: list[str], trust_keys: bool = True) -> DataFrame:
     """Orders, revenue and mean order value per group of calendar columns."""
     orders = star["fact_orders"].where(F.col("date_id").isNotNull())
@@ -28,12 +39,7 @@ def revenue_by_time(star: Star, columns: list[str], trust_keys: bool = True) ->
             F.sum("total_amount").alias("total"),
             F.count("total_amount").alias("n_amounts"),
         )
-        groups = per_day.join(days, "date_id").groupBy(*columns)
-        measures = groups.agg(
-            F.sum("n").alias("number_of_orders"),
-            F.sum("total").alias("total_revenue"),
-            mean(F.sum("total"), F.sum("n_amounts")).alias("average_order_value"),
-        )
+        return revenue_of_days(star, per_day, columns)
     else:
         measures = (
             orders.join(days, "date_id")
@@ -56,6 +62,28 @@ def monthly_revenue(star: Star, trust_keys: bool = True) -> DataFrame:
     return revenue_by_time(star, ["year", "month"], trust_keys).orderBy("year", "month")
 
 
+def regions_of_customers(star: Star, per_customer: DataFrame) -> DataFrame:
+    """Orders, customers and revenue per region, from ``n`` and ``total`` of each customer."""
+    customers = star["dim_customers"].select("customer_id", "geography_id")
+    places = star["dim_geography"].select("geography_id", "state", "city")
+    return (
+        per_customer.join(customers, "customer_id")
+        .groupBy("geography_id")
+        .agg(
+            F.sum("n").alias("n"),
+            F.count("*").alias("n_customers"),
+            F.sum("total").alias("total"),
+        )
+        .join(places, "geography_id")
+        .groupBy("state", "city")
+        .agg(
+            F.sum("n").alias("number_of_orders"),
+            F.sum("n_customers").alias("number_of_customers"),
+            F.sum("total").alias("total_revenue"),
+        )
+    )
+
+
 def orders_by_region(star: Star, trust_keys: bool = True) -> DataFrame:
     """Orders, customers with an order, and revenue per state and city."""
     orders = star["fact_orders"]
@@ -66,22 +94,7 @@ def orders_by_region(star: Star, trust_keys: bool = True) -> DataFrame:
         per_customer = orders.groupBy("customer_id").agg(
             F.count("order_id").alias("n"), F.sum("total_amount").alias("total")
         )
-        regions = (
-            per_customer.join(customers, "customer_id")
-            .groupBy("geography_id")
-            .agg(
-                F.sum("n").alias("n"),
-                F.count("*").alias("n_customers"),
-                F.sum("total").alias("total"),
-            )
-            .join(places, "geography_id")
-            .groupBy("state", "city")
-            .agg(
-                F.sum("n").alias("number_of_orders"),
-                F.sum("n_customers").alias("number_of_customers"),
-                F.sum("total").alias("total_revenue"),
-            )
-        )
+        regions = regions_of_customers(star, per_customer)
     else:
         regions = (
             orders.join(customers, "customer_id")
@@ -114,25 +127,27 @@ def seller_performance(star: Star) -> DataFrame:
     """
     known = star["dim_products"].select("product_id")
     items = star["fact_order_items"].join(known, "product_id", "left_semi")
-    products = (
-        items.groupBy("seller_id", "product_id")
-        .agg(
-            F.sum("price").alias("price"),
-            F.count("price").alias("n_prices"),
-            F.sum("freight_value").alias("freight"),
-        )
-        .groupBy("seller_id")
-        .agg(
-            F.count("product_id").alias("unique_products_sold"),
-            F.sum("price").alias("total_revenue"),
-            mean(F.sum("price"), F.sum("n_prices")).alias("average_order_value"),
-            F.sum("freight").alias("total_freight_value"),
-        )
+    products = items.groupBy("seller_id", "product_id").agg(
+        F.sum("price").alias("price"),
+        F.count("price").alias("n_prices"),
+        F.sum("freight_value").alias("freight"),
     )
     orders = (
         items.select("seller_id", "order_id").distinct()
         .groupBy("seller_id").agg(F.count("order_id").alias("total_orders"))
     )
+    return performance_of_sellers(star, products, orders)
+
+
+def performance_of_sellers(star: Star, products: DataFrame, orders: DataFrame) -> DataFrame:
+    """Measures of sellers, from ``price``, ``n_prices`` and ``freight`` of each seller and
+    product, and ``total_orders`` of each seller."""
+    products = products.groupBy("seller_id").agg(
+        F.count("product_id").alias("unique_products_sold"),
+        F.sum("price").alias("total_revenue"),
+        mean(F.sum("price"), F.sum("n_prices")).alias("average_order_value"),
+        F.sum("freight").alias("total_freight_value"),
+    )
     return (
         seller_places(star).join(products, "seller_id").join(orders, "seller_id")
         .select(
@@ -154,25 +169,34 @@ def delivery_performance(star: Star) -> DataFrame:
 
     Orders are summed by customer and day first; the joins see no single order.
     """
+    delayed = star["fact_orders"].where(F.col("delivery_delay").isNotNull())
+    per_day = delayed.groupBy("customer_id", "date_id").agg(*delay_measures())
+    return delays_of_customers(
+        star, per_day.join(star["dim_time"].select("date_id", "year", "month"), "date_id")
+    )
+
+
+def delay_measures() -> list[Column]:
+    """Sum, number, least, most and number over a week of the delays of a group."""
     delay = F.col("delivery_delay")
+    return [
+        F.sum(delay_micros(delay)).alias("micros"),
+        F.count(delay).alias("n_delays"),
+        F.min(delay).alias("least"),
+        F.max(delay).alias("most"),
+        F.count_if(delay > 7).alias("late"),
+    ]
+
+
+def delays_of_customers(star: Star, delays: DataFrame) -> DataFrame:
+    """Delays per month and state, from the ``delay_measures`` of customers' days or months."""
     customers = star["dim_customers"].select("customer_id", "geography_id")
     return (
-        star["fact_orders"]
-        .where(delay.isNotNull())
-        .groupBy("customer_id", "date_id")
-        .agg(
-            F.sum(delay_micros(delay)).alias("micros"),
-            F.count(delay).alias("n"),
-            F.min(delay).alias("least"),
-            F.max(delay).alias("most"),
-            F.count_if(delay > 7).alias("late"),
-        )
-        .join(star["dim_time"].select("date_id", "year", "month"), "date_id")
-        .join(customers, "customer_id")
+        delays.join(customers, "customer_id")
         .join(star["dim_geography"].select("geography_id", "state"), "geography_id")
         .groupBy("year", "month", "state")
         .agg(
-            mean_days(F.sum("micros"), F.sum("n")).alias("avg_delivery_days"),
+            mean_days(F.sum("micros"), F.sum("n_delays")).alias("avg_delivery_days"),
             F.min("least").alias("min_delivery_days"),
             F.max("most").alias("max_delivery_days"),
             F.sum("late").alias("deliveries_over_week"),

@@ -772,5 +772,49 @@ def _with_parts(sql: str) -> str:
     return f"WITH {parts} {body}"
 
 
+def _melted(mart: str, keys: list[str], measures: list[str]) -> str:
+    """A mart with a row for each measure."""
+    key = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    return _union(
+        f"""
+        SELECT '{mart}' AS mart, concat_ws('|', {key}) AS group_key, '{m}' AS measure,
+               CAST({m} AS DOUBLE) AS value FROM ({_QUERIES[mart]})"""
+        for m in measures
+    )
+
+
+_QUERIES["refreshed_marts"] = _union(
+    [
+        _melted("daily_revenue", ["date_actual"], ["number_of_orders", "total_revenue"]),
+        _melted(
+            "monthly_revenue",
+            ["year", "month"],
+            ["number_of_orders", "total_revenue", "average_order_value"],
+        ),
+        _melted(
+            "orders_by_region",
+            ["state", "city"],
+            ["number_of_orders", "number_of_customers", "total_revenue"],
+        ),
+        _melted(
+            "seller_performance",
+            ["seller_id", "seller_state", "seller_city"],
+            [
+                "total_orders",
+                "unique_products_sold",
+                "total_revenue",
+                "average_order_value",
+                "total_freight_value",
+            ],
+        ),
+        _melted(
+            "delivery_performance",
+            ["year", "month", "state"],
+            ["avg_delivery_days", "min_delivery_days", "max_delivery_days", "deliveries_over_week"],
+        ),
+    ]
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _with_parts(sql) for name, sql in _QUERIES.items()}

@@ -20,7 +20,7 @@ from bazaar.operators.quality import (
 )
 from bazaar.operators.upsert import reduce_batch, upsert
 from bazaar.plans import dimensions as dims
-from bazaar.plans import facts
+from bazaar.plans import facts, partials
 from bazaar.plans.marts import MARTS
 from bazaar.schemas import CONTRACTS, ROW_ORDER, TABLES, Table
 from bazaar.sources.storage import PartitionedTable, VersionedTable, stage, staging
@@ -115,6 +115,13 @@ class Warehouse:
         """The rows that the table's last load with bad rows kept out."""
         return VersionedTable(self.spark, f"{self.root}/quarantine/{name}").read()
 
+    def set_apart(self, rows: DataFrame, name: str) -> int:
+        """Keep rows under ``quarantine/<name>``, if there are any, and return their number."""
+        if rows.isEmpty():
+            return 0
+        store = VersionedTable(self.spark, f"{self.root}/quarantine/{name}")
+        return self.spark.read.parquet(store.write(rows)).count()
+
     # Loading
 
     def load(
@@ -299,10 +306,12 @@ class Warehouse:
     # Precomputed marts
 
     def refresh_marts(self, names: Sequence[str] = tuple(MARTS)) -> None:
-        """Write the marts as tables of their own."""
+        """Write the marts as tables of their own; of the facts, only months that have changed
+        since the last refresh are read."""
         star = self.star()
         for name in names:
-            VersionedTable(self.spark, f"{self.root}/marts/{name}").write(MARTS[name](star))
+            mart = partials.REFRESHED[name](self, star)
+            VersionedTable(self.spark, f"{self.root}/marts/{name}").write(mart)
 
     def mart(self, name: str) -> DataFrame:
         frame = VersionedTable(self.spark, f"{self.root}/marts/{name}").read()
@@ -319,6 +328,7 @@ class Warehouse:
         for table in TABLES.values():
             if table.partition:
                 self.months(table.name).expire(keep)
+        partials.expire(self, keep)
 
 
 def _conform(batch: DataFrame, table: Table) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -153,8 +153,9 @@ class PartitionedTable:
         names = listed.select(F.explode("loads").alias("load")).distinct()
         return {row.load for row in names.collect()}
 
-    def read(self) -> DataFrame | None:
-        folders = self.folders()
+    def read(self, folders: Mapping[int, str] | None = None) -> DataFrame | None:
+        """The current rows, or those of some values, given with the folders to read."""
+        folders = self.folders() if folders is None else folders
         if not folders:
             return None
         paths = [f"{self.root}/{folder}" for folder in sorted(folders.values())]

@@ -12,7 +12,7 @@ from bazaar.functions.cleaning import null_missing_tokens
 from bazaar.operators.upsert import reduce_batch, upsert
 from bazaar.plans.warehouse import SOURCE_OF, Warehouse
 from bazaar.schemas import CONTRACTS, ROW_ORDER
-from bazaar.sources.files import file_order
+from bazaar.sources.files import BROKEN, file_order, is_whole, lines_apart
 from bazaar.sources.storage import VersionedTable
 
 
@@ -93,19 +93,34 @@ def ingest_raw_files(
         raise ValueError(f"{', '.join(others_made)} cannot be made of {source} alone")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        raw = {**(others or {}), source: null_missing_tokens(file_order(batch))}
+        whole = _whole_lines(warehouse, batch, source)
+        raw = {**(others or {}), source: null_missing_tokens(file_order(whole).drop("_metadata"))}
         warehouse.load_only(raw, tables, require_non_empty=False)
 
     run_to_end(_csv_stream(warehouse, source, landing, **options), apply, checkpoint)
 
 
 def _csv_stream(warehouse: Warehouse, source: str, landing: str, **options: str) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in CONTRACTS[source]])
-    csv = {"header": "true", "enforceSchema": "false", "escape": '"', **options}
+    columns = [*CONTRACTS[source], BROKEN]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    csv = {
+        "header": "true",
+        "enforceSchema": "false",
+        "escape": '"',
+        "columnNameOfCorruptRecord": BROKEN,
+        "columnPruning": "false",
+        **options,
+    }
     stream = read_stream(warehouse.spark, landing, schema, "csv", **csv)
     return stream.select("*", "_metadata")
 
 
+def _whole_lines(warehouse: Warehouse, batch: DataFrame, source: str) -> DataFrame:
+    """A batch without its broken lines, which are kept under ``quarantine/lines``."""
+    warehouse.set_apart(lines_apart(batch, source), "lines")
+    return batch.where(is_whole(batch.columns)).drop(BROKEN)
+
+
 def ingest_payments(warehouse: Warehouse, landing: str, checkpoint: str, **options: str) -> None:
     """Add the payments in new CSV files to the stored orders, each file once.
 
@@ -118,7 +133,8 @@ def ingest_payments(warehouse: Warehouse, landing: str, checkpoint: str, **optio
         files = {row[0] for row in batch.select(path).distinct().collect()}
         new = sorted(files - warehouse.months("fact_orders").loads())
         if new:
-            rows = null_missing_tokens(file_order(batch.where(path.isin(new))))
-            warehouse.add_payments(rows.drop("_metadata"), new)
+            whole = _whole_lines(warehouse, batch.where(path.isin(new)), "order_payments")
+            rows = null_missing_tokens(file_order(whole).drop("_metadata"))
+            warehouse.add_payments(rows, new)
 
     run_to_end(_csv_stream(warehouse, "order_payments", landing, **options), apply, checkpoint)

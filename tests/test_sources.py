@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from bazaar.plans.dimensions import translated_products
 from bazaar.schemas import CONTRACTS, ROW_ORDER
 from bazaar.sources.contracts import missing_columns, require_schema, validate_schema
-from bazaar.sources.files import extract, read_csv
+from bazaar.sources.files import broken_lines, extract, parse_csv, read_csv
 from bazaar.sources.storage import VersionedTable, shared_folder, stage
 
 
@@ -27,6 +27,21 @@ def test_csv_with_bom_crlf_quotes_and_missing_values(spark, tmp_path):
     assert got == [("01151", 'a, "b" ', None), ("2", None, None), ("3", "x", "7")]
 
 
+def test_broken_lines_are_set_apart(spark, tmp_path):
+    text = 'a,b\n1,2\n3,4,5\n6\n"7,8\n9,"x,y"\n'
+    path = write(tmp_path / "lines.csv", text)
+    df = read_csv(spark, path)
+    assert [tuple(r)[:2] for r in df.orderBy(ROW_ORDER).collect()] == [("1", "2"), ("9", "x,y")]
+    assert df.count() == 2 and not df.isEmpty()
+    assert [r.b for r in df.select("b").collect()] == ["2", "x,y"]
+    assert parse_csv(spark, path).columns == ["a", "b", "_broken_line"]
+    for table, columns in CONTRACTS.items():
+        write(tmp_path / f"{table}.csv", ",".join(columns) + "\n" + ("1\n" if table == "orders" else ""))
+    files = {table: f"{table}.csv" for table in CONTRACTS}
+    apart = broken_lines(spark, str(tmp_path), files).collect()
+    assert [(r.table_name, r.path.split("/")[-1], r.line) for r in apart] == [("orders", "orders.csv", "1")]
+
+
 def test_row_order_is_file_order_across_splits(spark, tmp_path):
     path = write(tmp_path / "n.csv", "n\n" + "\n".join(f"{i:06d}" for i in range(20_000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
