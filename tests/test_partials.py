@@ -87,7 +87,7 @@ def test_marts_follow_loads_and_read_changed_months_alone(spark, tmp_path, rows)
 
     # The longest delay of a month goes: its minima and maxima are made anew.
     send(house, [order("o1", "c1", "2018-01-05", "2018-01-06")], [])
-    assert partials.refresh(house, "days") == [201801]
+    assert partials.refresh(house, "customers") == [201801]
 
     # A product that was unknown: only the month that has its items is made again.
     raw = {
