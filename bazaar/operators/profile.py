@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaar.functions.cleaning import clean_numbers
@@ -162,31 +162,55 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     )
 
 
-def grid(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
-    """Counts over a grid of equal cells, in place of a scatter plot's points.
-
-    Text counts as the number that it is; rows without two numbers are dropped.
-    """
-    df = clean_numbers(df.select(x, y), [x, y])
-    bounds = {
-        side: _range(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()), column, side)
-        for side, column in (("x", x), ("y", y))
-    }
+def _in_cells(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
+    """The rows with two numbers, each with its cell in a grid over all of them."""
+    df = clean_numbers(df, [x, y])
+    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    bounds = {side: _range(both, column, side) for side, column in (("x", x), ("y", y))}
 
     def axis(side: str, column: str) -> Column:
         low = bounds[side].select(f"{side}_low").scalar()
         high = bounds[side].select(f"{side}_high").scalar()
         return _axis(F.col(column).cast("double"), low, high, bins)
 
+    return both.select("*", axis("x", x).alias("x_bin"), axis("y", y).alias("y_bin"))
+
+
+def grid(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
+    """Counts over a grid of equal cells, in place of a scatter plot's points.
+
+    Text counts as the number that it is; rows without two numbers are dropped.
+    """
     return (
-        df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-        .select(axis("x", x).alias("x_bin"), axis("y", y).alias("y_bin"))
+        _in_cells(df.select(x, y), x, y, bins)
         .groupBy("x_bin", "y_bin")
         .agg(F.count("*").alias("n"))
         .orderBy("x_bin", "y_bin")
     )
 
 
+def grid_sample(
+    df: DataFrame, x: str, y: str, keys: Sequence[str], n: int = 20, bins: int = 20, seed: int = 0
+) -> DataFrame:
+    """A scatter plot's points, thinned: of each cell of a grid the ``n`` rows whose keys have the
+    least hash under the seed, or all if there are fewer.
+
+    The hash sees keys alone, so the sample is the same for any partitioning, and that of a union
+    is the sample of its parts' samples. Each task keeps ``n`` rows of a cell before the shuffle
+    (the planner does so up to its ``windowGroupLimitThreshold`` of 1,000), so a cell with a third
+    of all rows costs no more than ``n`` for each task. Rows under one key are ordered by their numbers.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    order = Window.partitionBy("x_bin", "y_bin").orderBy("_hash", *keys, x, y)
+    return (
+        _in_cells(df.select(*keys, x, y), x, y, bins)
+        .withColumn("_hash", F.md5(text))
+        .withColumn("_place", F.row_number().over(order))
+        .where(F.col("_place") <= n)
+        .drop("_hash", "_place")
+    )
+
+
 def monthly_counts(df: DataFrame, ts: str) -> DataFrame:
     """Rows per calendar month, labelled by its last day, with 0 for months without rows."""
     counts = (

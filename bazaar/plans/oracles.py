@@ -227,6 +227,18 @@ def _grid(source: str, x: str, y: str, bins: int = 20) -> str:
         FROM grid_values, grid_bounds GROUP BY 1, 2 ORDER BY 1, 2"""
 
 
+def _grid_sample(source: str, x: str, y: str, key: str, n: int, bins: int = 20) -> str:
+    return f"""
+        WITH grid_values AS (SELECT {key}, CAST({x} AS DOUBLE) AS {x}, CAST({y} AS DOUBLE) AS {y}
+                             FROM {source} WHERE {x} IS NOT NULL AND {y} IS NOT NULL),
+             grid_bounds AS (SELECT min({x}) AS xl, max({x}) AS xh, min({y}) AS yl, max({y}) AS yh
+                             FROM grid_values),
+             cells AS (SELECT {key}, {x}, {y}, {_bin(x, 'xl', 'xh', bins)} AS x_bin,
+                              {_bin(y, 'yl', 'yh', bins)} AS y_bin FROM grid_values, grid_bounds)
+        SELECT * FROM cells QUALIFY row_number() OVER (
+            PARTITION BY x_bin, y_bin ORDER BY md5('0|' || {key}), {key}, {x}, {y}) <= {n}"""
+
+
 def _box(column: str) -> str:
     return f"""
         SELECT '{column}' AS column_name, max(n) AS n,
@@ -656,6 +668,7 @@ _QUERIES: dict[str, str] = {
     "weight_histogram": _histogram("raw_products", "product_weight_g"),
     "payment_histogram": _histogram("raw_payments", "payment_value"),
     "volume_weight_grid": _grid("dense", "volume", "product_weight_g"),
+    "scatter_sample": _grid_sample("dense", "volume", "product_weight_g", "product_id", 5),
     "installments_value_grid": _grid("raw_payments", "payment_installments", "payment_value"),
     "product_boxplot": _union(
         [_box(c) for c in ("product_length_cm", "product_height_cm", "product_width_cm")]

@@ -516,6 +516,12 @@ def queries() -> dict[str, Query]:
             ),
             "products",
         ),
+        "scatter_sample": _raw(
+            lambda products: profile.grid_sample(
+                dimensions.product_density(products), "volume", "product_weight_g", ["product_id"], 5
+            ),
+            "products",
+        ),
         "installments_value_grid": _raw(
             lambda payments: profile.grid(payments, "payment_installments", "payment_value"),
             "order_payments",

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 from datetime import date, datetime
 
 import numpy as np
@@ -64,6 +65,31 @@ def test_grid_equals_numpy(spark):
     assert got == {(i, j): n for (i, j), n in np.ndenumerate(counts) if n}
 
 
+def test_sample_of_a_grid_is_the_least_hashes_of_each_cell(spark):
+    points = [(str(i), float(i % 7), float(i % 3)) for i in range(500)]
+    points += [("hot" + str(i), 0.0, 0.0) for i in range(400)]
+    schema = "k string, x double, y double"
+    df = spark.createDataFrame([*points, ("n", None, 1.0), ("m", 1.0, None)], schema)
+    cells = {}
+    for key, x, y in points:
+        rank = hashlib.md5(f"3|{key}".encode()).hexdigest()
+        cells.setdefault((min(int(x / 6 * 4), 3), min(int(y / 2 * 4), 3)), []).append((rank, key))
+    want = {key for cell in cells.values() for _, key in sorted(cell)[:9]}
+    for parts in (1, 7):
+        sample = profile.grid_sample(df.repartition(parts), "x", "y", ["k"], 9, 4, 3)
+        assert {r.k for r in sample.collect()} == want
+    other = profile.grid_sample(df, "x", "y", ["k"], 9, 4, 4)
+    assert {r.k for r in other.collect()} != want
+    assert profile.grid_sample(df.limit(0), "x", "y", ["k"]).isEmpty()
+
+
+def test_sample_keeps_few_rows_of_a_cell_before_the_shuffle(spark):
+    df = spark.range(1000).selectExpr("id", "double(id) AS x", "double(id) AS y")
+    sample = profile.grid_sample(df, "x", "y", ["id"], 5)
+    text = sample._jdf.queryExecution().executedPlan().toString()
+    assert text.index("Exchange hashpartitioning(x_bin") < text.rindex("WindowGroupLimit")
+
+
 def test_months_without_rows_are_zero(spark):
     at = [datetime(2024, 1, 31, 23), datetime(2024, 1, 2), datetime(2024, 3, 1), None]
     df = spark.createDataFrame([(t,) for t in at], "t timestamp_ntz")
