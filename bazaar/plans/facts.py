@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -197,17 +197,18 @@ def items_rules() -> list[Rule]:
     return _not_numbers(ITEM_MONEY)
 
 
-def items_batch(rows: DataFrame, orders: DataFrame) -> DataFrame:
+def items_batch(rows: DataFrame, orders: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """One row per item, laid out by the month its order was bought in.
 
     The month is that of the stored order, which no update changes; 0 if the order is unknown.
-    Stored orders are first brought down to the batch's by a semi join, whose other side is as
-    large as the batch.
+    ``orders`` gives the part of the stored orders that may hold some; it is first brought down to
+    the batch's by a semi join, whose other side is as large as the batch.
     """
     rows = rows.drop(*(f"_raw_{c}" for c in ITEM_MONEY))
     one = one_per_key(rows, ["order_id", "order_item_id"], ["price", "freight_value"])
     wanted = stage(rows.select("order_id").distinct(), "item-orders")
-    months = orders.select("order_id", "purchase_month").join(wanted, "order_id", "left_semi")
+    stored = orders(wanted).select("order_id", "purchase_month")
+    months = stored.join(wanted, "order_id", "left_semi")
     return one.join(months, "order_id", "left").withColumn(
         "purchase_month", F.coalesce("purchase_month", F.lit(0))
     )

@@ -6,9 +6,11 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaar.operators.positions import assign_keys
 from bazaar.operators.quality import (
@@ -112,8 +114,8 @@ class Warehouse:
         return {name: self.table(name) for name in TABLES if self.find(name) is not None}
 
     def quarantine(self, name: str) -> DataFrame | None:
-        """The rows that the table's last load with bad rows kept out."""
-        return VersionedTable(self.spark, f"{self.root}/quarantine/{name}").read()
+        """The rows that loads of the table kept out; one that is repeated notes them again."""
+        return VersionedTable(self.spark, f"{self.root}/quarantine/{name}").read_all()
 
     def set_apart(self, rows: DataFrame, name: str) -> int:
         """Keep rows under ``quarantine/<name>``, if there are any, and return their number."""
@@ -216,19 +218,77 @@ class Warehouse:
         month = table.partition
         target = self.find(table.name)
         merged = _conform(batch, table)
-        if target is not None:
-            batch = stage(merged, table.name)
+        months = self.months(table.name)
+        if target is None:
+            put = months.put(merged)
+            new = months.read(put)
+        else:
+            new = batch = stage(merged, table.name)
             # A stored key keeps its month, so the months to rewrite are those of the batch and
-            # those where its keys are stored: at most a few hundred numbers.
-            stored = target.select(*table.key, month).join(
-                batch.select(*table.key), list(table.key), "left_semi"
-            )
-            touched = stored.select(month).union(batch.select(month)).distinct()
-            months = [row[0] for row in touched.collect()]
-            merged = upsert(target.where(F.col(month).isin(months)), batch, table.key, table.update)
-        self.months(table.name).write(merged)
+            # those where its orders are stored: at most a few hundred numbers.
+            touched = {row[0] for row in batch.select(month).distinct().collect()}
+            touched |= self.months_of(table.name, batch)
+            stored = target.where(F.col(month).isin(sorted(touched)))
+            put = months.put(upsert(stored, batch, table.key, table.update))
+        if new is not None:
+            self._keep_places(table.name, new)
+        months.commit(put)
         self._frames.pop(table.name, None)
 
+    # Where orders are stored
+
+    def places(self, name: str) -> PartitionedTable:
+        """The months that hold rows of each order, by the order's hash.
+
+        Places are committed before the rows, so they name all months that hold an order, and more
+        only after a load that failed in between.
+        """
+        return PartitionedTable(self.spark, f"{self.path(name)}_places", PLACES, "bucket")
+
+    def months_of(self, name: str, orders: DataFrame) -> set[int]:
+        """The months of a fact that may hold rows of these orders.
+
+        Only the buckets of these orders are read, so a small batch reads little of the places.
+        """
+        places = self.places(name)
+        folders = places.folders()
+        if not folders:
+            return set(self.months(name).folders())
+        stored = places.read(_some(folders, _buckets(orders)))
+        if stored is None:
+            return set()
+        here = stored.join(orders.select("order_id"), "order_id", "left_semi")
+        return {row[0] for row in here.select("purchase_month").distinct().collect()}
+
+    def rows_of(self, name: str, orders: DataFrame) -> DataFrame:
+        """The rows of a fact in the months that may hold rows of these orders."""
+        months = self.months(name)
+        rows = months.read(_some(months.folders(), self.months_of(name, orders)))
+        return self.table(name).limit(0) if rows is None else rows
+
+    def _keep_places(self, name: str, rows: DataFrame) -> None:
+        """Add the places of rows that are about to be committed."""
+        places = self.places(name)
+        folders = places.folders()
+        before = self.find(name)
+        if not folders and before is not None:  # a fact that was stored without its places
+            rows = rows.select("order_id", "purchase_month").union(
+                before.select("order_id", "purchase_month")
+            )
+        new = rows.select("order_id", "purchase_month").distinct().select("*", _bucket())
+        if folders:
+            stored = places.read(_some(folders, _buckets(rows)))
+            if stored is not None:
+                known = stored.select("order_id", "purchase_month")
+                new = new.join(known, ["order_id", "purchase_month"], "left_anti")
+            new = stage(new, "places")
+            touched = places.read(_some(folders, _buckets(new)))
+            if touched is not None:
+                new = new.select(PLACES.names).union(touched.select(PLACES.names))
+            elif new.isEmpty():
+                return
+        places.write(new.select(PLACES.names))
+
     # Payments
 
     @property
@@ -241,9 +301,7 @@ class Warehouse:
         Each batch is a folder of its own, and nothing rewrites those before it. What came twice is
         in two of them: ``facts.stored_rollup`` counts it once.
         """
-        store = self._payment_store
-        paths = [store.path(v) for v in store.versions()]
-        return self.spark.read.parquet(*paths) if paths else None
+        return self._payment_store.read_all()
 
     def keep_payments(self, payments: DataFrame, name: str = "") -> DataFrame:
         """Store a batch's good payments and return what it has added."""
@@ -253,12 +311,13 @@ class Warehouse:
         delta = facts.payments_delta(good, name).withColumn("arrival", F.lit(version))
         return self.spark.read.parquet(store.write(delta, version))
 
-    def settle(self, paid_orders: DataFrame, names: Sequence[str] = ()) -> DataFrame:
+    def settle(self, paid_orders: DataFrame) -> DataFrame:
         """Work out anew the totals of the stored ones of these orders, from all their payments.
 
         Only the months of those orders are written; their keys are returned.
         """
-        orders, month = self.table("fact_orders"), TABLES["fact_orders"].partition
+        month = TABLES["fact_orders"].partition
+        orders = self.rows_of("fact_orders", paid_orders)
         known = stage(
             orders.select("order_id", month).join(paid_orders, "order_id", "left_semi"), "paid"
         )
@@ -269,16 +328,15 @@ class Warehouse:
                 self.stored_payments().join(known.select("order_id"), "order_id", "left_semi")
             )
             stored = orders.where(F.col(month).isin(touched))
-            self.months("fact_orders").write(facts.with_totals(stored, paid), names)
+            self.months("fact_orders").write(facts.with_totals(stored, paid))
             self._frames.pop("fact_orders", None)
         return known.select("order_id")
 
-    def add_payments(self, payments: DataFrame, names: Sequence[str]) -> None:
+    def add_payments(self, payments: DataFrame, names: Sequence[str] = ()) -> None:
         """Add newly arrived payments to the orders they are for.
 
-        ``names`` says where they come from, such as files; the table keeps the names with the
-        very commit that adds the payments (``months("fact_orders").loads()``), so that callers
-        can leave out what was added before.
+        ``names`` says where rows come from that do not name a file themselves: rows of a source
+        that were added before add nothing.
 
         Payments are stored first; totals then follow from all stored payments of the orders that
         were paid, so a run that fails in between is simply repeated. The totals of other orders
@@ -289,7 +347,7 @@ class Warehouse:
             rules = facts.payments_rules()
             new = self.keep_payments(payments, ",".join(names)).select("order_id").distinct()
             new = stage(new, "payments")
-            known = self.settle(new, names)
+            known = self.settle(new)
             apart = bad_rows(
                 facts.marked_payments(payments), rules, "order_payments", ["order_id"]
             ).unionByName(
@@ -328,9 +386,34 @@ class Warehouse:
         for table in TABLES.values():
             if table.partition:
                 self.months(table.name).expire(keep)
+                self.places(table.name).expire(keep)
         partials.expire(self, keep)
 
 
+# Orders are told apart by hash into so many folders; fixed once places are stored.
+KEY_BUCKETS = 128
+PLACES = T.StructType(
+    [
+        T.StructField("order_id", T.StringType()),
+        T.StructField("purchase_month", T.IntegerType()),
+        T.StructField("bucket", T.IntegerType()),
+    ]
+)
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("order_id"), F.lit(KEY_BUCKETS)).cast("int").alias("bucket")
+
+
+def _buckets(orders: DataFrame) -> set[int]:
+    """The buckets that hold these orders, at most ``KEY_BUCKETS`` numbers."""
+    return {row[0] for row in orders.select(_bucket()).distinct().collect()}
+
+
+def _some(folders: Mapping[int, str], values: set[int]) -> dict[int, str]:
+    return {value: folder for value, folder in folders.items() if value in values}
+
+
 def _conform(batch: DataFrame, table: Table) -> DataFrame:
     return batch.select([F.col(f.name).cast(f.dataType) for f in table.schema.fields])
 
@@ -422,7 +505,7 @@ def _load_orders(warehouse: Warehouse, raw: Raw) -> None:
         others = new.select("order_id").distinct().join(
             raw["orders"].select("order_id"), "order_id", "left_anti"
         )
-        warehouse.settle(others)
+        warehouse.settle(stage(others, "others"))
     rules = facts.payments_rules()
     bad = bad_rows(
         facts.marked_payments(raw["order_payments"]), rules, "order_payments", ["order_id"]
@@ -432,12 +515,12 @@ def _load_orders(warehouse: Warehouse, raw: Raw) -> None:
 
 
 def _load_items(warehouse: Warehouse, raw: Raw) -> None:
-    orders = warehouse.table("fact_orders")
+    warehouse.table("fact_orders")  # raises if there is none
     warehouse._load(
         "fact_order_items",
         facts.items_rows(raw["order_items"]),
         facts.items_rules(),
-        lambda good: facts.items_batch(good, orders),
+        lambda good: facts.items_batch(good, partial(warehouse.rows_of, "fact_orders")),
     )
 
 

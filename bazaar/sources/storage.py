@@ -5,12 +5,11 @@ from __future__ import annotations
 import logging
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
@@ -113,6 +112,12 @@ class VersionedTable:
         reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
         return reader.parquet(self.path(versions[-1]))
 
+    def read_all(self) -> DataFrame | None:
+        """The rows of all versions, for tables whose versions add to one another."""
+        paths = [self.path(v) for v in self.versions()]
+        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        return reader.parquet(*paths) if paths else None
+
     def write(self, df: DataFrame, version: int | None = None) -> str:
         """Commit the frame as a version, by default the next one, and return its folder."""
         if version is None:
@@ -145,14 +150,6 @@ class PartitionedTable:
         listed = self._lists.read()
         return {} if listed is None else {row.value: row.folder for row in listed.collect()}
 
-    def loads(self) -> set[str]:
-        """Names of what ``write`` was told to be in the table."""
-        listed = self._lists.read()
-        if listed is None:
-            return set()
-        names = listed.select(F.explode("loads").alias("load")).distinct()
-        return {row.load for row in names.collect()}
-
     def read(self, folders: Mapping[int, str] | None = None) -> DataFrame | None:
         """The current rows, or those of some values, given with the folders to read."""
         folders = self.folders() if folders is None else folders
@@ -162,11 +159,12 @@ class PartitionedTable:
         rows = self.spark.read.schema(self.schema).option("basePath", self.root).parquet(*paths)
         return rows.select(*self.schema.names)
 
-    def write(self, df: DataFrame, loads: Iterable[str] = ()) -> None:
-        """Replace the folders of all values in ``df``, which holds their rows in full.
+    def write(self, df: DataFrame) -> None:
+        """Replace the folders of all values in ``df``, which holds their rows in full."""
+        self.commit(self.put(df))
 
-        ``loads`` names what has gone into them, for callers that must not add it twice.
-        """
+    def put(self, df: DataFrame) -> dict[int, str]:
+        """Write the values' folders, which count only once they are committed."""
         data = f"data={uuid.uuid4().hex}"
         # Rebalancing gives each value files of a good size, also one with very many rows.
         (
@@ -176,14 +174,14 @@ class PartitionedTable:
         )
         files = _file_system(self.spark, self.root)
         written = files.globStatus(_path(self.spark, f"{self.root}/{data}/{self.column}=*"))
-        folders = self.folders()
-        for status in written or []:
-            name = status.getPath().getName()
-            folders[int(name.split("=")[1])] = f"{data}/{name}"
-        done = sorted(self.loads() | set(loads))
-        rows = [(value, folder, done if not i else []) for i, (value, folder) in enumerate(folders.items())]
-        if rows:
-            listed = self.spark.createDataFrame(rows, "value int, folder string, loads array<string>")
+        names = [status.getPath().getName() for status in written or []]
+        return {int(name.split("=")[1]): f"{data}/{name}" for name in names}
+
+    def commit(self, put: Mapping[int, str]) -> None:
+        """Make folders that were put the current ones of their values."""
+        folders = self.folders() | put
+        if folders:
+            listed = self.spark.createDataFrame([*folders.items()], "value int, folder string")
             self._lists.write(listed)
 
     def expire(self, keep: int = 2) -> None:

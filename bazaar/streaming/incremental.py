@@ -13,7 +13,7 @@ from bazaar.operators.upsert import reduce_batch, upsert
 from bazaar.plans.warehouse import SOURCE_OF, Warehouse
 from bazaar.schemas import CONTRACTS, ROW_ORDER
 from bazaar.sources.files import BROKEN, file_order, is_whole, lines_apart
-from bazaar.sources.storage import VersionedTable
+from bazaar.sources.storage import VersionedTable, stage, staging
 
 
 def read_stream(
@@ -124,17 +124,27 @@ def _whole_lines(warehouse: Warehouse, batch: DataFrame, source: str) -> DataFra
 def ingest_payments(warehouse: Warehouse, landing: str, checkpoint: str, **options: str) -> None:
     """Add the payments in new CSV files to the stored orders, each file once.
 
-    The order table names the files that are in it, in the commit that adds them: neither a
-    repeated batch nor a lost checkpoint counts a payment twice.
+    Files are noted in a table of their own once their payments are in, and files noted there are
+    left out of later batches, so a lost checkpoint does not add them again. A run that fails
+    before that note is repeated as a whole: payments are known by their file and content, so
+    those that were stored already count once.
     """
 
     def apply(batch: DataFrame, _: int) -> None:
-        path = F.col("_metadata.file_path")
-        files = {row[0] for row in batch.select(path).distinct().collect()}
-        new = sorted(files - warehouse.months("fact_orders").loads())
-        if new:
-            whole = _whole_lines(warehouse, batch.where(path.isin(new)), "order_payments")
-            rows = null_missing_tokens(file_order(whole).drop("_metadata"))
-            warehouse.add_payments(rows, new)
+        ingested = VersionedTable(batch.sparkSession, f"{warehouse.root}/ingested/order_payments")
+        with staging(batch.sparkSession):
+            files = batch.select(F.col("_metadata.file_path").alias("path")).distinct()
+            noted = ingested.read_all()
+            if noted is not None:
+                files = files.join(noted, "path", "left_anti")
+            files = stage(files, "files")
+            if files.isEmpty():
+                return
+            # Places within a file are given before the join, which may move rows.
+            placed = file_order(batch)
+            new = placed.join(files, F.col(f"{ROW_ORDER}.path") == files.path, "left_semi")
+            whole = _whole_lines(warehouse, new, "order_payments")
+            warehouse.add_payments(null_missing_tokens(whole.drop("_metadata")))
+            ingested.write(files)
 
     run_to_end(_csv_stream(warehouse, "order_payments", landing, **options), apply, checkpoint)

@@ -104,7 +104,15 @@ def test_new_payments_add_to_their_orders_alone(spark, tmp_path):
     }
     want["o3"] = (2.5, "card", 1)
     assert run("one", "2.csv", "o3,card,1,2.50") == want
+    kept = house.stored_payments().where("NOT lead").count()
     assert run("lost", "3.csv", "o2,card,1,1.00") == want | {"o2": (8.0, "card", 2)}
+    assert house.stored_payments().where("NOT lead").count() == kept + 1
+    # A run that is lost before it notes its files is repeated.
+    noted = VersionedTable(spark, f"{house.root}/ingested/order_payments")
+    assert noted.read_all().count() == 3
+    spark.range(0).selectExpr("string(id) AS path").write.mode("overwrite").parquet(noted.path(noted.versions()[-1]))
+    assert run("lost again", "3.csv", "o2,card,1,1.00") == want | {"o2": (8.0, "card", 2)}
+    assert run("lost again", "3.csv", "o2,card,1,1.00") == want | {"o2": (8.0, "card", 2)}
     with pytest.raises(ValueError, match="fact_orders"):
         ingest_raw_files(house, "order_payments", str(landing), f"{tmp_path}/c", ["fact_orders"])
 

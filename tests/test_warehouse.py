@@ -302,6 +302,45 @@ def test_second_batch_leaves_other_months_alone(spark, tmp_path):
     assert house.table("fact_orders").count() == 4
 
 
+def test_a_small_batch_opens_the_months_of_its_orders(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path), FIRST).load(small_raw(spark))
+    months = {r.order_id: r.purchase_month for r in house.table("fact_orders").collect()}
+    assert len(set(months.values())) > 1
+    for name in ("fact_orders", "fact_order_items"):
+        for row in house.table(name).select("order_id", "purchase_month").distinct().collect():
+            wanted = spark.createDataFrame([(row.order_id,)], "order_id string")
+            assert row.purchase_month in house.months_of(name, wanted)
+    wanted = spark.createDataFrame([("o1",), ("none",)], "order_id string")
+    assert house.months_of("fact_orders", wanted) == {months["o1"]}
+    read = house.rows_of("fact_orders", wanted)
+    assert {f"purchase_month={months['o1']}" in file for file in read.inputFiles()} == {True}
+    assert house.rows_of("fact_orders", wanted.limit(0)).isEmpty()
+
+
+def test_places_grow_with_new_orders_alone(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path), FIRST).load(small_raw(spark))
+
+    def places():
+        return sorted(tuple(r)[:2] for r in house.places("fact_orders").read().collect())
+
+    before, folders = places(), house.places("fact_orders").folders()
+    house.load_only(small_raw(spark, orders=[order("o2", "c2", "2018-01-06", "2018-01-09")]), ["fact_orders"])
+    assert places() == before and house.places("fact_orders").folders() == folders
+    house.load_only(small_raw(spark, orders=[order("o8", "c2", "2018-03-06", None)]), ["fact_orders"])
+    assert places() == sorted([*before, ("o8", 201803)])
+
+
+def test_a_fact_without_places_gets_them(spark, tmp_path, monkeypatch):
+    house = Warehouse(spark, str(tmp_path), FIRST)
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "_keep_places", lambda *_: None)
+        house.load(small_raw(spark))
+    assert house.months_of("fact_orders", house.table("fact_orders")) == set(house.months("fact_orders").folders())
+    house.load_only(small_raw(spark, orders=[order("o8", "c2", "2018-03-06", None)]), ["fact_orders"])
+    stored = sorted(tuple(r) for r in house.table("fact_orders").select("order_id", "purchase_month").collect())
+    assert stored == sorted(tuple(r)[:2] for r in house.places("fact_orders").read().collect())
+
+
 def test_empty_tables_stop_the_load_or_are_skipped(spark, tmp_path):
     raw = small_raw(spark, orders=[])
     house = Warehouse(spark, str(tmp_path), FIRST)
