@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from bazaar.operators import profile
 from bazaar.operators.dedup import keep_first
 from bazaar.plans import catalog, explorations, marts
-from bazaar.plans.facts import orders_payments_detail, payments_rollup
+from bazaar.plans.facts import (
+    marked_payments,
+    orders_batch,
+    orders_payments_detail,
+    orders_rows,
+    payments_delta,
+    payments_rollup,
+)
 from bazaar.plans.registry import queries, warehouse
 from bazaar.schemas import ROW_ORDER
 from bazaar.sources.tables import raw_table
@@ -105,6 +112,24 @@ def test_first_rows_are_combined_before_the_shuffle(spark):
     assert "partial_min_by" in text and "partial_sum" in text
 
 
+def test_payments_are_shuffled_once_and_sorted_after_it(spark):
+    payments = marked_payments(raw_table(spark, TESTDATA, "order_payments"))
+    text = plan(payments_delta(payments, ""))
+    assert text.count("Exchange hashpartitioning") == 1
+    below = text[text.index("Exchange hashpartitioning"):]
+    assert "Sort" not in below and "Aggregate" not in below
+
+
+def test_orders_that_do_not_repeat_are_not_sorted(spark):
+    orders = orders_rows(raw_table(spark, TESTDATA, "orders"))
+    deltas = payments_delta(marked_payments(raw_table(spark, TESTDATA, "order_payments")), "")
+    time = spark.createDataFrame([], "date_actual date, date_id int")
+    text = plan(orders_batch(orders, deltas.withColumn("arrival", F.lit(1)), time))
+    # Only rows under a repeated hash are reduced.
+    assert "LeftAnti" in text and "LeftSemi" in text
+    assert text.index("partial_max_by") < text.rindex("LeftSemi")
+
+
 def _stored(df, path):
     df.write.parquet(str(path))
     return df.sparkSession.read.parquet(str(path))
