@@ -7,7 +7,7 @@ from bazaar.plans.dimensions import translated_products
 from bazaar.schemas import CONTRACTS, ROW_ORDER
 from bazaar.sources.contracts import missing_columns, require_schema, validate_schema
 from bazaar.sources.files import broken_lines, extract, parse_csv, read_csv
-from bazaar.sources.storage import VersionedTable, shared_folder, stage
+from bazaar.sources.storage import PartitionedTable, VersionedTable, shared_folder, stage
 
 
 def write(path, text: str, encoding: str = "utf-8") -> str:
@@ -126,3 +126,15 @@ def test_shared_folder_is_the_named_one(spark):
     folder = shared_folder(spark)
     assert folder == shared_folder(spark)
     assert named is None or folder == named.rstrip("/")
+
+
+def test_rows_are_written_by_value_as_they_were_dealt(spark, tmp_path):
+    rows = spark.range(40).select("id", (F.col("id") % 2).cast("int").alias("part"))
+    table = PartitionedTable(spark, str(tmp_path / "t"), rows.schema, "part")
+    put = table.put_as_dealt(rows.repartition(3))
+    assert sorted(put) == [0, 1] and table.read() is None
+    table.commit(put)
+    assert table.read().select(F.input_file_name()).distinct().count() == 6
+    table.write_as_dealt(rows.where("part = 1 AND id < 9"))
+    assert sorted(r.id for r in table.read().where("part = 1").collect()) == [1, 3, 5, 7]
+    assert table.read().count() == 24

@@ -11,7 +11,7 @@ from bazaar.plans import catalog, explorations, marts
 from bazaar.plans.daily import run_daily
 from bazaar.plans.warehouse import Warehouse, independent_groups, with_needs
 from bazaar.schemas import CONTRACTS, ROW_ORDER, TABLES
-from bazaar.sources.storage import VersionedTable, shared_folder
+from bazaar.sources.storage import PartitionedTable, VersionedTable, shared_folder
 from bazaar.sources.tables import raw_tables
 from conftest import TESTDATA
 
@@ -505,3 +505,13 @@ def test_daily_run_from_csv_files(spark, small, tmp_path, rows):
         assert spark.table(f"daily.{name}").count() == df.count()
     assert len(list((tmp_path / "shop" / "dim_sellers").glob("version=*"))) == 2
     assert rows(house.mart("daily_revenue")) == rows(marts.daily_revenue(small.star()))
+
+
+def test_facts_are_not_moved_again_to_be_written(spark, tmp_path, monkeypatch):
+    moved = []
+    put = PartitionedTable.put
+    monkeypatch.setattr(PartitionedTable, "put", lambda table, df: moved.append(table.root) or put(table, df))
+    shop = Warehouse(spark, str(tmp_path / "shop"), FIRST).load(small_raw(spark))
+    shop.load(small_raw(spark), ["fact_orders", "fact_order_items"])
+    assert {root.rsplit("/", 1)[1] for root in moved} == {"fact_orders_places", "fact_order_items_places"}
+    assert shop.table("fact_orders").count() == 4
