@@ -2,10 +2,15 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
+
 from bazaar.plans import partials
 from bazaar.plans.marts import MARTS
+from bazaar.plans.registry import refreshed_marts
 from bazaar.plans.warehouse import Warehouse
 from bazaar.schemas import CONTRACTS, ROW_ORDER, TABLES
+from bazaar.sources.tables import raw_table
+from conftest import TESTDATA
 
 
 def frame(spark, table, data):
@@ -107,3 +112,23 @@ def test_marts_follow_loads_and_read_changed_months_alone(spark, tmp_path, rows)
     partials.refresh(house, "customers")
     house.expire(1)
     check(house, rows)
+
+
+def test_parts_of_items_meet_their_orders_once(spark, monkeypatch):
+    loads = []
+
+    def load_only(house, raw, tables):
+        if "fact_order_items" in tables:
+            sold, sent = raw["order_items"], raw["orders"].select("order_id")
+            text = sold._jdf.queryExecution().executedPlan().toString()
+            loads.append(("Join" in text, sold.count(), sold.columns, sent))
+
+    monkeypatch.setattr(Warehouse, "load_only", load_only)
+    monkeypatch.setattr(Warehouse, "refresh_marts", lambda house: None)
+    with pytest.raises(LookupError):  # nothing was refreshed
+        refreshed_marts(spark, TESTDATA)
+    items = raw_table(spark, TESTDATA, "order_items")
+    assert len(loads) == 2
+    for joins, n, columns, sent in loads:
+        assert not joins and columns == items.columns
+        assert n == items.join(sent, "order_id", "left_semi").count()
