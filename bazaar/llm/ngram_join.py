@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import discard, mix, pieces, stage, text_bytes
+from bazaar.llm.common import discard, hash_bits, mix, pieces, split_by_bits, stage, text_bytes
 from bazaar.llm.set_links import (
     PIECE,
     component_names,
@@ -336,7 +336,7 @@ def one_of_each(
     rows without an id last, then the smallest hash of the text; of repeated rows one.
 
     Documents without words are linked with nothing and stay, all of them. What goes is a list of
-    ids and hashes; the texts are joined to that list, and do not move while it is small.
+    ids and hashes; only texts that a table of bits cannot tell apart from it are joined to it.
     """
     members, names = _members(docs, doc, text, width, percent)
     rows = members.where("n > 0").groupBy("set", "id", "hash").agg(F.count("*").alias("copies"))
@@ -349,9 +349,9 @@ def one_of_each(
     )
     own = F.xxhash64(text_bytes(F.col(f"`{text}`")))
     this = F.col(f"`{doc}`").eqNullSafe(F.col("__nj_id")) & (own == F.col("__nj_hash"))
-    repeated = docs.join(judged.where("__nj_stays"), this, "left_semi")
-    return docs.join(judged, this, "left_anti").unionByName(
+    row, listed = F.xxhash64(F.col(f"`{doc}`"), own), F.xxhash64("__nj_id", "__nj_hash")
+    stays, maybe = split_by_bits(docs, row, hash_bits(judged.select(listed)))
+    repeated = maybe.join(judged.where("__nj_stays"), this, "left_semi")
+    return stays.unionByName(maybe.join(judged, this, "left_anti")).unionByName(
         repeated.withColumn("__nj_own", own).dropDuplicates([doc, "__nj_own"]).drop("__nj_own")
     )
-
-

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import byte_data, discard, mix, pieces, stage, text_bytes
+from bazaar.llm.common import byte_data, discard, hash_bits, mix, pieces, split_by_bits, stage, text_bytes
 from bazaar.llm.components import components
 
 # Bits of a set's parity string for each of its shingles, before rounding up to a power of two. The
@@ -195,7 +195,8 @@ def _measured(pairs: DataFrame, one: DataFrame, texts: DataFrame, width: int, pe
     of shingles lies in which they differ: one number where they may be close enough.
 
     The parity strings of all pairs travel, some bytes each; whole sets only for pairs that pass.
-    Their texts are found by hash, without a Python step for the others.
+    Their texts are found by hash, without a Python step for the others; those that a table of bits
+    tells apart from the wanted ones do not move for it.
     """
     u = one.select(F.col("set").alias("u"), F.col("n").alias("nu"), F.col("parity").alias("pu"))
     v = one.select(F.col("set").alias("v"), F.col("n").alias("nv"), F.col("parity").alias("pv"))
@@ -209,9 +210,9 @@ def _measured(pairs: DataFrame, one: DataFrame, texts: DataFrame, width: int, pe
         .select(F.col("hash").alias("wanted")).distinct(),
         "wanted",
     )
+    likely = split_by_bits(texts.select("text"), F.xxhash64("text"), hash_bits(wanted))[1]
     sets = stage(
-        texts.join(wanted, F.xxhash64("text") == F.col("wanted"), "left_semi")
-        .select("text")
+        likely.join(wanted, F.xxhash64("text") == F.col("wanted"), "left_semi")
         .mapInArrow(set_rows(width), "set long, shingles array<bigint>")
         .dropDuplicates(["set"]),
         "candidates",

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaar.llm.common import byte_data, pieces, text_bytes
+from bazaar.llm.common import byte_data, lean_memory, pieces, text_bytes
 
 # Orders of the n-grams, in bytes of the lower-cased text, and cells that they are hashed to.
 ORDERS = (3, 4, 5)
@@ -170,7 +170,10 @@ def train(
         if taken > size and chosen:
             break
         chosen.append((bytes(row.text), row.label))
-    return fit([c[0] for c in chosen], [c[1] for c in chosen])
+    fitted = fit([c[0] for c in chosen], [c[1] for c in chosen])
+    del chosen
+    lean_memory()  # the driver works on for as long as the session lasts
+    return fitted
 
 
 def _byte_bound(sample: DataFrame, size: int) -> int:
