@@ -9,6 +9,7 @@ from bazaar.plans.marts import MARTS
 from bazaar.plans.registry import refreshed_marts
 from bazaar.plans.warehouse import Warehouse
 from bazaar.schemas import CONTRACTS, ROW_ORDER, TABLES
+from bazaar.sources.storage import PartitionedTable
 from bazaar.sources.tables import raw_table
 from conftest import TESTDATA
 
@@ -114,6 +115,34 @@ def test_marts_follow_loads_and_read_changed_months_alone(spark, tmp_path, rows)
     check(house, rows)
 
 
+def test_items_of_complete_months_do_not_meet_products(spark, tmp_path, rows, monkeypatch):
+    house = house_with_dimensions(spark, tmp_path)
+    plans, looked_up = {}, []
+    write, staged = PartitionedTable.write_as_dealt, partials.stage
+
+    def noted(table, df):
+        plans[table.root.rsplit("/", 1)[1]] = df._jdf.queryExecution().executedPlan().toString()
+        write(table, df)
+
+    monkeypatch.setattr(PartitionedTable, "write_as_dealt", noted)
+    monkeypatch.setattr(partials, "stage", lambda df, label: looked_up.append(label) or staged(df, label))
+    send(
+        house,
+        [order("o1", "c1", "2018-01-05"), order("o2", "c2", "2018-02-05")],
+        [("o1", "1", "p1", "s1", "5.00"), ("o2", "1", "p1", "s1", "6.00")],
+    )
+    check(house, rows)
+    assert looked_up == ["unknown"]
+    assert not any("Join" in plans[name] for name in ("seller_products", "seller_orders"))
+
+    # An unknown product and a missing one: their month alone is brought down to known products.
+    send(house, [order("o3", "c1", "2018-03-05")], [("o3", "1", "p2", "s2", "1.00"), ("o3", "2", "p1", "s2", "2.00")])
+    send(house, [order("o4", "c1", "2018-02-06")], [("o4", "1", None, "s1", "9.00")])
+    check(house, rows)
+    assert looked_up == ["unknown"] * 2
+    assert all("LeftSemi" in plans[name] for name in ("seller_products", "seller_orders"))
+
+
 def test_parts_of_items_meet_their_orders_once(spark, monkeypatch):
     loads = []
 

@@ -120,6 +120,12 @@ def test_payments_are_shuffled_once_and_sorted_after_it(spark):
     assert "Sort" not in below and "Aggregate" not in below
 
 
+def test_payments_are_sorted_once_to_count_and_once_to_place_them(spark):
+    payments = marked_payments(raw_table(spark, TESTDATA, "order_payments"))
+    text = plan(payments_delta(payments, "a name"))
+    assert len(re.findall(r"\bSort \[", text)) == 2 and len(re.findall(r"\bWindow \[", text)) == 1
+
+
 def test_orders_that_do_not_repeat_are_not_sorted(spark):
     orders = orders_rows(raw_table(spark, TESTDATA, "orders"))
     deltas = payments_delta(marked_payments(raw_table(spark, TESTDATA, "order_payments")), "")

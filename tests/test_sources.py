@@ -138,3 +138,14 @@ def test_rows_are_written_by_value_as_they_were_dealt(spark, tmp_path):
     table.write_as_dealt(rows.where("part = 1 AND id < 9"))
     assert sorted(r.id for r in table.read().where("part = 1").collect()) == [1, 3, 5, 7]
     assert table.read().count() == 24
+
+
+def test_a_filter_reads_only_the_staged_folders_it_wants(spark):
+    data = [(1, True, "a"), (2, False, "b"), (3, None, "c"), (4, True, "d")]
+    rows = spark.createDataFrame(data, "id int, mark boolean, name string")
+    staged = stage(rows, "by-mark", ["mark"])
+    assert staged.columns == rows.columns
+    assert sorted(tuple(r) for r in staged.collect()) == data
+    marked = staged.where("mark")
+    assert sorted(r.id for r in marked.collect()) == [1, 4]
+    assert "PartitionFilters: [isnotnull(mark" in marked._jdf.queryExecution().toString()

@@ -515,3 +515,35 @@ def test_facts_are_not_moved_again_to_be_written(spark, tmp_path, monkeypatch):
     shop.load(small_raw(spark), ["fact_orders", "fact_order_items"])
     assert {root.rsplit("/", 1)[1] for root in moved} == {"fact_orders_places", "fact_order_items_places"}
     assert shop.table("fact_orders").count() == 4
+
+
+def test_new_orders_are_added_without_a_join(spark, tmp_path, monkeypatch):
+    house = Warehouse(spark, str(tmp_path / "shop"), FIRST).load(small_raw(spark))
+    stored = {name: house.table(name).count() for name in ("fact_orders", "fact_order_items")}
+    plans = {}
+    put = PartitionedTable.put_as_dealt
+
+    def noted(table, df):  # the batch is written first, then orders that were paid for
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        plans.setdefault(table.root.rsplit("/", 1)[1], plan)
+        return put(table, df)
+
+    monkeypatch.setattr(PartitionedTable, "put_as_dealt", noted)
+    tables = ["fact_orders", "fact_order_items"]
+    raw = small_raw(spark, orders=[order("n1", "c1", "2018-01-07", None), order("n2", "c1", "2018-05-07", None)])
+    raw["order_items"] = raw["order_items"].where("order_id = 'o1'").withColumn("order_id", F.lit("n1"))
+    new = raw["order_items"].select("order_item_id").distinct().count()
+    house.load_only(raw, tables)
+    for name in tables:
+        assert "Join" not in plans[name] and "Exchange" not in plans[name]
+    assert house.table("fact_orders").count() == stored["fact_orders"] + 2
+    assert house.table("fact_order_items").count() == stored["fact_order_items"] + new
+
+    # One that is stored and one that is new, in a month of others: the first is updated in place.
+    plans.clear()
+    known = [order("n1", "c2", "2018-01-07", None, "sent"), order("n3", "c1", "2018-05-08", None)]
+    house.load_only(small_raw(spark, orders=known), ["fact_orders"])
+    assert "Join" in plans["fact_orders"]
+    found = by_key(house.table("fact_orders"), "order_id", "customer_id", "order_status", "purchase_month")
+    assert len(found) == house.table("fact_orders").count() == stored["fact_orders"] + 3
+    assert found["n1"] == ("c2", "sent", 201801) and found["n2"][2] == found["n3"][2] == 201805
